@@ -138,7 +138,7 @@ def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[t
     d = demand[rows].astype(float)
     basis = np.diag(capacity // (rows + 1)).astype(np.int64)
     inverse = np.diag(1.0 / np.diag(basis))
-    x = inverse @ d
+    x = (inverse * d).sum(axis=1)  # not BLAS: its threads cost more than they save at this size
     steps, centre, bound = 0, d * 0, 0.0
     while True:
         y = inverse.sum(axis=0)
@@ -150,13 +150,13 @@ def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[t
             duals = np.zeros(capacity)
             duals[rows] = np.maximum(at, 0)
             value, pattern = price(duals, capacity)
-            if value > 0 and (low := d @ duals[rows] / max(value, 1)) > bound:
+            if value > 0 and (low := float((d * duals[rows]).sum()) / max(value, 1)) > bound:
                 bound, centre = low, duals[rows] / max(value, 1)
-            if y @ pattern[rows] > 1 + 1e-9:
+            if (y * pattern[rows]).sum() > 1 + 1e-9:
                 break
         else:
             break
-        column = inverse @ pattern[rows]
+        column = (inverse * pattern[rows]).sum(axis=1)
         ratio = np.where(column > 1e-9, x / np.where(column > 1e-9, column, 1), np.inf)
         out = int(ratio.argmin())
         step = ratio[out]
@@ -170,7 +170,7 @@ def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[t
         steps += 1
         if steps % 200 == 0:
             inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ d, 0)
+            x = np.maximum((inverse * d).sum(axis=1), 0)
     full = np.zeros((len(rows), capacity), np.int64)
     full[:, rows] = basis.T
     return list(zip(full, x))
