@@ -73,12 +73,13 @@ def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.withColumns({"__k": F.xxhash64(F.lit(1), F.col(id)), "__t": F.xxhash64(F.col(text).cast("string"))})
 
 
-def marks(keys: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
+def marks(own: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
     """__k, __t, m: for each document with a repeat, its places as (p, bits): the windows that start o words before p repeat, for each bit o.
 
-    keys: __k, __t, __x (text). window - k must be under 63.
+    own: the documents with __k, __t, __x (text). They are shuffled by key as they are, so that a join of the same rows with
+    the result shares the exchange: texts are written once. window - k must be under 63.
     """
-    bounded_batches(keys.sparkSession)
+    bounded_batches(own.sparkSession)
     low = window - k + 1
     assert 0 < low < 63, "the anchor must leave under 63 window starts"
 
@@ -91,7 +92,7 @@ def marks(keys: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
             has = pa.array(first[1:] > first[:-1])
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), blob], names=["__k", "__t", "blob"]).filter(has)
 
-    found = cut(keys.select("__k", "__t", "__x").mapInArrow(find, "__k long, __t long, blob binary"))
+    found = cut(own.select("__k", "__t", "__x").mapInArrow(find, "__k long, __t long, blob binary"))
 
     def opened(full: bool):
         def run(batches):
@@ -115,13 +116,13 @@ def marks(keys: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
 
     # Distinct spans of mixed anchors, each with one place, whose windows are compared.
     spans = cut(places.where("ah is not null").groupBy("ah", "sh").agg(F.count("*").alias("n"), F.min(F.struct("__k", "__t", "p")).alias("at")))
-    wanted = spans.groupBy("at.__k", "at.__t").agg(F.collect_list(F.struct("at.p", "ah", "sh")).alias("r")).select("__k", "__t", F.col("r.p").alias("p"), F.col("r.ah").alias("ah"), F.col("r.sh").alias("sh"))
+    wanted = spans.groupBy("at.__k", "at.__t").agg(F.collect_list(F.struct("at.p", "ah", "sh")).alias("r")).select("__k", "__t", F.col("r.p").alias("__p"), F.col("r.ah").alias("__ah"), F.col("r.sh").alias("__sh"))
 
     def expand(batches):
         for rows, buf, offs in chunks(batches, "__x"):
             words = Words(buf, offs)
             windows = gram_hashes(words.hashes(), window, _WINDOW_BASE)
-            p, ah, sh = (rows.column(i) for i in (3, 4, 5))
+            p, ah, sh = (rows.column(i) for i in ("__p", "__ah", "__sh"))
             at = np.diff(p.offsets.to_numpy())
             packed = p.flatten().to_numpy()
             place = np.repeat(words.first[:-1], at) + (packed >> 12)
@@ -131,8 +132,8 @@ def marks(keys: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
             o = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + fore[of]
             yield pa.RecordBatch.from_arrays([ah.flatten().take(pa.array(of)), sh.flatten().take(pa.array(of)), pa.array(o.astype(np.int32)), pa.array(windows[place[of] - o].view(np.int64))], names=["ah", "sh", "o", "wh"])
 
-    texts = keys.select("__k", "__t", "__x").join(wanted, ["__k", "__t"])
-    rows = cut(texts.select("__k", "__t", "__x", "p", "ah", "sh").mapInArrow(expand, "ah long, sh long, o int, wh long").distinct())
+    texts = own.join(wanted.hint("merge"), ["__k", "__t"])
+    rows = texts.mapInArrow(expand, "ah long, sh long, o int, wh long").distinct()
     twice = rows.groupBy("ah", "wh").agg(F.count("*").alias("n")).where("n > 1").select("ah", "wh")
     partly = rows.join(twice, ["ah", "wh"]).groupBy("ah", "sh").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("bits"))
     known = spans.select("ah", "sh", "n").join(partly, ["ah", "sh"], "left").where("n > 1 or bits is not null")
@@ -153,10 +154,10 @@ def covered(n: int, p: np.ndarray, bits: np.ndarray, window: int) -> np.ndarray:
 
 
 def _marked(docs: DataFrame, window: int, k: int, id: str, text: str) -> DataFrame:
-    own = keyed(docs, id, text)
-    keys = own.select("__k", "__t", F.col(text).cast("string").alias("__x"))
-    found = cut(marks(keys, window, k))
-    return own.join(found, ["__k", "__t"], "left").withColumns({"__p": F.col("m.p"), "__b": F.col("m.bits")}).drop("m")
+    own = keyed(docs, id, text).withColumn("__x", F.col(text).cast("string"))
+    own = own.select("__k", "__t", "__x", *(c for c in docs.columns if c != text))
+    own = own.join(marks(own, window, k).hint("merge"), ["__k", "__t"], "left").withColumns({"__p": F.col("m.p"), "__b": F.col("m.bits")})
+    return own.select(*(F.col("__x").alias(text) if c == text else c for c in docs.columns), "__p", "__b")
 
 
 def _each(batch: pa.RecordBatch, window: int, text: str):
@@ -171,7 +172,7 @@ def _each(batch: pa.RecordBatch, window: int, text: str):
 def measure(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the words that stay, joined by one space) of every row."""
     own = docs.select(docs[id].alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = _marked(own, window, k, "doc_id", "text").select("doc_id", "text", "__p", "__b")
+    rows = _marked(own, window, k, "doc_id", "text")
 
     def run(batches):
         for batch in batches:
@@ -187,8 +188,8 @@ def measure(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", t
 
 def remove(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with repeated words cut from the text, each with the white space before it; other texts stay as they are."""
-    rows = _marked(docs, window, k, id, text).drop("__k", "__t")
-    at = docs.columns.index(text)
+    rows = _marked(docs, window, k, id, text)
+    names, at = docs.columns, docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
@@ -201,8 +202,8 @@ def remove(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", te
                 edges = np.concatenate([[0], w.ends])
                 parts = [t[edges[i] : edges[i + 1]] for i in np.flatnonzero(~cover).tolist()]
                 out.append((b"".join(parts).strip() + t[edges[-1] :] if parts else b"").decode())
-            columns = list(batch.columns[: len(docs.columns)])
+            columns = list(batch.columns[: len(names)])
             columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select(*docs.columns, "__p", "__b").mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
