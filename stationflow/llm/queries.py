@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, neighbours, packing, quality, simhash, substring
+from . import licenses, neighbours, packing, pii, quality, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("rule").isNull()).alias("kept"), "rule")
 
 
+def op9_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii.find(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
