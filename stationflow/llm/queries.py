@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, neighbours, packing, pii, quality, simhash, substring
+from . import langid, licenses, lm, neighbours, packing, pii, quality, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op2_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 1))
+    return lm.score(docs, ~F.col("held_out"), keep=("held_out",))
+
+
 def op3_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 0))
     return langid.predict(docs, langid.fit(docs, ~F.col("held_out")), keep=("doc_id", "held_out"))
