@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lm, neighbours, packing, pii, quality, simhash, substring
+from . import langid, licenses, lm, neighbours, packing, pii, quality, sentencepieces, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.measure(table(spark, sf_dir, "documents"), window=35)
 
 
+def op7_sentencepiece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
