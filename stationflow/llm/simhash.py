@@ -56,7 +56,8 @@ def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def text_fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int) -> np.ndarray:
+def shingle_hashes(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all shingles of a chunk, and each document's first."""
     words = Words(buf, offs)
     text, starts, ends = joined(words)
     n = words.counts
@@ -66,7 +67,26 @@ def text_fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int) -> np.nda
     last = np.minimum(lead + shingle, np.repeat(words.first[1:], per)) - 1
     spans = map(slice, starts[lead].tolist(), ends[last].tolist())
     digests = map(xxhash.xxh64_intdigest, map(text.__getitem__, spans), repeat(42))
-    return majority(np.fromiter(digests, np.uint64, int(first[-1])), first)
+    return np.fromiter(digests, np.uint64, int(first[-1])), first
+
+
+def text_fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int) -> np.ndarray:
+    return majority(*shingle_hashes(buf, offs, shingle))
+
+
+SKETCH, KEYS = 64, 8
+_rng = np.random.Generator(np.random.PCG64(11))
+_XOR, _ODD = _rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64), _rng.integers(0, 1 << 62, SKETCH, dtype=np.uint64) * U64(2) + U64(1)
+
+
+def sketches(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The least shingle under each of SKETCH random orders, documents by orders; 0 where there is no shingle."""
+    full = np.flatnonzero(np.diff(first))
+    out = np.zeros((len(first) - 1, SKETCH), np.uint64)
+    if len(full):
+        for i in range(SKETCH):
+            out[full, i] = np.minimum.reduceat((hashes ^ _XOR[i]) * _ODD[i], first[:-1][full])
+    return out
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -144,8 +164,11 @@ def close(planes: np.ndarray, by: int, valid: np.ndarray, radius: int) -> np.nda
     return alive
 
 
-def stars(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows come sorted by group. For each row that is linked within its group: its fingerprint and that of its local root."""
+def stars(fps: np.ndarray, group: np.ndarray, radius: int, sketch: np.ndarray | None = None, agree: float = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows come sorted by group. The rows that are linked within their group, and their local roots.
+
+    With sketches, a pair within the radius is linked only if a share of `agree` of the sketches' bytes is equal.
+    """
     n = len(fps)
     root = np.arange(n)
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -170,6 +193,9 @@ def stars(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray,
             if found.any():
                 hit = np.flatnonzero(np.unpackbits(found.view(np.uint8), bitorder="little")[: len(same)])
                 a, b = rows[hit], rows[hit + by]
+                if sketch is not None:
+                    near = (sketch[a] == sketch[b]).mean(axis=1) >= agree
+                    a, b = a[near], b[near]
                 for i, j in zip(a.tolist(), b.tolist()):
                     i, j = find(i), find(j)
                     if i != j:
@@ -183,48 +209,57 @@ def stars(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray,
         compare(np.arange(s, s + k))
     roots = np.fromiter(map(find, range(n)), np.int64, n)
     moved = np.flatnonzero(roots != np.arange(n))
-    return fps[moved], fps[roots[moved]]
+    return moved, roots[moved]
 
 
-def links(fps: DataFrame, radius: int = 3, blocks: int = 6, tile: int = 4096) -> DataFrame:
-    """Edges a, b whose connected components are those of all pairs of distinct fingerprints within the radius. fps: fp, distinct."""
-    spark = fps.sparkSession
-    masks = block_masks(blocks, radius)
-    keyed = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(i).cast("int").alias("c"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")).alias("key")) for i, m in enumerate(masks)))).alias("k")).select("fp", "k.c", "k.key")
-    full = keyed.groupBy("c", "key").agg(F.count("*").alias("n")).where("n > 1")
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("t")).cast("int")
+def tiled(keyed: DataFrame, own: str, by: list[str], tile: int) -> DataFrame:
+    """keyed with g, the group to be compared within: buckets of one row are dropped, those of over `tile` rows become pairs of tiles."""
+    full = keyed.groupBy(*by).agg(F.count("*").alias("__n")).where("__n > 1")
     rows = (
-        keyed.join(full, ["c", "key"]).withColumn("t", tiles).withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
-        .select("fp", F.xxhash64("c", "key", F.least("own", "other"), F.greatest("own", "other"), F.lit(1)).alias("g"))
+        keyed.join(full, by).withColumn("__t", F.ceil(F.col("__n") / tile).cast("int")).withColumn("__s", F.pmod(F.xxhash64(own), F.col("__t")).cast("int"))
+        .withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__t") - 1)))
+        .withColumn("g", F.xxhash64(*by, F.least("__s", "__o"), F.greatest("__s", "__o"), F.lit(1)))
     )
-    rows = rows.repartition("g").sortWithinPartitions("g")
-    names = ["a", "b"]
+    return rows.drop("__n", "__t", "__s", "__o")
+
+
+def compared(rows: DataFrame, radius: int, agree: float | None = None) -> DataFrame:
+    """Edges a, b of a spanning forest of the links in every group. rows: node, fp, g, and with `agree` also sketch."""
+    own = rows.select("node", "fp", "g", *(["sketch"] if agree is not None else [])).repartition("g").sortWithinPartitions("g")
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[pa.RecordBatch] = []
 
-        def done(fp, g):
-            a, b = stars(fp.view(np.uint64), g, radius)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=names)
+        def done(part: pa.Table):
+            node, fp, g = (part.column(c).to_numpy() for c in ("node", "fp", "g"))
+            sketch = None if agree is None else np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            a, b = stars(fp.view(np.uint64), g, radius, sketch, agree or 0)
+            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-            fp, g = (np.concatenate(x) for x in zip(*held))
-            if len(fp) < 65536 and len(held) < 64:
+            held.append(batch)
+            if len(held) < 64:
                 continue
-            last = int(np.searchsorted(g == g[-1], True)) if g[0] != g[-1] else 0
+            table = pa.Table.from_batches(held)
+            g = table.column("g").to_numpy()
+            last = int(np.argmax(g == g[-1]))
             if last:
-                yield done(fp[:last], g[:last])
-            held = [(fp[last:], g[last:])]
+                yield done(table.slice(0, last))
+            held = table.slice(last).combine_chunks().to_batches()
         if held:
-            yield done(*(np.concatenate(x) for x in zip(*held)))
+            yield done(pa.Table.from_batches(held))
+
+    bounded_batches(rows.sparkSession)
+    return own.mapInArrow(run, "a long, b long").distinct()
+
 
-    bounded_batches(spark)
-    return rows.mapInArrow(run, "a long, b long").distinct()
+def links(fps: DataFrame, radius: int = 3, blocks: int = 6, tile: int = 4096) -> DataFrame:
+    """Edges a, b whose connected components are those of all pairs of distinct fingerprints within the radius. fps: fp, distinct."""
+    masks = block_masks(blocks, radius)
+    keyed = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(i).cast("int").alias("c"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")).alias("key")) for i, m in enumerate(masks)))).alias("k")).select("fp", F.col("fp").alias("node"), "k.c", "k.key")
+    return compared(tiled(keyed, "fp", ["c", "key"], tile), radius)
 
 
 def labels(prints: DataFrame, radius: int = 3, blocks: int = 6, tile: int = 4096) -> DataFrame:
@@ -243,15 +278,35 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     return prints.join(by_fp.join(least, "root").select("fp", "component_id"), "fp", "left").select(id, "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """The rows of docs without all but one of each group; the row with the least id (then text hash) stays, one of repeated rows.
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 14, tile: int = 4096) -> DataFrame:
+    """The rows of docs without all but one of each group of near copies; the least id (then text hash) stays, one of repeated rows.
 
-    Only keys, fingerprints and decisions are shuffled before the texts are, once, by their key.
+    Texts whose shingle sets are similar by `similarity` or more differ in more bits than block keys can find. So candidates are
+    those that share one of KEYS least shingles (similar texts miss each other with probability (1 - similarity)^KEYS); they are compared
+    by their fingerprints, bit-sliced as above, and a pair within the radius is linked if its sketches agree as similar texts' do
+    (two standard errors below the similarity). Only keys, fingerprints and sketches are shuffled; texts once, by key, at the end.
     """
+    bounded_batches(docs.sparkSession)
     keyed = docs.withColumns({"__k": F.xxhash64(F.lit(1), id), "__t": F.xxhash64(text)})
-    prints = cut(fingerprints(keyed.select(F.col(id).alias("__id"), "__k", "__t", F.col(text).alias("__x")), shingle, "__x", ("__id", "__k", "__t")))
-    order = F.struct(F.col("__id").isNull().alias("n"), "__id", "__t", "__k")
-    by_fp = prints.groupBy("fp").agg(F.min(order).alias("o")).join(labels(prints, radius, blocks), "fp")
-    keep = by_fp.groupBy("root").agg(F.min("o").alias("o")).select("o.__k", "o.__t")
+    own = keyed.select(F.col(id).alias("id"), "__k", "__t", F.col(text).cast("string").alias("__x"))
+
+    def run(batches):
+        for rows, buf, offs in chunks(batches, "__x"):
+            hashes, first = shingle_hashes(buf, offs, shingle)
+            least = sketches(hashes, first)
+            ends = pa.array(np.arange(len(least) + 1, dtype=np.int32) * KEYS)
+            keys = pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(least[:, :KEYS] + np.arange(KEYS, dtype=np.uint64)).view(np.int64).ravel()))
+            bytes_of = (least >> U64(56)).astype(np.uint8)
+            sketch = pa.array([r.tobytes() for r in bytes_of], pa.binary())
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(majority(hashes, first).view(np.int64)), sketch, keys], names=["id", "__k", "__t", "fp", "sketch", "keys"])
+
+    prints = cut(own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, __k long, __t long, fp long, sketch binary, keys array<long>").withColumn("node", F.xxhash64("fp", "sketch", "keys")))
+    order = F.struct(F.col("id").isNull().alias("n"), "id", "__t", "__k")
+    nodes = cut(prints.groupBy("node", "fp", "sketch", "keys").agg(F.min(order).alias("o")))
+    buckets = tiled(nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")), "node", ["key"], tile)
+    allowed = similarity - 2 * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    found = components(compared(buckets, radius, allowed))
+    rooted = nodes.select("node", "o").join(found, "node", "left").select(F.coalesce("root", "node").alias("root"), "o")
+    keep = rooted.groupBy("root").agg(F.min("o").alias("o")).select("o.__k", "o.__t")
     first = F.row_number().over(Window.partitionBy("__k", "__t").orderBy(F.lit(1)))
     return keyed.join(cut(keep), ["__k", "__t"]).withColumn("__r", first).where("__r = 1").select(*docs.columns)
