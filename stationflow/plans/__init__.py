@@ -1 +1,14 @@
+"""Registered queries of the station operators."""
 
+from . import filter_queries
+from .stations import QUERIES, SQL
+
+__all__ = ["filter_queries", "oracle_sql", "queries"]
+
+
+def queries():
+    return dict(QUERIES)
+
+
+def oracle_sql():
+    return dict(SQL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.tables import null_codes, rename_vocabulary, site_from_name
@@ -13,7 +13,7 @@ from ..operators.timegrid import parse_stamps, repair_time
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """file, row (exact line number), line. Whole files, because Spark keeps no line numbers otherwise."""
-    whole = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.regexp_replace("value", "\r", "").alias("value"))
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_path", "((site=[^/]*/)?[^/]*)$", 1).alias("file"), F.regexp_replace("value", "\r", "").alias("value"))
     return whole.select("file", F.posexplode(F.split("value", "\n")).alias("row", "line")).where("line <> ''")
 
 
@@ -31,6 +31,12 @@ def header_cells(df: DataFrame, rows: int = 4, separator: str = ",") -> DataFram
     return df.where(F.col("row") < rows).select("file", "row", F.posexplode(F.split("line", separator)).alias("pos", "cell")).withColumn("cell", F.trim("cell"))
 
 
+def site_of(file: Column) -> Column:
+    """The partition folder's site, else what the file name says."""
+    folder = F.regexp_extract(file, "^site=([^/]*)/", 1)
+    return F.when(folder != "", folder).otherwise(site_from_name(F.regexp_replace(file, "^.*/", ""))[0])
+
+
 def read_long(df: DataFrame, header: int, first: int, separator: str = ",") -> DataFrame:
     """file, row, name, raw: every cell of the tables with its column's name. header: row of the names; first: first row of data."""
     names = df.where(F.col("row") == header).select("file", F.posexplode(F.split("line", separator)).alias("pos", "name")).withColumn("name", F.trim("name"))
@@ -48,7 +54,7 @@ def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], form
     stamp = parse_stamps(stamp, "stamp", list(formats), "file").select("file", "row", "t")
     long = cells.where(~F.col("name").isin(*stamps)).join(stamp, ["file", "row"]).withColumnRenamed("name", "var")
     long = rename_vocabulary(long, names or {"": ""})
-    long = long.select(site_from_name(F.col("file"))[0].alias("site"), "t", "var", null_codes(F.col("raw")).alias("value"), "file", "row")
+    long = long.select(site_of(F.col("file")).alias("site"), "t", "var", null_codes(F.col("raw")).alias("value"), "file", "row")
     got = repair_time(long, step or "30 MINUTES", ("site", "var"), ("file", "row"), fill_gaps=step is not None)
     return got.select("site", "t", "var", "value")
 
