@@ -1,9 +1,9 @@
 """Registered queries of the station operators."""
 
-from . import filter_queries
+from . import derive_queries, filter_queries, grid_queries, level4_queries, report_queries
 from .stations import QUERIES, SQL
 
-__all__ = ["filter_queries", "oracle_sql", "queries"]
+__all__ = ["derive_queries", "filter_queries", "grid_queries", "level4_queries", "oracle_sql", "queries", "report_queries"]
 
 
 def queries():
