@@ -21,6 +21,7 @@ import re
 import struct
 import zlib
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ BLANK = "▁"
 #: Fixed values of the model format: kinds of pieces, and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-CACHE_RUNS = 700_000
+CACHE_RUNS = 900_000
 RUN = re.compile(" *[^ ]+| +")
 
 
@@ -82,12 +83,18 @@ class Transducer:
             self.out.append(bytes([int(text[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else text.replace(BLANK, " ").encode())
         if any(BLANK in p.lstrip(BLANK) for p in self.id):
             raise ValueError("a piece goes on over a blank")
-        self.longest = max(map(len, self.id))
-        self.beside: dict[tuple[str, str], bool] = {}
-        self.paths: dict[str, bytes] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging by score, leftmost first, makes of a text. Only used to weigh pairs of pieces."""
+        self.text = {i: p for p, i in self.id.items()}
+        self.beside: dict[int, bool] = {}
+        self.paths: dict[str, bytes] = {}  # by run
+        self.words: dict[str, bytes] = {}  # by what follows a single blank
+        self.arcs = ahocorasick.Automaton()  # all pieces at once, by where they end
+        for p, i in self.id.items():
+            self.arcs.add_word(p, (len(p), i))
+        self.arcs.make_automaton()
+        self.parts: dict[str, tuple[str, str] | None] = {}
+
+    def merged(self, text: str, halves: bool = False) -> list[str]:
+        """The pieces that merging by score, leftmost first, makes of a text; with halves, the two before the last merge. Only used to compile weights."""
         parts: list[str | None] = list(text)
         left, right = list(range(-1, len(text) - 1)), list(range(1, len(text) + 1))
         heap: list[tuple[float, int, int, str]] = []
@@ -102,59 +109,96 @@ class Transducer:
             _, i, j, both = heapq.heappop(heap)
             if parts[i] is None or parts[j] is None or right[i] != j or parts[i] + parts[j] != both:
                 continue
+            if halves and both == text:
+                return [parts[i], parts[j]]
             parts[i], parts[j] = both, None
             right[i] = right[j]
             if right[j] < len(parts):
                 left[right[j]] = i
             offer(left[i], i)
             offer(i, right[i])
-        return [p for p in parts if p is not None]
-
-    def weight(self, a: str, b: str) -> bool:
-        """Is the weight of b's arc from a state whose last piece is a finite (BPE)?"""
-        known = self.beside.get((a, b))
+        out = [p for p in parts if p is not None]
+        return [] if halves else out
+
+    def split(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces whose merge makes the piece; None for a single character."""
+        if piece not in self.parts:
+            whole = self.merged(piece, halves=True) if len(piece) > 1 else None
+            self.parts[piece] = tuple(whole) if whole else None
+        return self.parts[piece]
+
+    def weight(self, a: int, b: int) -> bool:
+        """Is the weight of b's arc from a state whose last piece is a finite (BPE)?
+
+        Merges are undone from the last on, on either side of the border; the weight is infinite if, at a time when both parts beside the border
+        exist, their merge has a better score than what comes next there (at equal scores the left one comes first).
+        """
+        known = self.beside.get(a << 32 | b)
         if known is None:
-            if len(self.beside) > 2_000_000:
+            if len(self.beside) > 3_000_000:
                 self.beside.clear()
-            known = self.beside[a, b] = self.merged(a + b) == [a, b]
+            left, right = self.text[a], self.text[b]
+            known = self.beside[a << 32 | b] = self.finite(left, right)
         return known
 
-    def shortest(self, run: str) -> list[str]:
-        """Pieces (or single characters) along the shortest path for one run, blanks as U+2581."""
-        n, ids, longest = len(run), self.id, self.longest
-        last: list[str] = [""] * (n + 1)
+    def finite(self, left: str, right: str) -> bool:
+        score, late = self.score, (float("inf"), 0)  # a merge's score, and its place: left of the border 0, across 1, right 2
+        rank = lambda p: -score[p] if len(p) > 1 else float("-inf")
+        while True:
+            both = left + right
+            if both in score and (-score[both], 1) < late:
+                return False
+            if rank(left) > rank(right):
+                late, left = (rank(left), 0), self.split(left)[1]
+            elif len(right) > 1:
+                late, right = (rank(right), 2), self.split(right)[0]
+            else:
+                return True
+
+    def shortest(self, run: str) -> list[int]:
+        """Ids along the shortest path for one run (blanks as U+2581); -1 for a character that no piece spells."""
+        n = len(run)
+        last, size = [-1] * (n + 1), [1] * (n + 1)
         if self.kind == BPE:
-            for j in range(1, n + 1):
-                for i in range(max(0, j - longest), j):
-                    piece = run[i:j]
-                    if (piece in ids or i == j - 1) and (not i or self.weight(last[i], piece)):
-                        last[j] = piece
-                        break
+            beside, weight = self.beside, self.weight
+            for end, (k, i) in self.arcs.iter(run):
+                at = end + 1 - k
+                if last[end + 1] < 0:
+                    before = last[at]
+                    if not at or before < 0:
+                        last[end + 1], size[end + 1] = i, k
+                    else:
+                        known = beside.get(before << 32 | i)
+                        if weight(before, i) if known is None else known:
+                            last[end + 1], size[end + 1] = i, k
         else:
-            cost = [0.0] + [float("inf")] * n
             floor = min(self.score.values()) - 10
+            ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+            for end, arc in self.arcs.iter(run):
+                ends[end + 1].append(arc)
+            cost = [0.0] + [float("inf")] * n
             for j in range(1, n + 1):
-                for i in range(max(0, j - longest), j):
-                    piece = run[i:j]
-                    if piece in ids or i == j - 1:
-                        c = cost[i] - self.score.get(piece, floor)
-                        if c < cost[j]:
-                            cost[j], last[j] = c, piece
+                cost[j] = cost[j - 1] - floor
+                for k, i in ends[j]:
+                    c = cost[j - k] - self.score[self.text[i]]
+                    if c < cost[j]:
+                        cost[j], last[j], size[j] = c, i, k
         out, j = [], n
         while j:
             out.append(last[j])
-            j -= len(last[j])
+            j -= size[j]
         return out[::-1]
 
     def path(self, run: str) -> bytes:
         """Ids of one run, little-endian 32-bit."""
-        ids: list[int] = []
-        for piece in self.shortest(run.replace(" ", BLANK)):
-            i = self.id.get(piece)
-            if i is None:
-                ids += [self.bytes[b] for b in piece.encode()]
+        text, ids, at = run.replace(" ", BLANK), [], 0
+        for i in self.shortest(text):
+            if i < 0:
+                ids += [self.bytes[b] for b in text[at].encode()]
+                at += 1
             else:
                 ids.append(i)
+                at += len(self.text[i])
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
@@ -163,21 +207,16 @@ class Transducer:
         text = text.replace(BLANK, " ")
         if self.prefix:
             text = " " + text
-        known = self.paths
-        if "  " in text or text[0] != " ":
-            runs = RUN.findall(text)
-            parts = list(map(known.get, runs))
-        else:
-            runs = text[1:].split(" ")  # each stands for a blank and itself
-            parts = [known.get(r) for r in map(" ".__add__, runs)]
-            if None in parts:
-                runs = [" " + r for r in runs]
+        plain = "  " not in text and text[0] == " "
+        known, head = (self.words, " ") if plain else (self.paths, "")
+        runs = text[1:].split(" ") if plain else RUN.findall(text)
+        parts = list(map(known.get, runs))
         if None in parts:
             if len(known) > CACHE_RUNS:
                 known.clear()
             for i, p in enumerate(parts):
                 if p is None:
-                    parts[i] = known[runs[i]] = self.path(runs[i])
+                    parts[i] = known[runs[i]] = self.path(head + runs[i])
         return b"".join(parts)
 
     def decode(self, ids) -> str:
