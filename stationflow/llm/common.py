@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -113,13 +114,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a checkpoint in the shared folder that spark.checkpoint.dir names; a folder of its own only where that is unset."""
+def cut(df: DataFrame, free: bool = False) -> DataFrame:
+    """Cuts lineage by a checkpoint in the shared folder that spark.checkpoint.dir names; a folder of its own only where that is unset.
+
+    free: lets Spark's cleaner drop the shuffle files of frames that are no longer used now, not when the driver next collects its garbage.
+    """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if free:
+        del df
+        gc.collect()
+        sc._jvm.System.gc()
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -111,8 +111,8 @@ def marks(own: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
     # Anchors that occur twice or more; `mixed` ones have distinct spans. Cut here, so that the join below has an exchange on both
     # sides and Spark can split the places of a very frequent anchor.
     light = found.mapInArrow(opened(False), "ah long, sh long")
-    seeds = cut(light.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("x"), F.max("sh").alias("y")).where("n > 1").select("ah", (F.col("x") != F.col("y")).alias("mixed")))
-    places = cut(found.mapInArrow(opened(True), "__k long, __t long, p long, ah long, sh long").join(seeds, "ah").select("__k", "__t", "p", F.when(F.col("mixed"), F.col("ah")).alias("ah"), F.when(F.col("mixed"), F.col("sh")).alias("sh")))
+    seeds = cut(light.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("x"), F.max("sh").alias("y")).where("n > 1").select("ah", (F.col("x") != F.col("y")).alias("mixed")), free=True)
+    places = cut(found.mapInArrow(opened(True), "__k long, __t long, p long, ah long, sh long").join(seeds, "ah").select("__k", "__t", "p", F.when(F.col("mixed"), F.col("ah")).alias("ah"), F.when(F.col("mixed"), F.col("sh")).alias("sh")), free=True)
     whole = F.expr("shiftleft(2L, cast(shiftright(p, 6) & 63 as int)) - shiftleft(1L, cast(p & 63 as int))")
 
     # Distinct spans of mixed anchors, each with one place, whose windows are compared.
