@@ -125,11 +125,11 @@ def price(duals: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
-def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8, most: int = 24) -> list[tuple[np.ndarray, float]]:
+def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[tuple[np.ndarray, float]]:
     """Column generation for min sum(x) with sum(x_p * pattern_p) = demand: patterns of the basis and their counts.
 
     demand[i]: pieces of i + 1 units; a sequence has len(demand) units. Stops when no pattern prices out, or when the best
-    lower bound (the duals' value over the greatest pattern value) is within gap of the objective, or after `most` steps a unit.
+    lower bound (the duals' value over the greatest pattern value) is within gap of the objective, or when steps no longer lower it.
     """
     capacity = len(demand)
     rows = np.flatnonzero(demand)
@@ -140,10 +140,13 @@ def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8, most: int
     inverse = np.diag(1.0 / np.diag(basis))
     x = (inverse * d).sum(axis=1)  # not BLAS: its threads cost more than they save at this size
     steps, centre, bound = 0, d * 0, 0.0
-    while steps < most * capacity:  # degenerate steps may cycle; any basis gives a plan for all pieces
+    best, stalled = np.inf, 0
+    while stalled <= 2 * len(rows) + 16:  # degenerate steps may cycle; any basis gives a plan for all pieces
         y = inverse.sum(axis=0)
         if x.sum() <= bound * (1 + gap):
             break
+        stalled = 0 if x.sum() < best * (1 - 1e-9) else stalled + 1
+        best = min(best, float(x.sum()))
         # Prices between those of the best bound so far and the basis's keep the duals from swinging.
         for weight in (smooth, 0.0):
             at = weight * centre + (1 - weight) * y
