@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Words, bounded_batches, chunks, components, cut
+from .common import LOWER, Words, bounded_batches, chunks, components, cut, mix
 
 U64 = np.uint64
 
@@ -75,6 +75,8 @@ def text_fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int) -> np.nda
 
 
 SKETCH, KEYS = 64, 8
+#: Shingles that a group of sets holds at most, or nearly, and bytes after which a task compares the whole groups it holds.
+SHINGLES, HELD_BYTES = 1 << 22, 1 << 26
 _rng = np.random.Generator(np.random.PCG64(11))
 _XOR, _ODD = _rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64), _rng.integers(0, 1 << 62, SKETCH, dtype=np.uint64) * U64(2) + U64(1)
 
@@ -164,10 +166,20 @@ def close(planes: np.ndarray, by: int, valid: np.ndarray, radius: int) -> np.nda
     return alive
 
 
-def stars(fps: np.ndarray, group: np.ndarray, radius: int, sketch: np.ndarray | None = None, agree: float = 0) -> tuple[np.ndarray, np.ndarray]:
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Is the Jaccard similarity of two sets, sorted arrays, at least `similarity`? Two empty sets are alike."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-9:
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared >= similarity * (len(both) - shared) - 1e-9
+
+
+def stars(fps: np.ndarray, group: np.ndarray, radius: int, sketch: np.ndarray | None = None, agree: float = 0, sets: list[np.ndarray] | None = None, similarity: float = 0) -> tuple[np.ndarray, np.ndarray]:
     """Rows come sorted by group. The rows that are linked within their group, and their local roots.
 
-    With sketches, a pair within the radius is linked only if a share of `agree` of the sketches' bytes is equal.
+    With sketches, a pair within the radius is linked only if a share of `agree` of the sketches' bytes is equal;
+    with sets, only if these are similar by `similarity` too (not computed for pairs that are linked already).
     """
     n = len(fps)
     root = np.arange(n)
@@ -196,9 +208,9 @@ def stars(fps: np.ndarray, group: np.ndarray, radius: int, sketch: np.ndarray |
                 if sketch is not None:
                     near = (sketch[a] == sketch[b]).mean(axis=1) >= agree
                     a, b = a[near], b[near]
-                for i, j in zip(a.tolist(), b.tolist()):
-                    i, j = find(i), find(j)
-                    if i != j:
+                for x, y in zip(a.tolist(), b.tolist()):
+                    i, j = find(x), find(y)
+                    if i != j and (sets is None or alike(sets[x], sets[y], similarity)):
                         root[max(i, j)] = min(i, j)
             by += 1
 
@@ -212,20 +224,21 @@ def stars(fps: np.ndarray, group: np.ndarray, radius: int, sketch: np.ndarray |
     return moved, roots[moved]
 
 
-def tiled(keyed: DataFrame, own: str, by: list[str], tile: int) -> DataFrame:
-    """keyed with g, the group to be compared within: buckets of one row are dropped, those of over `tile` rows become pairs of tiles."""
-    full = keyed.groupBy(*by).agg(F.count("*").alias("__n")).where("__n > 1")
+def tiled(keyed: DataFrame, own: str, by: list[str], tile: int, size: str | None = None) -> DataFrame:
+    """keyed with g, the group to be compared within: buckets of one row are dropped, those of over `tile` rows (or SHINGLES in `size`) become pairs of tiles."""
+    share = F.greatest(F.count("*") / tile, F.sum(size) / SHINGLES) if size else F.count("*") / tile
+    full = keyed.groupBy(*by).agg(F.count("*").alias("__n"), F.ceil(share).cast("int").alias("__t")).where("__n > 1")
     rows = (
-        keyed.join(full, by).withColumn("__t", F.ceil(F.col("__n") / tile).cast("int")).withColumn("__s", F.pmod(F.xxhash64(own), F.col("__t")).cast("int"))
+        keyed.join(full, by).withColumn("__s", F.pmod(F.xxhash64(own), F.col("__t")).cast("int"))
         .withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__t") - 1)))
         .withColumn("g", F.xxhash64(*by, F.least("__s", "__o"), F.greatest("__s", "__o"), F.lit(1)))
     )
     return rows.drop("__n", "__t", "__s", "__o")
 
 
-def compared(rows: DataFrame, radius: int, agree: float | None = None) -> DataFrame:
-    """Edges a, b of a spanning forest of the links in every group. rows: node, fp, g, and with `agree` also sketch."""
-    own = rows.select("node", "fp", "g", *(["sketch"] if agree is not None else [])).repartition("g").sortWithinPartitions("g")
+def compared(rows: DataFrame, radius: int, agree: float | None = None, similarity: float | None = None) -> DataFrame:
+    """Edges a, b of a spanning forest of the links in every group. rows: node, fp, g, with `agree` also sketch, with `similarity` also set."""
+    own = rows.select("node", "fp", "g", *(["sketch"] if agree is not None else []), *(["set"] if similarity is not None else [])).repartition("g").sortWithinPartitions("g")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -233,14 +246,15 @@ def compared(rows: DataFrame, radius: int, agree: float | None = None) -> DataFr
         def done(part: pa.Table):
             node, fp, g = (part.column(c).to_numpy() for c in ("node", "fp", "g"))
             sketch = None if agree is None else np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            a, b = stars(fp.view(np.uint64), g, radius, sketch, agree or 0)
+            sets = None if similarity is None else [np.frombuffer(x, np.uint64) for x in part.column("set").to_pylist()]
+            a, b = stars(fp.view(np.uint64), g, radius, sketch, agree or 0, sets, similarity or 0)
             return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if len(held) < 64:
+            if len(held) < 64 and sum(b.nbytes for b in held) < HELD_BYTES:
                 continue
             table = pa.Table.from_batches(held)
             g = table.column("g").to_numpy()
@@ -283,8 +297,10 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
 
     Texts whose shingle sets are similar by `similarity` or more differ in more bits than block keys can find. So candidates are
     those that share one of KEYS least shingles (similar texts miss each other with probability (1 - similarity)^KEYS); they are compared
-    by their fingerprints, bit-sliced as above, and a pair within the radius is linked if its sketches agree as similar texts' do
-    (two standard errors below the similarity). Only keys, fingerprints and sketches are shuffled; texts once, by key, at the end.
+    by their fingerprints, bit-sliced as above, and by sketches (a byte of each least shingle). Both only sort out: a pair is linked if
+    the exact Jaccard similarity of its shingle hash sets says so. The sets are made for texts with a candidate only, and compared within
+    the connected components of the candidate pairs; components over a tile are compared by key again. Keys, fingerprints, sketches
+    and these sets are shuffled; texts by key, for the sets and at the end.
     """
     bounded_batches(docs.sparkSession)
     keyed = docs.withColumns({"__k": F.xxhash64(F.lit(1), id), "__t": F.xxhash64(text)})
@@ -296,17 +312,34 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
             least = sketches(hashes, first)
             ends = pa.array(np.arange(len(least) + 1, dtype=np.int32) * KEYS)
             keys = pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(least[:, :KEYS] + np.arange(KEYS, dtype=np.uint64)).view(np.int64).ravel()))
-            bytes_of = (least >> U64(56)).astype(np.uint8)
-            sketch = pa.array([r.tobytes() for r in bytes_of], pa.binary())
-            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(majority(hashes, first).view(np.int64)), sketch, keys], names=["id", "__k", "__t", "fp", "sketch", "keys"])
+            sketch = pa.array([r.tobytes() for r in mix(least).astype(np.uint8)], pa.binary())
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes))])
+            whole = pa.array((sums[first[1:]] - sums[first[:-1]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(majority(hashes, first).view(np.int64)), sketch, keys, whole, pa.array(np.diff(first))], names=["id", "__k", "__t", "fp", "sketch", "keys", "whole", "size"])
+
+    def shingle_sets(batches):
+        for rows, buf, offs in chunks(batches, "__x"):
+            hashes, first = shingle_hashes(buf, offs, shingle)
+            sets = pa.array([np.unique(hashes[a:b]).tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], sets], names=["node", "fp", "sketch", "set"])
 
-    prints = cut(own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, __k long, __t long, fp long, sketch binary, keys array<long>").withColumn("node", F.xxhash64("fp", "sketch", "keys")))
+    # A node is one collection of shingles: `whole` sums up all of them.
+    prints = cut(own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, __k long, __t long, fp long, sketch binary, keys array<long>, whole long, size long").withColumn("node", F.xxhash64("fp", "sketch", "keys", "whole", "size")))
     order = F.struct(F.col("id").isNull().alias("n"), "id", "__t", "__k")
-    nodes = cut(prints.groupBy("node", "fp", "sketch", "keys").agg(F.min(order).alias("o")))
+    nodes = cut(prints.groupBy("node", "fp", "sketch", "keys", "size").agg(F.min(order).alias("o")))
     buckets = tiled(nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")), "node", ["key"], tile)
     allowed = similarity - 2 * (similarity * (1 - similarity) / SKETCH) ** 0.5
-    found = components(compared(buckets, radius, allowed))
+    near = components(compared(buckets, radius, allowed))
+    members = cut(nodes.join(near, "node").select("node", "root", "fp", "sketch", "keys", "size", "o.__k", "o.__t"))
+
+    fits = (F.col("__n") <= tile) & (F.col("__m") <= SHINGLES)
+    placed = members.join(members.groupBy("root").agg(F.count("*").alias("__n"), F.sum("size").alias("__m")), "root").select("node", "root", "keys", "size", fits.alias("fits"))
+    large = placed.where("not fits").select("node", "root", "size", F.explode("keys").alias("key"))
+    groups = placed.where("fits").select("node", F.xxhash64("root", F.lit(2)).alias("g")).unionByName(tiled(large, "node", ["root", "key"], tile, "size").select("node", "g"))
+    first = F.row_number().over(Window.partitionBy("__k", "__t").orderBy(F.lit(1)))
+    texts = own.select("__k", "__t", "__x").join(members.select("node", "fp", "sketch", "__k", "__t"), ["__k", "__t"]).withColumn("__r", first).where("__r = 1").select("node", "fp", "sketch", "__x")
+    sets = texts.mapInArrow(shingle_sets, "node long, fp long, sketch binary, set binary")
+    found = components(compared(groups.join(sets, "node"), radius, allowed, similarity))
     rooted = nodes.select("node", "o").join(found, "node", "left").select(F.coalesce("root", "node").alias("root"), "o")
     keep = rooted.groupBy("root").agg(F.min("o").alias("o")).select("o.__k", "o.__t")
-    first = F.row_number().over(Window.partitionBy("__k", "__t").orderBy(F.lit(1)))
     return keyed.join(cut(keep), ["__k", "__t"]).withColumn("__r", first).where("__r = 1").select(*docs.columns)

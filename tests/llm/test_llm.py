@@ -111,6 +111,28 @@ def test_near_copies_leave_one(spark, docs, texts, empty):
     assert simhash.deduplicate(docs).columns == docs.columns and simhash.deduplicate(empty).count() == 0
 
 
+def like(rng, i, n, similarity):
+    """Two texts of n five-word shingles at least, whose sets share about `similarity`, and the exact figure."""
+    words = [f"w{i}x{rng.randrange(10**6)}" for _ in range(n)]
+    other, left = list(words), round(n * (1 - similarity) / (1 + similarity) / 5)
+    for at in rng.sample(range(2, n // 6), left):
+        other[6 * at] = f"v{i}x{rng.randrange(10**6)}"
+    sets = [{tuple(w[j : j + 5]) for j in range(n - 4)} for w in (words, other)]
+    return " ".join(words), " ".join(other), len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_unlike_texts_are_kept(spark, monkeypatch):
+    rng = random.Random(11)
+    pairs = [like(rng, i, n, s) for i, (n, s) in enumerate((n, s) for n in (150, 500, 1000) for s in (0.5, 0.6, 0.7, 0.78, 0.9) for _ in range(6))]
+    docs = frame(spark, [t for a, b, _ in pairs for t in (a, b)])
+    want = {j for i, (_, _, s) in enumerate(pairs) for j in (2 * i, 2 * i + 1) if s < 0.8 or j % 2 == 0} | {None}
+    assert len(want) == 1 + 4 * 3 * 6 * 2 + 3 * 6
+    got = [r["doc_id"] for r in simhash.deduplicate(docs).collect()]
+    assert len(got) == len(set(got)) and not {j for j in want if j is not None} - set(got)
+    monkeypatch.setattr(simhash, "SHINGLES", 2000)
+    assert sorted(map(str, got)) == sorted(str(r["doc_id"]) for r in simhash.deduplicate(docs, tile=2).collect())
+
+
 @pytest.mark.parametrize("window,k", [(35, 8), (5, 3)])
 def test_substring_against_brute_force(docs, empty, window, k):
     rows = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in docs.collect()]
