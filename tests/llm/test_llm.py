@@ -306,6 +306,18 @@ def test_neighbours_recall_and_ties(spark):
     assert neighbours.nearest(few).count() == 2
 
 
+def test_neighbours_of_leaves_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows + rows[:60:20], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(df, k=10, every=20, confidence=0.999999, leaf=32, block=8).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    d = ((vectors[:, None] - vectors[None]) ** 2).sum(axis=2)
+    assert dict(got) == {q: [i for i in np.argsort(d[q], kind="stable").tolist() if i != q][:10] for q in range(0, 300, 20)}
+
+
 def test_sentencepiece_equals_the_library(docs, empty):
     import sentencepiece
 
