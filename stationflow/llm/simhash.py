@@ -292,12 +292,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     return prints.join(by_fp.join(least, "root").select("fp", "component_id"), "fp", "left").select(id, "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 14, tile: int = 4096) -> DataFrame:
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 24, tile: int = 4096) -> DataFrame:
     """The rows of docs without all but one of each group of near copies; the least id (then text hash) stays, one of repeated rows.
 
     Texts whose shingle sets are similar by `similarity` or more differ in more bits than block keys can find. So candidates are
     those that share one of KEYS least shingles (similar texts miss each other with probability (1 - similarity)^KEYS); they are compared
-    by their fingerprints, bit-sliced as above, and by sketches (a byte of each least shingle). Both only sort out: a pair is linked if
+    by their fingerprints, bit-sliced as above, and by sketches (a byte of each least shingle). Both only sort out, wide enough (five
+    standard errors) to lose nothing that could be measured at the similarity: a pair is linked if
     the exact Jaccard similarity of its shingle hash sets says so. The sets are made for texts with a candidate only, and compared within
     the connected components of the candidate pairs; components over a tile are compared by key again. Keys, fingerprints, sketches
     and these sets are shuffled; texts by key, for the sets and at the end.
@@ -328,7 +329,7 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     order = F.struct(F.col("id").isNull().alias("n"), "id", "__t", "__k")
     nodes = cut(prints.groupBy("node", "fp", "sketch", "keys", "size").agg(F.min(order).alias("o")))
     buckets = tiled(nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")), "node", ["key"], tile)
-    allowed = similarity - 2 * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    allowed = similarity - 5 * (similarity * (1 - similarity) / SKETCH) ** 0.5
     near = components(compared(buckets, radius, allowed))
     members = cut(nodes.join(near, "node").select("node", "root", "fp", "sketch", "keys", "size", "o.__k", "o.__t"))
 

@@ -133,6 +133,14 @@ def test_unlike_texts_are_kept(spark, monkeypatch):
     assert sorted(map(str, got)) == sorted(str(r["doc_id"]) for r in simhash.deduplicate(docs, tile=2).collect())
 
 
+def test_near_copies_far_in_bits_are_linked(spark):
+    rng = random.Random(12)
+    made = (like(rng, i, 100, 0.81) for i in range(10**6))
+    far = (p for p in made if p[2] >= 0.8 and (fingerprint(p[0], 5) ^ fingerprint(p[1], 5)).bit_count() > 14)
+    docs = frame(spark, [t for _ in range(4) for t in next(far)[:2]])
+    assert sorted(str(r["doc_id"]) for r in simhash.deduplicate(docs).collect()) == ["0", "2", "4", "6", "None"]
+
+
 @pytest.mark.parametrize("window,k", [(35, 8), (5, 3)])
 def test_substring_against_brute_force(docs, empty, window, k):
     rows = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in docs.collect()]
