@@ -11,7 +11,7 @@ Ranks come from per-shard row numbers and a running sum of shard counts, so no c
 
 Defined results: null and empty texts are one piece that holds the end id. Repeated rows are packed once each. Pieces of
 equal class are ranked by hash shard, then id, start, checksum: ties are equal rows, and which is which doesn't matter. An empty
-table gives no rows. Special-token strings in a text are ordinary text. Other columns are ignored.
+table gives no rows. A text that holds a special token's string gets that token's id there, as the library gives it as loaded. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,15 +44,19 @@ class Encoder:
 
     The split pattern never joins what stands before and after a space, except in runs of white space with two spaces in a row;
     so a text is encoded by its space-separated units, each looked up in a bounded cache. Texts with two spaces in a row are encoded whole.
+    Texts with the string of an added token (special ones among them) go through the library that owns the file format, as loaded.
     """
 
     def __init__(self, path: str):
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, self.added = file["model"], tuple(t["content"] for t in file["added_tokens"])
+        self.library = Tokenizer.from_file(path)
         alphabet = byte_alphabet()
-        ranks = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items() if all(c in alphabet for c in token) and not (token.startswith("<|") and token.endswith("|>"))}
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items() if all(c in alphabet for c in token) and token not in self.added}
         merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         if merged != sorted(merged):
             raise ValueError("the ids of the merges are not in merge order")
@@ -64,6 +68,9 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if "  " in text or not text:
             return self.whole(text)
         head, *units = text.split(" ")
@@ -125,6 +132,25 @@ def price(duals: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray | None:
+    """The inverse, by row operations with pivots; None if it is singular to working precision.
+
+    LAPACK's own threads can wait for ever on the driver once it has started the JVM, and a basis has few hundred rows at most.
+    """
+    n = len(matrix)
+    work = np.concatenate([matrix.astype(float), np.eye(n)], axis=1)
+    for i in range(n):
+        p = i + int(np.abs(work[i:, i]).argmax())
+        if abs(work[p, i]) < 1e-10:
+            return None
+        work[[i, p]] = work[[p, i]]
+        work[i] /= work[i, i]
+        rest = work[:, i].copy()
+        rest[i] = 0
+        work -= rest[:, None] * work[i]
+    return work[:, n:]
+
+
 def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[tuple[np.ndarray, float]]:
     """Column generation for min sum(x) with sum(x_p * pattern_p) = demand: patterns of the basis and their counts.
 
@@ -171,9 +197,8 @@ def solve(demand: np.ndarray, gap: float = 0.005, smooth: float = 0.8) -> list[t
         inverse[out] = pivot
         basis[:, out] = pattern[rows]
         steps += 1
-        if steps % 200 == 0:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum((inverse * d).sum(axis=1), 0)
+        if steps % 200 == 0 and (exact := inverted(basis)) is not None:
+            inverse, x = exact, np.maximum((exact * d).sum(axis=1), 0)
     full = np.zeros((len(rows), capacity), np.int64)
     full[:, rows] = basis.T
     return list(zip(full, x))

@@ -163,7 +163,6 @@ def test_packing_exact_and_full(docs, empty):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     rows = packing.pack_documents(docs, path).collect()
     ids = {r["doc_id"]: np.array(own.encode(r["text"] or "", add_special_tokens=False).ids + [1], "<u4") for r in docs.collect()}
     for r in rows:
@@ -187,13 +186,20 @@ def test_packing_encoder_equals_the_library():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     own, fast = Tokenizer.from_file(path), packing.Encoder(path)
-    own.encode_special_tokens = True
-    odd = ["", "  a", "a  b", " a\n b \n\n c", "x\n  y", "<|endoftext|> hi", "don't  stop", "\t\n a \t b", "   ", "a ", "日本 語 🙂", "\r\n \r\n x", "  a  b"]
+    odd = ["", "  a", "a  b", " a\n b \n\n c", "x\n  y", "<|endoftext|> hi", "a <|endoftext|>  b", "<|endoftext|>", "<|endoftext |>", "don't  stop", "\t\n a \t b", "   ", "a ", "日本 語 🙂", "\r\n \r\n x", "  a  b"]
     for t in odd + [t for t in corpus(4) if t]:
         assert np.frombuffer(fast(t), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids, t
 
 
-def test_cutting_stock_fill():
+def test_inverse_by_rows():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 7, 128):
+        m = rng.integers(0, 5, (n, n)) + 3 * np.eye(n, dtype=int)
+        assert np.abs((packing.inverted(m)[:, :, None] * m[None]).sum(axis=1) - np.eye(n)).max() < 1e-8
+    assert packing.inverted(np.ones((3, 3))) is None
+
+
+def test_cutting_stock_fill(spark):
     rng = np.random.default_rng(0)
     lengths = np.minimum(np.maximum(1, rng.lognormal(6.6, 1.1, 4000).astype(int)), 2040)
     demand = np.bincount((lengths + 15) // 16 - 1, minlength=128)
