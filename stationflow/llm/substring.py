@@ -11,7 +11,8 @@ all windows that it anchors.
 Overlapping repeated windows of a document join up to its maximal repeats over the length threshold.
 
 No pair of occurrences is ever formed: counts are partial aggregates by anchor, span and window hash, so a passage
-that a third of all documents share costs one row for each place, and one for each distinct neighbourhood.
+that a third of all documents share costs one row for each distinct neighbourhood. The places of the most frequent anchors and spans
+are settled where they are read, from a table of bounded size, and take part in no join.
 
 Equality is that of 128 bits of hashes (64 of the anchor, 64 of the span or window). Defined results: null, empty and short
 texts have no window; repeated rows repeat each other, as any two copies do; a text may repeat itself. An empty table gives no rows.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import Words, bounded_batches, chunks, cut, gram_hashes, mix, powers
 
 U64 = np.uint64
+#: Keys that are told to all tasks at most, and places from which a key may be one of them.
+HOT_KEYS, HOT_PLACES = 4096, 1000
 _WINDOW_BASE, _SPAN_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 
 
@@ -68,6 +71,26 @@ def anchors(words: Words, window: int, k: int) -> tuple[np.ndarray, ...]:
     return doc[new], at - words.first[doc[new]], at - a, at - b, grams[at], span
 
 
+class Held:
+    """A set of pairs of 64-bit numbers."""
+
+    def __init__(self, pairs: list[tuple[int, int]]):
+        a, b = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(self.key(a, b), kind="stable")
+        self.a, self.b, self.keys = a[order], b[order], self.key(a, b)[order]
+
+    @staticmethod
+    def key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix(a.view(np.uint64)) ^ b.view(np.uint64)
+
+    def holds(self, a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(a), bool)
+        b = np.zeros(len(a), np.int64) if b is None else b
+        at = np.minimum(np.searchsorted(self.keys, self.key(a, b)), len(self.keys) - 1)
+        return (self.a[at] == a) & (self.b[at] == b)
+
+
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     """__k, __t: the key of a row (equal rows share it)."""
     return docs.withColumns({"__k": F.xxhash64(F.lit(1), F.col(id)), "__t": F.xxhash64(F.col(text).cast("string"))})
@@ -94,29 +117,55 @@ def marks(own: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
 
     found = cut(own.select("__k", "__t", "__x").mapInArrow(find, "__k long, __t long, blob binary"))
 
-    def opened(full: bool):
+    def opened(batches):
+        """key, text hash, place, anchor and span of every anchor occurrence, as arrays, and which row of the batch each is of."""
+        for batch in batches:
+            blob = batch.column(2)
+            offs = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1]
+            data = np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offs[0] : offs[-1]].view(np.int64).reshape(-1, 3)
+            yield batch, np.repeat(np.arange(len(blob)), np.diff(offs) // 24), *(np.ascontiguousarray(data[:, i]) for i in range(3))
+
+    def light(batches):
+        for _, _, _, ah, sh in opened(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ah), pa.array(sh)], names=["ah", "sh"])
+
+    def chosen(which):
+        """Place rows where which(ah, sh) says so: it gives the rows, and of these, whether the place is settled (then ah and sh are null)."""
+
         def run(batches):
-            for batch in batches:
-                blob = batch.column(2)
-                offs = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1]
-                data = np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offs[0] : offs[-1]].view(np.int64).reshape(-1, 3)
-                columns = [pa.array(np.ascontiguousarray(data[:, i])) for i in ((0, 1, 2) if full else (1, 2))]
-                if full:
-                    of = pa.array(np.repeat(np.arange(len(blob)), np.diff(offs) // 24))
-                    columns = [batch.column(0).take(of), batch.column(1).take(of), *columns]
-                yield pa.RecordBatch.from_arrays(columns, names=["__k", "__t", "p", "ah", "sh"] if full else ["ah", "sh"])
-
-        return run
-
-    # Anchors that occur twice or more; `mixed` ones have distinct spans. Cut here, so that the join below has an exchange on both
-    # sides and Spark can split the places of a very frequent anchor.
-    light = found.mapInArrow(opened(False), "ah long, sh long")
-    seeds = cut(light.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("x"), F.max("sh").alias("y")).where("n > 1").select("ah", (F.col("x") != F.col("y")).alias("mixed")))
-    places = cut(found.mapInArrow(opened(True), "__k long, __t long, p long, ah long, sh long").join(seeds, "ah").select("__k", "__t", "p", F.when(F.col("mixed"), F.col("ah")).alias("ah"), F.when(F.col("mixed"), F.col("sh")).alias("sh")))
+            for batch, of, p, ah, sh in opened(batches):
+                rows, settled = which(ah, sh)
+                of = pa.array(of[rows])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(p[rows]), pa.array(ah[rows], mask=settled), pa.array(sh[rows], mask=settled)], names=["__k", "__t", "p", "ah", "sh"])
+
+        return found.mapInArrow(run, "__k long, __t long, p long, ah long, sh long")
+
+    # Anchors that occur twice or more; `mixed` ones have distinct spans.
+    seeds = cut(found.mapInArrow(light, "ah long, sh long").groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("x"), F.max("sh").alias("y")).where("n > 1").select("ah", "n", (F.col("x") != F.col("y")).alias("mixed")))
+
+    # The most frequent anchors, and their most frequent spans, are told to the tasks: at most HOT_KEYS rows each, so no join meets a key
+    # with more than one HOT_KEYS-th of all places. All others are joined.
+    hottest = lambda df: df.where(F.col("n") >= HOT_PLACES).orderBy(F.desc("n"), *(c for c in ("ah", "sh") if c in df.columns)).limit(HOT_KEYS)
+    top = hottest(seeds).collect()
+    hot = Held([(r["ah"], 0) for r in top])
+    mixed = Held([(r["ah"], 0) for r in top if r["mixed"]])
+    one = lambda df: df.groupBy("ah", "sh").agg(F.count("*").alias("n"), F.min(F.struct("__k", "__t", "p")).alias("at"))
+    unsettled = lambda rows: (np.flatnonzero(rows), np.zeros(int(rows.sum()), bool))
+    places = chosen(lambda ah, sh: unsettled(~hot.holds(ah))).join(seeds, "ah")
+    places = places.select("__k", "__t", "p", F.when(F.col("mixed"), F.col("ah")).alias("ah"), F.when(F.col("mixed"), F.col("sh")).alias("sh"))
+    if top:
+        hot_spans = cut(one(chosen(lambda ah, sh: unsettled(mixed.holds(ah)))))
+        told = Held([(r["ah"], r["sh"]) for r in hottest(hot_spans).select("ah", "sh").collect()])
+        places = places.unionByName(chosen(lambda ah, sh: (rows := np.flatnonzero(hot.holds(ah)), ~mixed.holds(ah[rows]) | told.holds(ah[rows], sh[rows]))))
+    places = cut(places)
     whole = F.expr("shiftleft(2L, cast(shiftright(p, 6) & 63 as int)) - shiftleft(1L, cast(p & 63 as int))")
 
     # Distinct spans of mixed anchors, each with one place, whose windows are compared.
-    spans = cut(places.where("ah is not null").groupBy("ah", "sh").agg(F.count("*").alias("n"), F.min(F.struct("__k", "__t", "p")).alias("at")))
+    spans = one(places.where("ah is not null"))
+    if top:
+        kept = spans.join(hot_spans.select("ah", "sh"), ["ah", "sh"], "left_anti")
+        spans = kept.unionByName(hot_spans)
+    spans = cut(spans)
     wanted = spans.groupBy("at.__k", "at.__t").agg(F.collect_list(F.struct("at.p", "ah", "sh")).alias("r")).select("__k", "__t", F.col("r.p").alias("__p"), F.col("r.ah").alias("__ah"), F.col("r.sh").alias("__sh"))
 
     def expand(batches):
@@ -134,10 +183,13 @@ def marks(own: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ah.flatten().take(pa.array(of)), sh.flatten().take(pa.array(of)), pa.array(o.astype(np.int32)), pa.array(windows[place[of] - o].view(np.int64))], names=["ah", "sh", "o", "wh"])
 
     texts = own.join(wanted.hint("merge"), ["__k", "__t"])
-    rows = texts.mapInArrow(expand, "ah long, sh long, o int, wh long").distinct()
-    twice = rows.groupBy("ah", "wh").agg(F.count("*").alias("n")).where("n > 1").select("ah", "wh")
-    partly = rows.join(twice, ["ah", "wh"]).groupBy("ah", "sh").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("bits"))
-    known = spans.select("ah", "sh", "n").join(partly, ["ah", "sh"], "left").where("n > 1 or bits is not null")
+    # A window counts as repeated if it starts at two (span, offset) pairs; the same pair met twice, by repeated rows, is one.
+    rows = texts.mapInArrow(expand, "ah long, sh long, o int, wh long")
+    own_start = F.xxhash64("sh", "o")
+    twice = rows.groupBy("ah", "wh").agg(F.min(own_start).alias("x"), F.max(own_start).alias("y")).where("x <> y").select("ah", "wh")
+    # Both are cut, so that the joins have an exchange on either side and Spark can split a frequent key.
+    partly = rows.join(cut(twice), ["ah", "wh"]).groupBy("ah", "sh").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("bits"))
+    known = cut(spans.select("ah", "sh", "n").join(partly, ["ah", "sh"], "left").where("n > 1 or bits is not null").select("ah", "sh", "n", "bits"))
     some = places.where("ah is not null").join(known, ["ah", "sh"]).select("__k", "__t", "p", F.when(F.col("n") > 1, whole).otherwise(F.col("bits")).alias("bits"))
     every = places.where("ah is null").select("__k", "__t", "p", whole.alias("bits"))
     return some.unionByName(every).groupBy("__k", "__t").agg(F.collect_set(F.struct(F.shiftright("p", 12).alias("p"), "bits")).alias("m"))
