@@ -345,7 +345,7 @@ def test_neighbours_recall_and_ties(spark):
     assert neighbours.nearest(few).count() == 2
 
 
-def test_neighbours_of_leaves_in_blocks(spark):
+def test_neighbours_of_leaves_in_blocks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     vectors = rng.standard_normal((300, 8))
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
@@ -354,7 +354,27 @@ def test_neighbours_of_leaves_in_blocks(spark):
     for r in neighbours.nearest(df, k=10, every=20, confidence=0.999999, leaf=32, block=8).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["vec_id"])
     d = ((vectors[:, None] - vectors[None]) ** 2).sum(axis=2)
-    assert dict(got) == {q: [i for i in np.argsort(d[q], kind="stable").tolist() if i != q][:10] for q in range(0, 300, 20)}
+    want = {q: [i for i in np.argsort(d[q], kind="stable").tolist() if i != q][:10] for q in range(0, 300, 20)}
+    assert dict(got) == want
+    monkeypatch.setattr(neighbours, "MOST_LEAVES", 1)  # no leaf is split: all go as blocks
+    got.clear()
+    for r in neighbours.nearest(df, k=10, every=20, confidence=0.999999, leaf=32, block=8).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert dict(got) == want
+
+
+def test_grafted_tree_places_as_its_parts():
+    rng = np.random.default_rng(6)
+    points = rng.standard_normal((500, 4))
+    nodes = neighbours.kd_tree(points, 100)
+    at = neighbours.leaf_of(nodes, points)
+    subs = {int(x): neighbours.kd_tree(points[at == x], 9) for x in set(at.tolist()) if x != 1}
+    tree, leaves = neighbours.grafted(nodes, len(nodes) + 1, subs)
+    now = neighbours.leaf_of(tree, points)
+    assert set(now.tolist()) == set(range(leaves)) and (now[at == 1] == 1).all()
+    for x, sub in subs.items():
+        own = neighbours.leaf_of(sub, points[at == x])
+        assert len({(a, b) for a, b in zip(own.tolist(), now[at == x].tolist())}) == len(set(own.tolist()))
 
 
 def test_sentencepiece_equals_the_library(docs, empty):
