@@ -6,8 +6,9 @@ bit's loss weighted by how well its classifier did on that language in training.
 
 For up to 6 languages all splits are used (2^(K-1) - 1 bits), for more, 3 log2(K) + 12 random ones of greatest separation.
 
-The classifiers are fitted on at most `sample` labelled documents (at least 20 of each language, by a hash of the id), whose n-gram shares
-are computed on the executors from whole texts; the n-gram shares of every text are of its whole text.
+The classifiers are fitted on labelled documents, `sample` // languages of each language (20 where that is less: with over sample / 20 languages they
+are 20 times as many as languages, and no language is left out), chosen by a hash of id and text. Their n-gram shares are computed on the executors
+from whole texts; the n-gram shares of every text are of its whole text.
 
 Defined results: `und` with score 0 and not ambiguous if the text is null or has no letter, or nothing could be learned. One
 language: it alone is predicted, score 1. Ties go to the language first in order. Null languages are not learned. Repeated rows each
@@ -113,10 +114,14 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     """learn: which rows may be learned from."""
     bounded_batches(docs.sparkSession)
     own = docs.where(learn & F.col(lang).isNotNull() & F.col(text).cast("string").rlike(r"\p{L}")).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(id, text).alias("h"), F.col(text).cast("string").alias("x"))
-    languages = [r["lang"] for r in own.select("lang").distinct().orderBy("lang").limit(sample // 20 + 1).collect()]
-    if not languages:
+    found = own.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
+    if not found:
         return None
+    languages = [r["lang"] for r in found]
     each = max(20, sample // len(languages))
+    # A language's share that holds `each` rows all but surely comes from the hash alone, so only few rows are ranked, however frequent the language.
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, (2 * each + 50) / r["count"])) for r in found], "lang string, share double")
+    own = own.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 31)) < F.col("share") * (1 << 31))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     few = own.select("lang", "h").withColumn("r", rank).where(F.col("r") <= each).groupBy("lang").agg(F.max("h").alias("most"))
     chosen = own.join(F.broadcast(few), "lang").where("h <= most").select("lang", "h", "x")  # a row for each of the languages
@@ -127,7 +132,7 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
             data = [r.tobytes() for r in shares(x)]
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(data, pa.binary())], names=["lang", "h", "x"])
 
-    got = chosen.mapInArrow(run, "lang string, h long, x binary").dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect()  # at most `sample` rows of 8 KB, or 20 a language
+    got = chosen.mapInArrow(run, "lang string, h long, x binary").dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect()  # rows of 8 KB
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in got])
     number = {l: i for i, l in enumerate(languages)}
     return train(x, np.array([number[r["lang"]] for r in got]), languages)
