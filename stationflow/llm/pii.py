@@ -1,17 +1,16 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field over whole spans.
 
 The patterns (email, ip, card, phone) are matched exactly as stated in their names below; their spans always stay. The field adds
-what they miss: it cuts the text near a trigger (a token with a digit or @) into segments of at most `most_tokens` tokens,
-each outside or an entity of one type. A segment is scored as a whole by features of its shape (digit count, separators,
+what they miss: tokens are runs without white space, quotes, = and :, and the text near a trigger (a token with a digit or @, or after a telling
+name such as "password") is cut into segments of at most `most_tokens` tokens, each outside or an entity of one type. A segment is scored as a whole by features of its shape (digit count, separators,
 checksum, the word before it ...); bounded-entity dynamic programming chooses boundaries and types together. Its types are
 those of the patterns, and `secret` (keys, tokens, passwords).
 
-It is trained by likelihood: gradient steps on the forward-backward expectations of at most `sample` trigger regions, labelled by
-the patterns and, for secrets, by an assignment to a telling name. Regions of sampled documents are found on the executors.
+It is trained by likelihood: gradient steps on the forward-backward expectations of at most `sample` distinct trigger regions, labelled by
+the patterns and, for secrets, by an assignment to a telling name. Regions are found on the executors, in at most `documents` distinct texts.
 
 Defined results: null text counts as empty and has no span. Offsets are code points, ends exclusive. Repeated rows each give a row. An
-empty table gives no rows, and the weights stay zero. Texts are searched whole, however long; tokens over `long_token` characters are
-matched by the patterns but are no segment. Other columns are passed on by redact() and ignored by find().
+empty table gives no rows, and the weights stay zero. Texts are searched whole, and tokens may be of any length. Other columns are passed on by redact() and ignored by find().
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, cut
 
 KINDS = ("email", "ip", "card", "phone")
 TYPES = (*KINDS, "secret")
@@ -34,9 +33,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-SECRET = re.compile(r"""(?i)(?:token|secret|api_?key|passw(?:or)?d|key)["']?\s*[=:]\s*["']?([A-Za-z0-9_+/=-]{16,})""")
-TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+SECRET = re.compile(r"""(?i)(?:token|secret|api_?key|passw(?:or)?d|key)["']?\s*[=:]\s*["']?([A-Za-z0-9_+/-]{16,})""")
+TOKEN = re.compile(r"[^\x20\x09-\x0D=:\"']+")
 TELLING = frozenset(("token", "secret", "key", "apikey", "api_key", "password", "passwd"))
+NAMED = re.compile("(?i)token|secret|key|passw")
+NAME = re.compile("[a-z_]+")
+CONTEXT = 48
 
 
 def luhn(digits: str) -> bool:
@@ -85,40 +87,41 @@ def joined(spans) -> str:
 
 
 class Region:
-    """Consecutive tokens around triggers: their bounds in the text, cut free of surrounding punctuation."""
+    """Consecutive tokens around triggers: their bounds in the text, cut free of surrounding punctuation, and the text before the first."""
 
     def __init__(self, tokens: list[tuple[int, int]], before: str):
         self.tokens, self.before = tokens, before
 
 
 def bare(text: str, start: int, end: int) -> tuple[int, int]:
-    while start < end and text[start] in "\"'(<[{,;:":
+    while start < end and text[start] in "(<[{,;":
         start += 1
-    while end > start and text[end - 1] in "\"'>]},;:.!?#*$%&|":
+    while end > start and text[end - 1] in ">]},;.!?#*$%&|":
         end -= 1
     return start, end
 
 
-def regions(text: str, long_token: int = 128) -> list[Region]:
-    """Runs of trigger tokens, each with up to two tokens before it as context."""
+def regions(text: str) -> list[Region]:
+    """Runs of trigger tokens, each with the characters before it as context."""
     out: list[Region] = []
-    if not (DIGIT.search(text) or "@" in text):
+    if not (DIGIT.search(text) or "@" in text or NAMED.search(text)):
         return out
     run: list[tuple[int, int]] = []
-    past: list[str] = ["", ""]
-    context = ""
+    told = False
+
+    def done():
+        out.append(Region(run, text[max(0, run[0][0] - CONTEXT) : run[0][0]]))
+
     for m in TOKEN.finditer(text):
         token = m[0]
-        if len(token) <= long_token and (DIGIT.search(token) or "@" in token):
-            if not run:
-                context = " ".join(past)
+        if told or DIGIT.search(token) or "@" in token:
             run.append(bare(text, m.start(), m.end()))
         elif run:
-            out.append(Region(run, context))
+            done()
             run = []
-        past = [past[1], token[-32:]]
+        told = len(token) < 12 and token.lower() in TELLING
     if run:
-        out.append(Region(run, context))
+        done()
     return out
 
 
@@ -131,7 +134,7 @@ def features(text: str, region: Region, i: int, j: int) -> list[int]:
     s = text[start:end]
     digits = [c for c in s if "0" <= c <= "9"]
     n, share = len(digits), len(digits) / max(1, len(s))
-    words = (region.before.split() if i == 0 else text[region.tokens[max(0, i - 2)][0] : start].split())[-2:]
+    prior = (region.before + text[max(region.tokens[0][0], start - CONTEXT) : start])[-CONTEXT:]
     letters = sum(c.isalpha() for c in s)
     on = [0, 1 + min(j - i, 4) - 1]
     on.append(5 + (0 if n == 0 else 1 if n < 7 else 2 if n < 10 else 3 if n < 14 else 4 if n < 16 else 5 if n < 20 else 6))
@@ -141,7 +144,7 @@ def features(text: str, region: Region, i: int, j: int) -> list[int]:
     for k, holds in enumerate((
         "@" in s, s.count("@") == 1 and "." in s.partition("@")[2], s.startswith("+"), "(" in s, " " in s, s.isdigit(),
         letters == 0, n >= 14 and letters == 0 and luhn("".join(digits)), len(s) >= 16 and s.isalnum() and letters > 0, len(s) >= 32,
-        any(re.sub(r"[^a-z_]", "", w.lower()) in TELLING for w in words), bool(words) and words[-1][-1] in "=:", "=" in s, all(c in "0123456789abcdefABCDEF" for c in s),
+        any(w in TELLING for w in NAME.findall(prior.lower())[-2:]), prior.rstrip(" \"'").endswith(("=", ":")), "=" in s, all(c in "0123456789abcdefABCDEF" for c in s),
         s.count(".") == 3 and s.replace(".", "").isdigit() and all(p and int(p[:4]) <= 255 for p in s.split(".")), s[:1].isalpha(), s[-1:].isalpha(), any(c.isspace() and c != " " for c in s),
     )):
         if holds:
@@ -222,11 +225,11 @@ def train(examples: list[tuple[int, list, set]], steps: int = 60, rate: float =
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = 1500, documents: int = 20_000, most_tokens: int = 4, most_region: int = 12) -> np.ndarray:
-    """Weights from at most `sample` regions of the `documents` documents that come first by a hash of the text."""
+    """Weights from at most `sample` distinct regions of the `documents` distinct texts that come first by a hash."""
     bounded_batches(docs.sparkSession)
     x = F.col(text).cast("string")
-    chosen = docs.select(x.alias("x")).where(x.rlike("[0-9@]")).select("x", F.xxhash64("x").alias("h"))
-    few = chosen.select("h").orderBy("h").limit(documents).agg(F.max("h")).first()[0]
+    chosen = docs.select(x.alias("x")).where(x.rlike("[0-9@]|(?i)(token|secret|key|passw)")).select("x", F.xxhash64("x").alias("h"))
+    few = chosen.select("h").distinct().orderBy("h").limit(documents).agg(F.max("h")).first()[0]
 
     def run(batches):
         for batch in batches:
@@ -245,7 +248,8 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 1500, documents: int
 
     if few is None:
         return np.zeros((len(TYPES), FEATURES))
-    found = chosen.where(F.col("h") <= few).mapInArrow(run, "h long, n long, x string, before string, a array<long>, b array<long>, kind array<string>, s array<long>, e array<long>")
+    found = chosen.where(F.col("h") <= few).dropDuplicates(["h"]).mapInArrow(run, "h long, n long, x string, before string, a array<long>, b array<long>, kind array<string>, s array<long>, e array<long>")
+    found = cut(found.dropDuplicates(["x", "before"]))
     mixed = F.xxhash64("x", "before")
     labelled = found.where("size(kind) > 0").orderBy(mixed).limit(sample * 2 // 3)
     others = found.where("size(kind) = 0").orderBy(mixed).limit(sample // 3)
@@ -276,19 +280,20 @@ def spans(text: str, weights: np.ndarray | None, most_tokens: int = 4) -> tuple[
 
 
 def find(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 1500) -> DataFrame:
-    """doc_id, base (pattern spans) and spans (all), each as kind:start:end joined by commas, and the number of pattern spans by kind."""
+    """doc_id, base (pattern spans) and spans (all), each as kind:start:end joined by commas, the number of pattern spans by kind, of all spans, and of secrets."""
     weights = fit(docs, text, sample)
     own = docs.select(docs[id].alias("doc_id"), docs[text].cast("string").alias("text"))
-    names = ["doc_id", "base", "spans", *(f"n_{k}" for k in KINDS)]
+    names = ["doc_id", "base", "spans", *(f"n_{k}" for k in KINDS), "n_spans", "n_secret"]
 
     def run(batches):
         for batch in batches:
             got = [spans(t or "", weights) for t in batch.column(1).to_pylist()]
             counts = [pa.array([sum(s[1] == k for s in b) for b, _ in got], pa.int64()) for k in KINDS]
+            counts += [pa.array([len(a) for _, a in got], pa.int64()), pa.array([sum(s[1] == "secret" for s in a) for _, a in got], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([joined(b) for b, _ in got], pa.string()), pa.array([joined(a) for _, a in got], pa.string()), *counts], names=names)
 
     bounded_batches(docs.sparkSession)
-    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, base string, spans string" + "".join(f", n_{k} long" for k in KINDS))
+    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, base string, spans string" + "".join(f", {n} long" for n in names[3:]))
 
 
 def redacted(text: str, found: list[tuple[int, str, int]]) -> str:

@@ -54,7 +54,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = pii.find(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+    return got.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_spans", "n_secret")
 
 
 def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,6 +283,80 @@ def test_pii_field_learns_secrets(spark, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_pii_field_finds_long_and_inline_secrets(spark):
+    rng = random.Random(6)
+    key = lambda n: f"{rng.getrandbits(4 * n):0{n}x}"
+    texts = [f"some words {i} token = \"{key(40)}\" and {rng.randrange(2000)}" for i in range(100)] + [f"api_key={key(24)} then {i} words" for i in range(100)]
+    texts += [f"password: {key(300)} end", f"x token='{key(32)}' y", "the key point 12 is plain"]
+    secret = {r["doc_id"]: (r["spans"], r["n_secret"]) for r in pii.find(frame(spark, texts)).collect()}
+    assert sum(secret[i][1] == 1 for i in range(200)) > 190
+    assert secret[200] == ("secret:10:310", 1) and secret[201] == ("secret:9:41", 1) and secret[202] == ("", 0)
+
+
+def test_pii_field_against_all_segmentations():
+    """The best cut and the expectations of training, against an enumeration of every segmentation."""
+    rng = np.random.default_rng(3)
+    text = "a1 b2-3 +44 x@y.z 77.1.2.3 9"
+    region = pii.Region([(m.start(), m.end()) for m in pii.TOKEN.finditer(text)], "key = ")
+    arcs = {(i, j): on for i, j, on in pii.lattice(text, region, 3)}
+    n = len(region.tokens)
+
+    def every(at=0):
+        if at == n:
+            yield ()
+            return
+        for rest in every(at + 1):
+            yield rest
+        for j in range(at + 1, min(n, at + 3) + 1):
+            for rest in every(j):
+                for t in range(len(pii.TYPES)):
+                    yield ((at, j, t), *rest)
+
+    for _ in range(3):
+        w = rng.normal(-0.3, 0.5, (len(pii.TYPES), pii.FEATURES))
+        score = lambda cut: sum(w[t, arcs[i, j]].sum() for i, j, t in cut)  # noqa: B023, E731
+        best = max(every(), key=score)
+        got = pii.best_segments(text, region, w, 3)
+        assert got == [(region.tokens[i][0], pii.TYPES[t], region.tokens[j - 1][1]) for i, j, t in best]
+    # One step from zero weights: every segmentation is equally likely, so the expectations are plain shares.
+    gold = {(0, 1, "secret"), (3, 4, "email")}
+    cuts = list(every())
+    want = np.zeros_like(w)
+    for i, j, t in (s for c in cuts for s in c):
+        want[t, arcs[i, j]] += 1 / len(cuts)
+    for i, j, k in gold:
+        want[pii.TYPES.index(k), arcs[i, j]] -= 1
+    got = pii.train([(n, [(i, j, on) for (i, j), on in arcs.items()], gold)], steps=1, rate=0.1)
+    assert np.abs(got + want).max() < 1e-9
+
+
+def test_language_decoding_against_brute_force(spark):
+    """Predictions and scores from the model's numbers, by plain loops over texts, n-grams, bits and languages."""
+    rng = random.Random(4)
+    words = {"aa": "the of and with", "bb": "der die und nicht", "cc": "les des une pour", "dd": "que los con para", "ee": "och att det som", "ff": "ja on ei ole", "gg": "nie jest to na"}
+    langs = [rng.choice(list(words)) for _ in range(200)]
+    texts = [" ".join(rng.choice(words[x].split()) for _ in range(rng.randrange(1, 9))) for x in langs] + ["The Of, DER die", "é", "zz"]
+    docs = frame(spark, texts, langs + ["aa"] * 3)
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == sorted(words)
+    for r in langid.predict(docs, model).collect():
+        data = ("no id here" if r["doc_id"] is None else texts[r["doc_id"]]).encode().lower()
+        x = np.zeros(langid.DIMENSIONS)
+        for k in (1, 2, 3):
+            for i in range(len(data) - k + 1):
+                gram = data[i] + 1
+                for c in data[i + 1 : i + k]:
+                    gram = gram * 257 + c + 1
+                x[(gram * 2654435761 & 0xFFFFFFFF) >> 21] += 1
+        x = np.sqrt(x / x.sum())
+        loss = []
+        for i in range(len(model.languages)):
+            per_bit = [math.log1p(math.exp(-(float((x * model.weights[:, b]).sum()) + model.bias[b]) * model.code[i, b])) * model.trust[i, b] for b in range(model.code.shape[1])]
+            loss.append(sum(per_bit) * len(per_bit))
+        p = [math.exp(min(loss) - v) for v in loss]
+        assert r["lang_pred"] == model.languages[loss.index(min(loss))] and abs(r["score"] - max(p) / sum(p)) < 1e-4
+
+
 def test_language_codes(spark, empty):
     rng = random.Random(2)
     make = {"aa": "the of and with", "bb": "der die und nicht", "cc": "les des une pour"}
