@@ -396,6 +396,45 @@ def test_lm_base_counts_and_gain(spark, empty):
     assert lm.score(empty.withColumn("held_out", F.lit(False)), F.lit(True)).count() == 0
 
 
+def test_lm_scores_against_plain_loops(spark):
+    """Every score from the trained numbers, by loops over tokens, features and classes; the words of a class share all of its mass."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["the", "of", "and", "a"]) if rng.random() < 0.4 else f"{rng.choice('abcd')}{rng.randrange(40)}x" for _ in range(rng.randrange(0, 60))) for _ in range(60)] + [None, "Unseen WORDS here"]
+    docs = frame(spark, texts).withColumn("held_out", langid.held_out(F.col("doc_id"), 1))
+    training = docs.where("not held_out").select(F.col("text").alias("__x"))
+    shared, rest = lm.learn_head(training, 50, 20)
+    words, tail = shared.value, {r["h"]: r["c"] for r in rest.collect()}
+    w = lm.train(training, shared, lm.LEAST_BUCKETS)
+    held = {int(h): (int(c), int(k), int(r)) for h, c, k, r in zip(words.h, words.counts, words.cls, words.rank)}
+    mass = [0.5] * lm.CLASSES
+    for c, k, _ in held.values():
+        mass[k] += c
+    spelled = {}
+    for t in texts:
+        spelled |= {int(h): int(e) for h, e in zip(*lm.tokens(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[:2])}
+    for h, c in tail.items():
+        mass[words.by_spelling[spelled[h]]] += c + 0.5
+    assert np.abs(np.array(mass) - words.size).max() < 1e-9
+
+    def mix(x):
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * times % 2**64
+        return x ^ x >> 31
+
+    for r in lm.score(docs, ~F.col("held_out"), head=50, core=20).collect():
+        data = ("no id here" if r["doc_id"] is None else texts[r["doc_id"]] or "").encode()
+        h, e, _ = lm.tokens(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        past, total = [words.start] * 3, 0.0
+        for x, spelling in zip(h.tolist(), e.tolist()):
+            c, k, rank = held.get(x, (None, int(words.by_spelling[spelling]), 99))
+            w1, w2, w3 = past
+            on = [mix(v + 1) % lm.LEAST_BUCKETS for v in (w1, (w1 << 24) ^ w2 ^ 1 << 60, w2 ^ 2 << 60, w3 ^ 3 << 60)]
+            z = [float(w.bias[i]) + sum(float(w.table[b, i]) for b in on) for i in range(lm.CLASSES)]
+            total += (z[k] - math.log(sum(map(math.exp, z)))) / math.log(10) + math.log10((c if c is not None else tail.get(x, 0) + 0.5) / words.size[k])
+            past = [rank if rank < 20 else 20 + k, w1, w2]
+        assert abs(total - r["score"]) < 1e-3
+
+
 def test_neighbours_recall_and_ties(spark):
     rng = np.random.default_rng(0)
     vectors = rng.standard_normal((1500, 16)).astype(np.float32)
