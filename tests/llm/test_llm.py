@@ -410,7 +410,7 @@ def test_lm_scores_against_plain_loops(spark):
     for c, k, _ in held.values():
         mass[k] += c
     spelled = {}
-    for t in texts:
+    for t in [*texts, "no id here"]:
         spelled |= {int(h): int(e) for h, e in zip(*lm.tokens(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[:2])}
     for h, c in tail.items():
         mass[words.by_spelling[spelled[h]]] += c + 0.5
