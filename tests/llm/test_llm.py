@@ -518,3 +518,66 @@ def test_licenses(spark, empty):
     assert got[4]["labels"] == "" and got[7]["labels"] == "" and got[6]["labels"] == "cc-by-nc"
     assert got[5]["labels"] == "gpl" and 0.7 <= got[5]["score"] < 1
     assert licenses.scan(empty).count() == 0
+
+
+def test_license_wordings_of_close_kin(spark):
+    from stationflow.llm.license_texts import TEMPLATES
+
+    want = {t: label for label, t in TEMPLATES} | {"Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa", "Redistribution and use in source and binary forms are permitted": "bsd"}
+    texts = list(want)
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, [f"some words first {t} and more" for t in texts])).collect()}
+    for i, t in enumerate(texts):
+        labels = set(got[i]["labels"].split(",")) - set(got[i]["base_labels"].split(",")) | {want[t]}
+        assert want[t] in got[i]["labels"].split(",") and labels == {want[t]} and got[i]["score"] >= 0.9, (t, got[i])
+
+
+def test_licenses_against_plain_loops(spark):
+    """Base columns, and the votes of every diagonal, by loops over words and templates."""
+    rng = random.Random(13)
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    parts = ["mit license", "MIT-License", "apache license", "general public\nlicense", "license", "public", "Permission is hereby granted, free of charge,", "Licensed under CC", "BY-NC 4.0.", "any person", "été", "GNU General Public License, version 3.", "This work is licensed under the"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(0, 14))) for _ in range(150)] + [None, ""]
+    k, slack, least = 3, 2, 0.7
+    kinds = {}
+    templates = [(label, [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]) for label, w in ((label, split(t)) for label, t in licenses.TEMPLATES)]
+    for label, g in templates:
+        for x in g:
+            kinds.setdefault(x, set()).add(label)
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, texts)).collect()}
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    for i, t in enumerate(texts):
+        w = split(t)
+        places = [(a, label) for p, label in phrases.items() for a in range(len(w)) if tuple(w[a : a + len(p)]) == p]
+        at = collections.defaultdict(list)
+        for a in range(len(w) - k + 1):
+            at[tuple(w[a : a + k])].append(a)
+        found = []
+        for label, g in templates:
+            votes = collections.defaultdict(set)
+            for pos, x in enumerate(g):
+                for a in at.get(x, ()):
+                    votes[a - pos].add(pos)
+            runs, last = [], None
+            for d in sorted(votes):
+                if last is None or d - last > slack:
+                    runs.append([])
+                runs[-1] += [(pos, pos + d) for pos in votes[d]]
+                last = d
+            own = {p for p, x in enumerate(g) if len(kinds[x]) == 1}
+            for run in runs:
+                held = {p for p, _ in run}
+                if len(held) / len(g) >= least:
+                    found.append((min(a for _, a in run), max(a for _, a in run) + k - 1, label, len(held) / len(g), 2 * len(held & own) >= len(own)))
+        kept, island, end = [], [], -1
+        for f in [*sorted(found), None]:
+            if f is None or f[0] > end:
+                strong = [x for x in island if x[4]]
+                kept += strong or [x for x in island if x[3] == max(y[3] for y in island)]
+                island = []
+            if f:
+                island.append(f)
+                end = max(end, f[1])
+        labels, best = {x for _, x in places} | {f[2] for f in kept}, max((f[3] for f in kept), default=0.0)
+        r, base = got[i], sorted({x for _, x in places})
+        assert (r["n_words"], r["n_base"], r["base_labels"], r["labels"]) == (len(w), len(places), ",".join(base), ",".join(sorted(labels))), t
+        assert (r["first_word"], r["last_word"]) == ((min(a for a, _ in places), max(a for a, _ in places)) if places else (None, None)) and abs(r["score"] - best) < 1e-12
