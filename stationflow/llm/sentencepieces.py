@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-The normaliser (identity with escaped blanks and a dummy prefix), the pieces and the byte fallback are compiled into one transducer. Its states are
-(place in the input, piece read last); an arc reads the characters of a piece, or one character that no piece spells,
-written as its bytes. The encoding is the tropical-semiring shortest path of the composition with the input.
+Three machines are compiled from the model file: the normaliser (its rewriting rules, leftmost and longest first, folding of blanks, the dummy
+prefix), the pieces and the byte fallback. The normaliser gives one output for each input, so its composition with a text is a string; the escape of blanks
+is letter to letter and is composed with the pieces beforehand. The states of what follows are (place in the string, piece read last); an arc reads
+the characters of a piece and writes its id, or reads one character and writes the ids of its bytes. The encoding is what the
+tropical-semiring shortest path of the composition writes.
 - Unigram models: an arc weighs the piece's negative score.
 - BPE models: the merges are compiled into the arcs' weights: 0 if merging would leave the two pieces beside each other,
   infinite if not. A cut into pieces is the merges' result just if all its neighbours are so, so one path has a finite weight,
@@ -10,7 +12,9 @@ written as its bytes. The encoding is the tropical-semiring shortest path of the
 No piece goes on over a blank that follows another character (checked when compiled), so the input is composed run by run,
 and a worker keeps the paths of the runs it has met, up to a bound.
 
-Defined results: null and empty texts have no piece. U+2581 in a text is a blank, as in the format itself; all else comes back exactly. Repeated rows
+Models without byte fallback, with user-defined pieces, or with blanks as suffixes are refused.
+
+Defined results: null and empty texts have no piece. U+2581 in a text is a blank, as in the format itself; all else that the normaliser keeps comes back exactly. Repeated rows
 each give a row. An empty table gives no rows. Other columns are ignored. Texts are encoded whole.
 """
 
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame
 from .common import bounded_batches
 
 BLANK = "▁"
-#: Fixed values of the model format: kinds of pieces, and of models.
+#: Fixed values of the model format: kinds of pieces, and of models. Numbers of fields stand where they are read.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 CACHE_RUNS = 900_000
@@ -59,31 +63,91 @@ def fields(data: bytes):
         yield tag >> 3, v
 
 
+def rewriting_rules(charsmap: bytes) -> dict[bytes, bytes]:
+    """The rules of a precompiled map: a double-array trie of sources, whose values are places among the zero-ended replacements."""
+    if not charsmap:
+        return {}
+    (size,) = struct.unpack("<I", charsmap[:4])
+    units, texts = np.frombuffer(charsmap[4 : 4 + size], "<u4").tolist(), charsmap[4 + size :]
+    offset = lambda u: (u >> 10) << ((u & 1 << 9) >> 6)
+    out, stack = {}, [(offset(units[0]), b"")]
+    while stack:
+        base, source = stack.pop()
+        for c in range(1, 256):
+            at = base ^ c
+            if at < len(units) and units[at] & (1 << 31 | 255) == c:
+                below = at ^ offset(units[at])
+                if units[at] >> 8 & 1:
+                    start = units[below] & (1 << 31) - 1
+                    out[source + bytes([c])] = texts[start : texts.index(0, start)]
+                stack.append((below, source + bytes([c])))
+    return out
+
+
+class Normaliser:
+    """A text's normal form, with blanks as spaces: rules apply leftmost and longest first, all else is copied."""
+
+    def __init__(self, spec: dict):
+        self.prefix, self.fold = bool(spec.get(3, 1)), bool(spec.get(4, 1))
+        if not spec.get(5, 1):
+            raise ValueError("models that don't escape blanks are not compiled")
+        rules = {k.decode(): v.decode() for k, v in rewriting_rules(spec.get(2, b"")).items()}
+        self.longest, self.rules = max(map(len, rules), default=0), rules
+        self.letters = str.maketrans({k: v for k, v in rules.items() if len(k) == 1}) if self.longest == 1 else None
+
+    def rewritten(self, text: str) -> str:
+        if not self.longest:
+            return text
+        if self.letters is not None:
+            return text.translate(self.letters)
+        out, at = [], 0
+        while at < len(text):
+            for n in range(min(self.longest, len(text) - at), 0, -1):
+                if (new := self.rules.get(text[at : at + n])) is not None:
+                    out.append(new)
+                    at += n
+                    break
+            else:
+                out.append(text[at])
+                at += 1
+        return "".join(out)
+
+    def __call__(self, text: str) -> str:
+        text = self.rewritten(text)
+        if self.fold:  # before U+2581 counts as a blank: only true spaces are folded
+            text = re.sub("  +", " ", text).strip(" ")
+        text = text.replace(BLANK, " ")
+        return " " + text if self.prefix and text else text
+
+
 class Transducer:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             parts = list(fields(f.read()))
         pieces = [dict(fields(v)) for n, v in parts if n == 1]
         trainer = dict(fields(next(v for n, v in parts if n == 2)))
-        normal = dict(fields(next(v for n, v in parts if n == 3)))
-        if normal.get(2) or normal.get(4, 1):
-            raise ValueError("only the identity normaliser without white-space removal is compiled")
-        self.kind, self.prefix = trainer.get(3, UNIGRAM), bool(normal.get(3, 1))
+        self.normal = Normaliser(dict(fields(next((v for n, v in parts if n == 3), b""))))
+        self.kind = trainer.get(3, UNIGRAM)
+        if self.kind not in (UNIGRAM, BPE) or not trainer.get(35, 0) or trainer.get(24, 0) or any(p.get(3, NORMAL) == USER for p in pieces):
+            raise ValueError("only unigram and BPE models with byte fallback are compiled, without user-defined pieces or blanks as suffixes")
         self.score: dict[str, float] = {}
         self.id: dict[str, int] = {}
         self.bytes: list[int] = [0] * 256
         self.out: list[bytes] = []
         for i, p in enumerate(pieces):
             text, kind = p[1].decode(), p.get(3, NORMAL)
-            if kind in (NORMAL, USER):
-                self.score[text] = struct.unpack("<f", p[2])[0] if 2 in p else 0.0
-                self.id[text] = i
+            if kind == NORMAL:  # the escape of blanks is undone: pieces read spaces
+                self.score[text.replace(BLANK, " ")] = struct.unpack("<f", p[2])[0] if 2 in p else 0.0
+                self.id[text.replace(BLANK, " ")] = i
             if kind == BYTE:
                 self.bytes[int(text[3:5], 16)] = i
             self.out.append(bytes([int(text[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else text.replace(BLANK, " ").encode())
-        if any(BLANK in p.lstrip(BLANK) for p in self.id):
+        if any(" " in p.lstrip(" ") for p in self.id):
             raise ValueError("a piece goes on over a blank")
         self.text = {i: p for p, i in self.id.items()}
+        self.written = [struct.pack("<I", i) for i in range(len(pieces))]  # what the arcs of pieces write
+        self.floor = min(self.score.values()) - 10
+        self.spelled: dict[str, bytes] = {}  # what the arcs of the byte fallback write, compiled when first met
         self.beside: dict[int, bool] = {}
         self.paths: dict[str, bytes] = {}  # by run
         self.words: dict[str, bytes] = {}  # by what follows a single blank
@@ -93,6 +157,12 @@ class Transducer:
         self.arcs.make_automaton()
         self.parts: dict[str, tuple[str, str] | None] = {}
 
+    def fallback(self, character: str) -> bytes:
+        if character not in self.spelled:
+            own = (BLANK if character == " " else character).encode(errors="surrogatepass")
+            self.spelled[character] = b"".join(self.written[self.bytes[b]] for b in own)
+        return self.spelled[character]
+
     def merged(self, text: str, halves: bool = False) -> list[str]:
         """The pieces that merging by score, leftmost first, makes of a text; with halves, the two before the last merge. Only used to compile weights."""
         parts: list[str | None] = list(text)
@@ -155,10 +225,10 @@ class Transducer:
             else:
                 return True
 
-    def shortest(self, run: str) -> list[int]:
-        """Ids along the shortest path for one run (blanks as U+2581); -1 for a character that no piece spells."""
+    def shortest(self, run: str) -> bytes:
+        """What the shortest path for one run writes: ids, little-endian 32-bit."""
         n = len(run)
-        last, size = [-1] * (n + 1), [1] * (n + 1)
+        last, size = [-1] * (n + 1), [1] * (n + 1)  # the arc that ends at each place: a piece, or -1, the byte fallback of one character
         if self.kind == BPE:
             beside, weight = self.beside, self.weight
             for end, (k, i) in self.arcs.iter(run):
@@ -172,41 +242,26 @@ class Transducer:
                         if weight(before, i) if known is None else known:
                             last[end + 1], size[end + 1] = i, k
         else:
-            floor = min(self.score.values()) - 10
             ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
             for end, arc in self.arcs.iter(run):
                 ends[end + 1].append(arc)
             cost = [0.0] + [float("inf")] * n
             for j in range(1, n + 1):
-                cost[j] = cost[j - 1] - floor
+                cost[j] = cost[j - 1] - self.floor
                 for k, i in ends[j]:
                     c = cost[j - k] - self.score[self.text[i]]
                     if c < cost[j]:
                         cost[j], last[j], size[j] = c, i, k
         out, j = [], n
         while j:
-            out.append(last[j])
+            out.append(self.written[last[j]] if last[j] >= 0 else self.fallback(run[j - 1]))
             j -= size[j]
-        return out[::-1]
-
-    def path(self, run: str) -> bytes:
-        """Ids of one run, little-endian 32-bit."""
-        text, ids, at = run.replace(" ", BLANK), [], 0
-        for i in self.shortest(text):
-            if i < 0:
-                ids += [self.bytes[b] for b in text[at].encode()]
-                at += 1
-            else:
-                ids.append(i)
-                at += len(self.text[i])
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(reversed(out))
 
     def encode(self, text: str) -> bytes:
+        text = self.normal(text)
         if not text:
             return b""
-        text = text.replace(BLANK, " ")
-        if self.prefix:
-            text = " " + text
         plain = "  " not in text and text[0] == " "
         known, head = (self.words, " ") if plain else (self.paths, "")
         runs = text[1:].split(" ") if plain else RUN.findall(text)
@@ -216,12 +271,17 @@ class Transducer:
                 known.clear()
             for i, p in enumerate(parts):
                 if p is None:
-                    parts[i] = known[runs[i]] = self.path(head + runs[i])
+                    parts[i] = known[runs[i]] = self.shortest(head + runs[i])
         return b"".join(parts)
 
     def decode(self, ids) -> str:
         data = b"".join(map(self.out.__getitem__, ids))
-        return (data[1:] if self.prefix and data[:1] == b" " else data).decode(errors="replace")
+        return (data[1:] if self.normal.prefix and data[:1] == b" " else data).decode(errors="replace")
+
+    def plain(self, text: str) -> str:
+        """What decoding gives back."""
+        text = self.normal(text)
+        return text[1:] if self.normal.prefix else text
 
 
 _compiled: dict[str, Transducer] = {}
@@ -277,7 +337,7 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
             for t in batch.column(1).to_pylist():
                 data = model.encode(t or "")
                 ids = np.frombuffer(data, "<u4")
-                rows.append((len(ids), int(byte[ids].sum()), zlib.crc32(data), model.decode(ids.tolist()) == (t or "").replace(BLANK, " ")))
+                rows.append((len(ids), int(byte[ids].sum()), zlib.crc32(data), model.decode(ids.tolist()) == model.plain(t or "")))
             n, b, crc, same = zip(*rows) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(b, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], names=names)
 
