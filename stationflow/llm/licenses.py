@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
 from .license_texts import TEMPLATES
 
 #: Phrases that name a license, by the words before "license".
@@ -56,7 +57,7 @@ def template_grams(docs: DataFrame, templates, k: int) -> DataFrame:
 def hits(docs: DataFrame, templates, k: int, id: str, text: str) -> DataFrame:
     """Of every document: a row with tpl -1, its id, number of words and phrases; and a row for each of its grams that a template holds.
 
-    One scan: the words are split once, and the rows are dealt out by document once, for all that follows.
+    The words are split once, and the rows are dealt out by document once, for all that follows.
     """
     w, named = F.col("w"), F.lower(F.col(text).cast("string")).contains("license")
     own = docs.select(F.col(id).alias("doc_id"), F.xxhash64(F.lit(1), F.col(id)).alias("k"), F.xxhash64(F.col(text).cast("string")).alias("t"), words(F.col(text)).alias("w"), named.alias("named"))
@@ -103,7 +104,7 @@ def base_places(w: Column) -> Column:
 
 def scan(docs: DataFrame, templates=TEMPLATES, k: int = 3, slack: int = 2, least: float = 0.7, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: phrases found word for word, and the labels that these and the verified spans give."""
-    rows = hits(docs, templates, k, id, text)
+    rows = cut(hits(docs, templates, k, id, text))  # few rows: hits, and one a document
     own = rows.where("tpl = -1").select("k", "t", "doc_id", F.col("at").cast("long").alias("n_words"), "places")
     found = spans(rows, k, slack, least).groupBy("k", "t").agg(F.collect_set("label").alias("found"), F.max("score").alias("score"))
     base = F.array_sort(F.array_distinct(F.col("places.label")))

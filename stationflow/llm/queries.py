@@ -61,9 +61,68 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def base_op2_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op2: all but the model's score."""
+    return op2_maxent_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"))
+
+
+def base_op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op8: all but the rules' verdict."""
+    return op8_quality_rules(spark, sf_dir).drop("kept", "rule")
+
+
+def base_op9_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op9: how many matches of the patterns hold."""
+    return op9_semi_markov_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def base_op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op10: words and phrases."""
+    return op10_license_diagonals(spark, sf_dir).drop("labels", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith(("op", "base_op")) and callable(f)}
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPLIT = r"list_filter(string_split_regex(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+#: CRC-32 of a number's decimal digits, bit by bit.
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])), lambda v, _: xor(v >> 1, (v & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"
+
+SQL = {
+    "op6_substring_dedup": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SPLIT.format("text")} AS w FROM documents),
+s AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS win FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d)),
+f AS (SELECT r, i FROM s WHERE win IN (SELECT win FROM s GROUP BY win HAVING count(*) > 1)),
+p AS (SELECT r, j, w[j] AS word FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS j FROM d)),
+c AS (SELECT p.r, j, word, max(f.i) OVER (PARTITION BY p.r ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM p LEFT JOIN f ON f.r = p.r AND f.i = p.j),
+k AS (SELECT r, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM c GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)""",
+    "base_op2_maxent_scores": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {CRC} % 5 = 1 AS held_out, list_append({SPLIT.format(f"translate(text, '{UPPER}', '{LOWER}')")}, '') AS w FROM documents),
+t AS (SELECT r, held_out, unnest(w) AS word FROM d),
+c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
+n AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+s AS (SELECT r, count(*) AS n_tokens, count(c.c) AS n_known, sum(log10((coalesce(c.c, 0) + 0.5::DOUBLE) / (n.n + 0.5::DOUBLE * (n.v + 1)))) AS base FROM t LEFT JOIN c USING (word), n GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, CAST((SELECT n FROM n) AS BIGINT) AS train_tokens, round(base, 5) AS base_score FROM d JOIN s USING (r)""",
+    "base_op8_quality_rules": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x, {SPLIT.format("text")} AS w FROM documents),
+g AS (SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d)),
+q AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+j AS (SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS pos FROM q) GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(x, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r)
+SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda z: length(z))), 0) AS BIGINT) AS word_chars, length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(j.n, 0) AS n_repeat_words, len(w) < 50 OR 100 * coalesce(j.n, 0) > 50 * len(w) AS base_failed FROM d LEFT JOIN l USING (r) LEFT JOIN j USING (r)""",
+    "base_op9_semi_markov_pii": r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+m AS (SELECT doc_id, regexp_extract_all(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS e, list_transform(regexp_extract_all(x, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda v: string_split(v, '.')) AS i,
+list_transform(regexp_extract_all(x, '[0-9]([ -]?[0-9])+'), lambda v: list_reverse(string_split(regexp_replace(v, '[ -]', '', 'g'), ''))) AS c, list_transform(regexp_extract_all(x, '\+[0-9][ ().0-9-]+[0-9]'), lambda v: length(regexp_replace(v, '[^0-9]', '', 'g'))) AS p FROM d)
+SELECT doc_id, len(e) AS n_email, len(list_filter(i, lambda v: list_max(list_transform(v, lambda o: CAST(o AS HUGEINT))) <= 255)) AS n_ip,
+len(list_filter(c, lambda v: len(v) BETWEEN 14 AND 19 AND list_sum(list_transform(v, lambda o, n: CASE WHEN n % 2 = 1 THEN CAST(o AS INTEGER) ELSE 2 * CAST(o AS INTEGER) - 9 * CAST(CAST(o AS INTEGER) > 4 AS INTEGER) END)) % 10 = 0)) AS n_card,
+len(list_filter(p, lambda v: v BETWEEN 10 AND 15)) AS n_phone FROM m""",
+    "base_op10_license_diagonals": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+a AS (SELECT r, w, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'license')) AS i FROM d),
+p AS (SELECT r, CASE WHEN w[i - 1] = 'mit' THEN i - 2 WHEN w[i - 1] = 'apache' THEN i - 2 WHEN w[i - 1] = 'public' AND w[i - 2] = 'general' THEN i - 3 END AS pos, CASE w[i - 1] WHEN 'mit' THEN 'mit' WHEN 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM a WHERE i > 1),
+s AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p WHERE pos IS NOT NULL GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word, coalesce(labels, '') AS base_labels FROM d LEFT JOIN s USING (r)""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
