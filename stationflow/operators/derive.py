@@ -86,26 +86,27 @@ def albedo(swin: Column, swout: Column | None, alb: Column | None = None) -> Col
 def albedo_below_quantile(df: DataFrame, q: float = 0.95) -> DataFrame:
     """Albedo kept where it is under the site's quantile."""
     limit = df.groupBy("site").agg(F.percentile("albedo", F.lit(q)).alias("_q"))
-    return df.join(F.broadcast(limit), "site").withColumn("albedo", F.when(F.col("albedo") < F.col("_q"), F.col("albedo"))).drop("_q")
+    return df.join(limit, "site").withColumn("albedo", F.when(F.col("albedo") < F.col("_q"), F.col("albedo"))).drop("_q")
 
 
-def solar_elevation_sine(doy: Column, hour: Column, lat: float, lon: float, tz: float) -> Column:
-    """Sine of the sun's elevation, by local standard time."""
+def solar_elevation_sine(doy: Column, hour: Column, lat: Column | float, lon: Column | float, tz: Column | float) -> Column:
+    """Sine of the sun's elevation, by local standard time; the place is one for all rows, or columns of a table of stations."""
+    lat, lon, tz = (x if isinstance(x, Column) else F.lit(float(x)) for x in (lat, lon, tz))
     year_angle = 2 * math.pi * (doy - 1) / 365.24
     declination = 0.006918 - 0.399912 * F.cos(year_angle) + 0.070257 * F.sin(year_angle) - 0.006758 * F.cos(2 * year_angle) + 0.000907 * F.sin(2 * year_angle) - 0.002697 * F.cos(3 * year_angle) + 0.00148 * F.sin(3 * year_angle)
     equation = 0.0072 * F.cos(year_angle) - 0.0528 * F.cos(2 * year_angle) - 0.0012 * F.cos(3 * year_angle) - 0.1229 * F.sin(year_angle) - 0.1565 * F.sin(2 * year_angle) - 0.0041 * F.sin(3 * year_angle)
     angle = (hour + (lon / 15.0 - tz) + equation - 12) * math.pi / 12
-    return F.sin(declination) * math.sin(math.radians(lat)) + F.cos(declination) * math.cos(math.radians(lat)) * F.cos(angle)
+    return F.sin(declination) * F.sin(F.radians(lat)) + F.cos(declination) * F.cos(F.radians(lat)) * F.cos(angle)
 
 
-def potential_radiation(doy: Column, hour: Column, lat: float, lon: float, tz: float) -> Column:
+def potential_radiation(doy: Column, hour: Column, lat: Column | float, lon: Column | float, tz: Column | float) -> Column:
     """Extraterrestrial radiation on the horizontal, 0 at night."""
     distance = 1 + 0.034 * F.cos(2 * math.pi * (doy - 1) / 365.24)
     sine = solar_elevation_sine(doy, hour, lat, lon, tz)
     return F.when(sine > 0, 1366.1 * distance * sine).otherwise(0.0)
 
 
-def clear_sky_radiation(doy: Column, hour: Column, lat: float, lon: float, tz: float) -> Column:
+def clear_sky_radiation(doy: Column, hour: Column, lat: Column | float, lon: Column | float, tz: Column | float) -> Column:
     """Direct radiation under a clear sky, by a day-of-year flux and optical depth; elevations under 0 count as 0.001 degrees."""
     degrees = F.degrees(F.asin(solar_elevation_sine(doy, hour, lat, lon, tz)))
     elevation = F.radians(F.greatest(degrees, F.lit(0.001)))

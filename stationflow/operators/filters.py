@@ -3,7 +3,8 @@
 Every filter adds one flag column (1 keeps, 0 rejects). A flag starts as the flag before it and only ever turns to 0, so flags are
 cumulative and their order matters. A comparison with a missing value rejects nothing. Values stay as they are until apply_flags().
 
-Limits come as small rule tables, one row for each variable, joined by broadcast: their size is the number of variables. Drivers (radiation, rain,
+Limits come as small rule tables, one row for each variable, joined by broadcast: their size is the number of variables. What has rows for each
+site (ranges, quantiles) is joined without a hint: its size decides. Drivers (radiation, rain,
 signal strength) come joined to the observations by (site, t). Stamps must be on the regular grid for filters with row frames.
 """
 
@@ -80,7 +81,7 @@ def in_ranges(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """df with _in: is t in one of its site's date ranges (ends included)? Ranges are gathered to one array a site, so overlaps add no row."""
     by_site = ranges.groupBy("site").agg(F.collect_list(F.struct("start", "stop")).alias("_r"))
     held = F.exists("_r", lambda r: F.col("t").between(r["start"], r["stop"]))
-    return df.join(F.broadcast(by_site), "site", "left").withColumn("_in", F.coalesce(held, F.lit(False))).drop("_r")
+    return df.join(by_site, "site", "left").withColumn("_in", F.coalesce(held, F.lit(False))).drop("_r")
 
 
 def winter_filter(df: DataFrame, ranges: DataFrame, limits: Mapping[str, tuple[float, float]], name: str = "f_winter", before: str | None = None) -> DataFrame:
@@ -166,9 +167,9 @@ def mad_hampel_filter(df: DataFrame, config: Mapping[str, tuple[float, int]], na
         part = part.withColumn("_m", F.percentile("value", F.lit(0.5)).over(near))
         part = part.withColumn("_a", F.percentile(F.abs(F.col("value") - F.col("_m")), F.lit(0.5)).over(near))
         centre = part.groupBy("site", "var").agg(F.percentile("_d", F.lit(0.5)).alias("_dm"))
-        part = part.join(F.broadcast(centre), ["site", "var"])
+        part = part.join(centre, ["site", "var"])
         spread = part.groupBy("site", "var").agg(F.percentile(F.abs(F.col("_d") - F.col("_dm")), F.lit(0.5)).alias("_da"))
-        part = rules(part.join(F.broadcast(spread), ["site", "var"]), own, ["_z"])
+        part = rules(part.join(spread, ["site", "var"]), own, ["_z"])
         scaled = lambda x, a: F.abs(x) > F.col("_z") * F.col(a) / 0.6745
         bad = scaled(F.col("_d") - F.col("_dm"), "_da") | scaled(F.col("value") - F.col("_m"), "_a")
         part = part.where(F.coalesce(bad, F.lit(False))).select(*KEY, F.lit(True).alias("_bad"))

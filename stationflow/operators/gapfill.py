@@ -32,29 +32,39 @@ def fill_diurnal(df: DataFrame, days: int = 10, least: int = 4, sentinel: float
 STAGES = (("all", 7), ("all", 14), ("rg", 7), ("", 0), ("", 1), ("", 2), ("all", 21), ("all", 28), ("rg", 14), ("rg", 21), ("rg", 28), ("", 7), ("", 14))
 
 
-def mds_gap_fill(df: DataFrame, stages: Sequence[tuple[str, int]] = STAGES, rg: float = 50.0, vpd: float = 5.0, ta: float = 2.5, least: int = 2) -> DataFrame:
+def mds_gap_fill(df: DataFrame, stages: Sequence[tuple[str, int]] = STAGES, rg: float = 50.0, vpd: float = 5.0, ta: float = 2.5, least: int = 2, narrow: int = 14) -> DataFrame:
     """Marginal distribution sampling: filled value, deviation, number of similar values, stage (0: measured) and quality class of every row.
 
     df: site, t, value, rg, vpd, ta. A gap takes the mean of the values of similar conditions within the first stage's days that gives
-    `least` of them. One equi-join by (site, day) serves all stages: a gap is dealt to the days of the widest stage, and every stage's sums are kept as
-    one conditional aggregate, so each pair is formed once.
+    `least` of them. The stages before the first of over `narrow` days run for all gaps, the others for what these leave. In each of the two rounds
+    one equi-join by (site, day) serves all stages: a gap is dealt to the days of the widest, and every stage's sums are kept as one
+    conditional aggregate, so each pair is formed once.
     """
-    widest = max(d for _, d in stages)
     own = df.withColumns({"day": F.datediff(F.col("t").cast("date"), F.lit("1970-01-01").cast("date")), "minute": F.hour("t") * 60 + F.minute("t")})
-    gaps = own.where("value is null").select("site", "t", "minute", F.col("rg").alias("g_rg"), F.col("vpd").alias("g_vpd"), F.col("ta").alias("g_ta"), "day", F.explode(F.sequence(F.lit(-widest), F.lit(widest))).alias("off"))
-    gaps = gaps.withColumn("on", F.col("day") + F.col("off")).drop("day")
+    gaps = own.where("value is null").select("site", "t", "minute", F.col("rg").alias("g_rg"), F.col("vpd").alias("g_vpd"), F.col("ta").alias("g_ta"), "day")
     have = own.where("value is not null").select("site", F.col("day").alias("on"), F.col("minute").alias("m"), "value", "rg", "vpd", "ta")
     near = lambda c, tol: F.abs(F.col(c) - F.col(f"g_{c}")) < tol
     tests = {"all": near("rg", rg) & near("vpd", vpd) & near("ta", ta), "rg": near("rg", rg), "": F.abs(F.col("m") - F.col("minute")) <= 60}
-    pairs = gaps.join(have, ["site", "on"]).where(tests["rg"] | tests[""])
-    sums = []
-    for i, (kind, days) in enumerate(stages):
-        hit = F.when(tests[kind] & (F.abs("off") <= days), F.col("value"))
-        sums += [F.count(hit).alias(f"n{i}"), F.avg(hit).alias(f"a{i}"), F.stddev_samp(hit).alias(f"s{i}")]
-    got = pairs.groupBy("site", "t").agg(*sums)
-    first = lambda out: F.coalesce(*(F.when(F.col(f"n{i}") >= least, out(i)) for i in range(len(stages))))
-    got = got.select("site", "t", first(lambda i: F.col(f"a{i}")).alias("mean"), first(lambda i: F.col(f"s{i}")).alias("fsd"), first(lambda i: F.col(f"n{i}")).alias("fnum"), first(lambda i: F.lit(i + 1)).alias("stage"))
-    kind = F.create_map(*(x for i, (k, d) in enumerate(stages) for x in (F.lit(i + 1), F.lit(quality_class(k, d)))))
+
+    def look_up(gaps: DataFrame, own: list[tuple[int, str, int]]) -> DataFrame:
+        widest = max(days for _, _, days in own)
+        dealt = gaps.withColumn("off", F.explode(F.sequence(F.lit(-widest), F.lit(widest)))).withColumn("on", F.col("day") + F.col("off"))
+        sums = []
+        for i, kind, days in own:
+            hit = F.when(tests[kind] & (F.abs("off") <= days), F.col("value"))
+            sums += [F.count(hit).alias(f"n{i}"), F.avg(hit).alias(f"a{i}"), F.stddev_samp(hit).alias(f"s{i}")]
+        got = dealt.join(have, ["site", "on"]).where(tests["rg"] | tests[""]).groupBy("site", "t").agg(*sums)
+        first = lambda out: F.coalesce(*(F.when(F.col(f"n{i}") >= least, out(i)) for i, _, _ in own))
+        return got.select("site", "t", first(lambda i: F.col(f"a{i}")).alias("mean"), first(lambda i: F.col(f"s{i}")).alias("fsd"), first(lambda i: F.col(f"n{i}")).alias("fnum"), first(lambda i: F.lit(i)).alias("stage")).where("stage is not null")
+
+    numbered = [(i + 1, kind, days) for i, (kind, days) in enumerate(stages)]
+    split = next((i for i, (_, _, days) in enumerate(numbered) if days > narrow), len(numbered))
+    got = look_up(gaps, numbered[:split]) if split else None
+    if split < len(numbered):
+        left = gaps.join(got.select("site", "t"), ["site", "t"], "left_anti") if split else gaps
+        wide = look_up(left, numbered[split:])
+        got = got.unionByName(wide) if split else wide
+    kind = F.create_map(*(x for i, k, d in numbered for x in (F.lit(i), F.lit(quality_class(k, d)))))
     both = df.join(got, ["site", "t"], "left")
     stage = F.when(F.col("value").isNotNull(), 0).otherwise(F.col("stage"))
     return both.select(*df.columns, F.coalesce("value", "mean").alias("filled"), F.when(F.col("value").isNull(), F.col("fsd")).alias("fsd"), F.when(F.col("value").isNull(), F.col("fnum")).alias("fnum"), stage.alias("stage"), F.when(stage == 0, 0).otherwise(kind[stage]).alias("fqc"))

@@ -18,17 +18,17 @@ def temperature_response(ta: Column, e0: Column) -> Column:
 def partition_night(df: DataFrame, e0: tuple[int, ...] = tuple(range(30, 455, 5)), days: int = 15, every: int = 5, least: int = 6, dark: float = 10.0) -> DataFrame:
     """site, start, e0, rref, n: the night respiration fit of each window of `days`, every `every` days.
 
-    Profile least squares: for a given E0 the model nee = rref * g(ta; E0) is linear, so rref and the squared error come from sums. The E0 grid
-    is a short constant array, exploded over the rows; the best is a min_by. No solver, no Python.
+    Profile least squares: for a given E0 the model nee = rref * g(ta; E0) is linear, so rref and the squared error come from sums, two for each
+    E0 of the short constant grid, in one partially aggregated pass over the rows; the best is the least of an array. No solver, no Python.
     """
     night = df.where((F.col("swin") < dark) & F.col("nee").isNotNull() & F.col("ta").isNotNull() & (F.col("ta") > T_ZERO + 1))
     day = F.datediff(F.col("t").cast("date"), F.lit("1970-01-01").cast("date"))
     starts = F.sequence(F.ceil((day - days + 1) / every).cast("int"), F.floor(day / every).cast("int"))
-    own = night.select("site", "nee", "ta", F.explode(starts).alias("w")).withColumn("e0", F.explode(F.array(*map(F.lit, e0))))
-    g = temperature_response(F.col("ta"), F.col("e0").cast("double"))
-    sums = own.withColumn("g", g).groupBy("site", "w", "e0").agg(F.sum(F.col("nee") * F.col("g")).alias("yg"), F.sum(F.col("g") * F.col("g")).alias("gg"), F.sum(F.col("nee") * F.col("nee")).alias("yy"), F.count("*").alias("n"))
-    fits = sums.where(F.col("n") >= least).withColumns({"rref": F.col("yg") / F.col("gg"), "sse": F.col("yy") - F.col("yg") * F.col("yg") / F.col("gg")})
-    best = fits.groupBy("site", "w").agg(F.min_by(F.struct("e0", "rref", "n"), F.struct(F.round("sse", 6), "e0")).alias("f"))
+    own = night.select("site", "nee", "ta", F.explode(starts).alias("w"))
+    g = [temperature_response(F.col("ta"), F.lit(float(e))) for e in e0]
+    own = own.groupBy("site", "w").agg(F.sum(F.col("nee") * F.col("nee")).alias("yy"), F.count("*").alias("n"), *(F.sum(F.col("nee") * x).alias(f"yg{i}") for i, x in enumerate(g)), *(F.sum(x * x).alias(f"gg{i}") for i, x in enumerate(g)))
+    fits = [F.struct(F.round(F.col("yy") - F.col(f"yg{i}") * F.col(f"yg{i}") / F.col(f"gg{i}"), 6).alias("sse"), F.lit(e).alias("e0"), (F.col(f"yg{i}") / F.col(f"gg{i}")).alias("rref"), F.col("n")) for i, e in enumerate(e0)]
+    best = own.where(F.col("n") >= least).select("site", "w", F.array_min(F.array(*fits)).alias("f"))
     return best.select("site", F.expr(f"date_add(date'1970-01-01', w * {every})").alias("start"), "f.e0", "f.rref", "f.n")
 
 

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def nights(df: DataFrame, dark: float = 10.0) -> DataFrame:
+    """The rows that thresholds are estimated from."""
+    return df.where((F.col("swin") < dark) & F.col("nee").isNotNull() & F.col("ta").isNotNull() & F.col("u_star").isNotNull())
+
+
 def threshold(df: DataFrame, classes: int = 7, bins: int = 20, plateau: float = 0.95, ahead: int = 10, by: tuple[str, ...] = ("site", "season"), dark: float = 10.0) -> DataFrame:
     """`by`, ustar: per temperature class of the night rows, the mean u* of the first bin whose mean NEE reaches the plateau of the next bins; the median over classes.
 
     df: nee, ta, u_star, swin, t. Ties in the classes are broken by t. Classes and bins are ntiles, so all steps are windows and aggregates.
     """
-    night = df.where((F.col("swin") < dark) & F.col("nee").isNotNull() & F.col("ta").isNotNull() & F.col("u_star").isNotNull())
-    own = night.withColumn("tc", F.ntile(classes).over(Window.partitionBy(*by).orderBy("ta", "t")))
+    own = nights(df, dark).withColumn("tc", F.ntile(classes).over(Window.partitionBy(*by).orderBy("ta", "t")))
     own = own.withColumn("ub", F.ntile(bins).over(Window.partitionBy(*by, "tc").orderBy("u_star", "t")))
     means = own.groupBy(*by, "tc", "ub").agg(F.avg("nee").alias("m"), F.avg("u_star").alias("u"))
     frame = Window.partitionBy(*by, "tc").orderBy("ub").rowsBetween(1, ahead)
@@ -37,7 +41,7 @@ def bootstrap(df: DataFrame, replicates: int = 200, quantiles: tuple[float, ...]
         cumulative += p
         copies = copies + (u > cumulative).cast("int")
         p /= k + 1
-    rows = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("n", copies).where("n > 0")
+    rows = nights(df).select("site", "season", "t", "nee", "ta", "u_star", "swin").withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("n", copies).where("n > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("n")
     own = threshold(rows, by=("site", "season", "rep")).groupBy("site", "rep").agg(F.max("ustar").alias("ustar"))
     return own.groupBy("site").agg(*(F.percentile("ustar", F.lit(q)).alias(f"U{round(q * 100):02d}") for q in quantiles))
@@ -47,7 +51,7 @@ def ustar_filter(df: DataFrame, thresholds: DataFrame, by: tuple[str, ...] = ("s
     """df with the value null where u* is under the threshold, at night or (without a radiation source) always."""
     low = F.col("u_star") < F.col("ustar")
     bad = low & (F.col("swin") < dark) if night_only else low
-    return df.join(F.broadcast(thresholds), list(by), "left").withColumn(f"{value}_ustar", F.when(~F.coalesce(bad, F.lit(False)), F.col(value)))
+    return df.join(thresholds, list(by), "left").withColumn(f"{value}_ustar", F.when(~F.coalesce(bad, F.lit(False)), F.col(value)))
 
 
 def fallback(thresholds: DataFrame, seasons: DataFrame, value: float = 0.01, has_radiation: bool = True) -> DataFrame:

@@ -25,9 +25,9 @@ def ts2(spark, d):
     return key(timegrid.repair_time(obs(spark, d), "30 MINUTES", ("site", "var")), "value")
 
 
-@query("ts2_off_grid", "SELECT site, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS t FROM (SELECT DISTINCT 'S' || (user_id % 4) AS site, ts FROM events WHERE event_id % 7 = 0) JOIN (SELECT 'S' || (user_id % 4) AS site, min(ts) AS lo FROM events WHERE event_id % 7 = 0 GROUP BY 1) USING (site) WHERE (epoch_us(ts) // 1000000 - epoch_us(lo) // 1000000) % 60 <> 0")
+@query("ts2_off_grid", "SELECT site, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS t FROM (SELECT DISTINCT 'S' || (user_id % 4) AS site, ts FROM events) JOIN (SELECT 'S' || (user_id % 4) AS site, min(ts) AS lo FROM events GROUP BY 1) USING (site) WHERE (epoch_us(ts) // 1000000 - epoch_us(lo) // 1000000) % 60 <> 0")
 def ts2_off(spark, d):
-    own = table(spark, d, "events").where("event_id % 7 = 0").select(F.concat(F.lit("S"), (F.col("user_id") % 4).cast("string")).alias("site"), F.col("ts").alias("t"))
+    own = table(spark, d, "events").select(F.concat(F.lit("S"), (F.col("user_id") % 4).cast("string")).alias("site"), F.col("ts").alias("t"))
     return timegrid.off_grid(own, 60).select("site", F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t"))
 
 
@@ -183,31 +183,31 @@ def gf2(spark, d):
     return key(gapfill.fill_diurnal(gridded(spark, d)), F.round("filled", 8).alias("filled"))
 
 
-STEPS = (("all", 7), ("rg", 7), ("", 1), ("all", 14), ("", 7))
-
-
 def series(spark, d):
     """co2_flux of each site on the grid of its drivers, with vapour pressure deficit and temperature."""
     own = wide(spark, d).select("site", "t", F.col("co2_flux").alias("value"), F.col("swin").alias("rg"), (F.col("rh") / 10).alias("vpd"), F.col("air").alias("ta"))
     return own
 
 
+N = len(gapfill.STAGES)
+SIMILAR = {"all": "na", "rg": "nr", "": "nm"}
 MDS = """v AS (SELECT site, t, co2_flux AS value, swin AS rg, rh / 10 AS vpd, air AS ta, CAST(t AS DATE) AS day, hour(t) * 60 + minute(t) AS minute FROM wide),
 p AS (SELECT g.site, g.t, h.value, abs(date_diff('day', g.day, h.day)) AS off, abs(g.rg - h.rg) < 50 AS nr, abs(g.rg - h.rg) < 50 AND abs(g.vpd - h.vpd) < 5 AND abs(g.ta - h.ta) < 2.5 AS na, abs(g.minute - h.minute) <= 60 AS nm
-  FROM v g JOIN v h ON g.site = h.site AND h.day BETWEEN g.day - 14 AND g.day + 14 WHERE g.value IS NULL AND h.value IS NOT NULL),
-s AS (SELECT site, t, """ + ", ".join(f"count(*) FILTER ({c} AND off <= {n}) AS n{i}, avg(value) FILTER ({c} AND off <= {n}) AS a{i}, stddev_samp(value) FILTER ({c} AND off <= {n}) AS s{i}" for i, (c, n) in enumerate((("na", 7), ("nr", 7), ("nm", 1), ("na", 14), ("nm", 7)))) + " FROM p GROUP BY site, t)"
-PICK = lambda c: "CASE " + " ".join(f"WHEN n{i} >= 2 THEN {c(i)}" for i in range(5)) + " END"
+  FROM v g JOIN v h ON g.site = h.site AND h.day BETWEEN g.day - 28 AND g.day + 28 WHERE g.value IS NULL AND h.value IS NOT NULL),
+s AS (SELECT site, t, """ + ", ".join(f"count(*) FILTER ({SIMILAR[c]} AND off <= {n}) AS n{i}, avg(value) FILTER ({SIMILAR[c]} AND off <= {n}) AS a{i}, stddev_samp(value) FILTER ({SIMILAR[c]} AND off <= {n}) AS s{i}" for i, (c, n) in enumerate(gapfill.STAGES)) + " FROM p GROUP BY site, t)"
+PICK = lambda c: "CASE " + " ".join(f"WHEN n{i} >= 2 THEN {c(i)}" for i in range(N)) + " END"
+CLASS = PICK(lambda i: str(gapfill.quality_class(*gapfill.STAGES[i])))
 
 
-@query("gf3_mds_gap_fill", f"SELECT site, {T}, round(coalesce(value, {PICK(lambda i: f'a{i}')}), 9) AS filled, round({PICK(lambda i: f's{i}')}, 9) AS fsd, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {PICK(lambda i: str(i + 1))} END AS INTEGER) AS stage, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {PICK(lambda i: str((1, 1, 1, 1, 3)[i]))} END AS INTEGER) AS fqc FROM v LEFT JOIN s USING (site, t)", MDS)
+@query("gf3_mds_gap_fill", f"SELECT site, {T}, round(coalesce(value, {PICK(lambda i: f'a{i}')}), 9) AS filled, round({PICK(lambda i: f's{i}')}, 9) AS fsd, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {PICK(lambda i: str(i + 1))} END AS INTEGER) AS stage, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {CLASS} END AS INTEGER) AS fqc FROM v LEFT JOIN s USING (site, t)", MDS)
 def gf3(spark, d):
-    got = gapfill.mds_gap_fill(series(spark, d), STEPS)
+    got = gapfill.mds_gap_fill(series(spark, d))
     return got.select("site", text().alias("t"), F.round("filled", 9).alias("filled"), F.round("fsd", 9).alias("fsd"), "stage", "fqc")
 
 
-@query("gf4_skip_uncertainty", "SELECT site, fqc, count(*) AS n FROM (SELECT site, CASE WHEN value IS NOT NULL THEN 0 ELSE " + PICK(lambda i: str((1, 1, 1, 1, 3)[i])) + " END AS fqc FROM v LEFT JOIN s USING (site, t)) GROUP BY 1, 2", MDS)
+@query("gf4_skip_uncertainty", f"SELECT site, fqc, count(*) AS n FROM (SELECT site, CASE WHEN value IS NOT NULL THEN 0 ELSE {CLASS} END AS fqc FROM v LEFT JOIN s USING (site, t)) GROUP BY 1, 2", MDS)
 def gf4(spark, d):
-    got = gapfill.mds_gap_fill(series(spark, d), STEPS).withColumn("fsd", gapfill.keep_uncertainty(F.col("fsd"), F.lit(False)))
+    got = gapfill.mds_gap_fill(series(spark, d)).withColumn("fsd", gapfill.keep_uncertainty(F.col("fsd"), F.lit(False)))
     return got.groupBy("site", "fqc").agg((F.count("*") + F.count("fsd")).alias("n"))
 
 

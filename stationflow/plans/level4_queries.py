@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from ..operators import partition, ustar
+from ..operators import derive, partition, ustar
+from .derive_queries import DECL, EQ, Y
 from .stations import T, meteo, query, table, text, wide
 
 
@@ -14,15 +17,15 @@ def nights(spark, d):
 
 
 US = """n0 AS (SELECT site, t, nee, air AS ta, u_star, swin, 'P' || ((day(t) - 1) // 10) AS season FROM wide),
-n1 AS (SELECT *, ntile(5) OVER (PARTITION BY site, season ORDER BY ta, t) AS tc FROM n0 WHERE swin < 10 AND nee IS NOT NULL),
-n2 AS (SELECT *, ntile(6) OVER (PARTITION BY site, season, tc ORDER BY u_star, t) AS ub FROM n1),
+n1 AS (SELECT *, ntile(7) OVER (PARTITION BY site, season ORDER BY ta, t) AS tc FROM n0 WHERE swin < 10 AND nee IS NOT NULL),
+n2 AS (SELECT *, ntile(20) OVER (PARTITION BY site, season, tc ORDER BY u_star, t) AS ub FROM n1),
 n3 AS (SELECT site, season, tc, ub, avg(nee) AS m, avg(u_star) AS u FROM n2 GROUP BY 1, 2, 3, 4),
-n4 AS (SELECT *, avg(m) OVER (PARTITION BY site, season, tc ORDER BY ub ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS later FROM n3),
+n4 AS (SELECT *, avg(m) OVER (PARTITION BY site, season, tc ORDER BY ub ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING) AS later FROM n3),
 us AS (SELECT site, season, quantile_cont(u, 0.5) AS ustar FROM (SELECT site, season, tc, arg_min(u, ub) AS u FROM n4 WHERE m > 0.95 * later GROUP BY 1, 2, 3) GROUP BY 1, 2)"""
 
 
 def thresholds(spark, d):
-    return ustar.threshold(nights(spark, d), classes=5, bins=6, ahead=3)
+    return ustar.threshold(nights(spark, d))
 
 
 @query("us1_ustar_threshold", "SELECT site, season, round(ustar, 8) AS ustar FROM us", US)
@@ -88,8 +91,15 @@ def pt2(spark, d):
     return partition.partition_day(wide(spark, d))
 
 
-@query("pt3_location", "SELECT site, count(*) AS steps, round(avg(swin), 8) AS swin, s_suppkey AS place FROM meteo JOIN supplier ON s_suppkey = CAST(site[2:] AS BIGINT) GROUP BY site, s_suppkey")
+PLACES = "places AS (SELECT 'S' || s_suppkey AS site, 40.0::DOUBLE + 5 * s_suppkey AS lat, 15.0::DOUBLE * s_suppkey - 20 AS lon, CAST(s_suppkey AS DOUBLE) AS tz FROM supplier)"
+ELEVATION = f"(sin({DECL}) * sin(radians(lat)) + cos({DECL}) * cos(radians(lat)) * cos((hour(t) + minute(t) / 60 + (lon / 15 - tz) + {EQ} - 12) * {math.pi!r}::DOUBLE / 12))"
+
+
+@query("pt3_location", f"SELECT site, {T}, round(CASE WHEN {ELEVATION} > 0 THEN 1366.1::DOUBLE * (1 + 0.034 * cos({Y})) * {ELEVATION} ELSE 0 END, 5) AS rg_pot, {ELEVATION} <= 0 AS night FROM meteo JOIN places USING (site)", PLACES)
 def pt3(spark, d):
-    """The dimension table of stations, broadcast by its known size (one row a station)."""
-    places = table(spark, d, "supplier").where("s_suppkey < 4").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("site"), F.col("s_suppkey").alias("place"))
-    return meteo(spark, d).join(F.broadcast(places), "site").groupBy("site", "place").agg(F.count("*").alias("steps"), F.round(F.avg("swin"), 8).alias("swin"))
+    """The table of stations gives each row its place, which the radiation and what counts as night follow."""
+    n = F.col("s_suppkey")
+    places = table(spark, d, "supplier").select(F.concat(F.lit("S"), n.cast("string")).alias("site"), (40.0 + 5 * n).alias("lat"), (15.0 * n - 20).alias("lon"), n.cast("double").alias("tz"))
+    own = meteo(spark, d).join(places, "site")
+    at = (F.dayofyear("t"), F.hour("t") + F.minute("t") / 60, F.col("lat"), F.col("lon"), F.col("tz"))
+    return own.select("site", text().alias("t"), F.round(derive.potential_radiation(*at), 5).alias("rg_pot"), (derive.solar_elevation_sine(*at) <= 0).alias("night"))

@@ -55,9 +55,10 @@ def ag4(spark, d):
     return own.groupBy("site").agg(*(F.round(F.avg(c), 8).alias(c) for c in pairs))
 
 
-@query("ag5_trim_short_years", "SELECT site, strftime(t, '%Y-%m-%d') AS t, n FROM (SELECT *, (lag(t) OVER w IS NULL AND lead(year(t)) OVER w <> year(t)) OR (lead(t) OVER w IS NULL AND lag(year(t)) OVER w <> year(t)) AS x FROM o WHERE month(t) = 1 AND day(t) < 3 OR year(t) % 2 = 0 WINDOW w AS (PARTITION BY site ORDER BY t)) WHERE NOT coalesce(x, false)", ORDERS)
+@query("ag5_trim_short_years", "SELECT site, strftime(t, '%Y-%m-%d') AS t, n FROM (SELECT *, (lag(t) OVER w IS NULL AND lead(year(t)) OVER w <> year(t)) OR (lead(t) OVER w IS NULL AND lag(year(t)) OVER w <> year(t)) AS x FROM (SELECT 'R' || (o_custkey % 97) AS site, CAST(o_orderdate AS TIMESTAMP) AS t, count(*) AS n FROM orders GROUP BY 1, 2) WINDOW w AS (PARTITION BY site ORDER BY t)) WHERE NOT coalesce(x, false)")
 def ag5(spark, d):
-    own = days(spark, d).where("month(t) = 1 and day(t) < 3 or year(t) % 2 = 0")
+    """Customers in 97 groups: with so few days to a group, some years hold a single one."""
+    own = table(spark, d, "orders").groupBy(F.concat(F.lit("R"), (F.col("o_custkey") % 97).cast("string")).alias("site"), F.col("o_orderdate").cast("timestamp_ntz").alias("t")).agg(F.count("*").alias("n"))
     return calendar.trim_short_years(own).select("site", F.date_format("t", "yyyy-MM-dd").alias("t"), "n")
 
 
@@ -180,12 +181,12 @@ def dq7(spark, d):
     return tables.unknown_and_unused(headers(spark, d), vocabulary)
 
 
-CELLS = """ce AS (SELECT user_id AS file, event_id % 4 AS row, event_type AS cell FROM events WHERE event_id % 9 < 5), vo(type, name) AS (VALUES ('EDDYPRO_FO', 'view'), ('EDDYPRO_FO', 'click'), ('CSF', 'purchase'), ('IAS', 'signup'), ('EDDYPRO_BIOMET', 'error')),
+CELLS = """ce AS (SELECT user_id AS file, event_id % 4 AS row, event_type AS cell FROM events), vo(type, name) AS (VALUES ('EDDYPRO_FO', 'view'), ('EDDYPRO_FO', 'click'), ('CSF', 'purchase'), ('IAS', 'signup'), ('EDDYPRO_BIOMET', 'error')),
 ty AS (SELECT file, CASE WHEN count(k) = 1 THEN min(CASE WHEN k IS NOT NULL THEN type END) ELSE 'UNKNOWN' END AS type FROM (SELECT DISTINCT file FROM ce) LEFT JOIN (SELECT file, row, type, count(*) AS k FROM ce JOIN vo ON cell = name JOIN (SELECT file, row, count(*) AS n FROM ce GROUP BY 1, 2) USING (file, row) GROUP BY file, row, type, n HAVING count(*) / n > 0.5) USING (file) GROUP BY file)"""
 
 
 def file_types(spark, d):
-    own = table(spark, d, "events").where("event_id % 9 < 5").select(F.col("user_id").alias("file"), (F.col("event_id") % 4).alias("row"), F.col("event_type").alias("cell"))
+    own = table(spark, d, "events").select(F.col("user_id").alias("file"), (F.col("event_id") % 4).alias("row"), F.col("event_type").alias("cell"))
     words = spark.createDataFrame([("EDDYPRO_FO", "view"), ("EDDYPRO_FO", "click"), ("CSF", "purchase"), ("IAS", "signup"), ("EDDYPRO_BIOMET", "error")], "type string, name string")
     return tables.detect_file_type(own, words)
 
@@ -219,10 +220,22 @@ def src5(spark, d):
 
 
 def folder(spark) -> str:
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stations-")
+    """In the shared folder; on a cluster that names none there is no place that all executors see."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-stations-")
     return f"{shared}/stations-{uuid.uuid4().hex}"
 
 
+def exported(df, by: list[str], units: dict[str, str] | None = None):
+    """The table as it comes back from the files that the sink wrote."""
+    path = folder(df.sparkSession)
+    sinks.write(df, path, by, "csv", units)
+    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path).select(*df.columns)
+
+
 def written(spark, rows, header: list[str]) -> str:
     """A folder with one text file a site: the header lines, then `line` in order of t."""
     head = rows.select("site").distinct().withColumn("k", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(h).alias("line")) for i, h in enumerate(header))))).select("site", "k.i", F.lit(None).cast("timestamp_ntz").alias("t"), "k.line")
@@ -240,8 +253,16 @@ FLUXES = "long AS (SELECT site, t, 'co2_flux' AS var, co2_flux AS value FROM wid
 READ = f"SELECT site, var, {T}, value FROM lg"
 
 
-def read(spark, path, layout, step="30 MINUTES"):
-    return station_files.read_layout(spark, path, layout, step).select("site", "var", text().alias("t"), "value")
+def read(spark, path, layout, step="30 MINUTES", biomet=None):
+    own = station_files.read_layout(spark, path, layout, step)
+    if biomet:
+        own = station_files.merge_biomet(own, station_files.read_layout(spark, biomet, "biomet", step))
+    return own.select("site", "var", text().alias("t"), "value")
+
+
+def weather_files(spark, d):
+    line = F.concat_ws(",", F.date_format("t", "yyyy-MM-dd HHmm"), cell(F.col("rh")), cell(F.col("rh")))
+    return written(spark, meteo(spark, d).withColumn("line", line), ["TIMESTAMP_1,RH_1_1_1,h", "yyyy-mm-dd HHMM,%,W"])
 
 
 @query("src1_read_station_csv", f"SELECT site, var, {T}, value FROM long", FLUXES)
@@ -264,16 +285,18 @@ def src6(spark, d):
     return read(spark, written(spark, wide(spark, d).withColumn("line", line), ["file_info,,,fluxes,", "filename,date,time,co2_flux,H", ",[yyyy-mm-dd],[HH:MM],[umol],[W]"]), "eddypro")
 
 
-@query("src7_read_biomet", f"SELECT site, 'rh' AS var, {T}, rh AS value FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '30 minutes')) AS t FROM meteo GROUP BY 1) LEFT JOIN meteo USING (site, t)")
+@query("src7_read_biomet", f"SELECT site, 'rh' AS var, {T}, rh AS value FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '1 hour')) AS t FROM meteo GROUP BY 1) LEFT JOIN meteo USING (site, t)")
 def src7(spark, d):
+    """Files of half-hourly rows, read at an hourly flux step."""
     line = F.concat_ws(",", F.date_format("t", "yyyy-MM-dd HHmm"), cell(F.col("rh")))
-    return read(spark, written(spark, meteo(spark, d).withColumn("line", line), ["TIMESTAMP_1,RH_1_1_1", "yyyy-mm-dd HHMM,%"]), "biomet")
+    return read(spark, written(spark, meteo(spark, d).withColumn("line", line), ["TIMESTAMP_1,RH_1_1_1", "yyyy-mm-dd HHMM,%"]), "biomet", "1 HOUR")
 
 
-@query("src8_read_csf", READ, FLUXES)
+@query("src8_read_csf", f"{READ} WHERE var <> 'h' UNION ALL SELECT site, 'rh', {T}, rh FROM meteo_grid UNION ALL SELECT site, 'h', {T}, rh FROM meteo_grid", FLUXES + ", meteo_grid AS (SELECT site, t, rh FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '30 minutes')) AS t FROM meteo GROUP BY 1) LEFT JOIN meteo USING (site, t))")
 def src8(spark, d):
+    """Merged with weather files, whose variables win (here H too)."""
     line = F.concat_ws(",", F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit("1"), F.coalesce(F.col("co2_flux").cast("string"), F.lit("NAN")), cell(F.col("h")))
-    return read(spark, written(spark, wide(spark, d).withColumn("line", line), ["TOA5,x", "TIMESTAMP,RECORD,FC,H", "TS,RN,umol,W", ",,,"]), "csf")
+    return read(spark, written(spark, wide(spark, d).withColumn("line", line), ["TOA5,x", "TIMESTAMP,RECORD,FC,H", "TS,RN,umol,W", ",,,"]), "csf", biomet=weather_files(spark, d))
 
 
 @query("src9_read_ias", f"SELECT site, var, {T}, CASE WHEN var = 'vpd' THEN round(value, 8) ELSE value END AS value FROM (SELECT site, t, v.var, CASE WHEN v.var = 'vpd' THEN rh * 0.1 ELSE co2_flux END AS value FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '30 minutes')) AS t FROM wide GROUP BY 1) LEFT JOIN wide USING (site, t) CROSS JOIN (VALUES ('co2_flux'), ('vpd')) v(var))")
@@ -292,7 +315,7 @@ L3 = "SELECT site, CAST(year(t) AS INTEGER) AS \"Year\", CAST(dayofyear(t) AS IN
 
 @query("snk1_write_level3", L3)
 def snk1(spark, d):
-    return sinks.level3(level3_wide(spark, d))
+    return exported(sinks.level3(level3_wide(spark, d)), ["site"], {"NEE": "umol_m-2_s-1", "Rg": "Wm-2", "VPD": "hPa"})
 
 
 @query("src10_read_level3", f"SELECT site, {T}, nee AS \"NEE\", h AS \"H\", u_star AS \"Ustar\" FROM (SELECT *, min(CASE WHEN hour(t) = 0 AND minute(t) = 30 THEN t END) OVER (PARTITION BY site) AS f FROM wide) WHERE t >= f")
@@ -306,25 +329,25 @@ def src10(spark, d):
 
 @query("snk2_write_ias", "SELECT site, CAST(year(t) AS INTEGER) AS year, strftime(t, '%Y%m%d%H%M') AS \"TIMESTAMP_START\", strftime(t + INTERVAL 30 MINUTE, '%Y%m%d%H%M') AS \"TIMESTAMP_END\", round(dayofyear(t + INTERVAL 30 MINUTE) + (hour(t + INTERVAL 30 MINUTE) * 60 + minute(t + INTERVAL 30 MINUTE)) / 1440, 3) AS \"DTime\", coalesce(co2_flux, -9999) AS \"FC_1_1_1\", coalesce(le, -9999) AS \"LE_1_1_1\", coalesce(h, -9999) AS \"H_1_1_1\", u_star AS \"USTAR_1_1_1\", coalesce(ta, -9999) AS \"TA_1_1_1\", rh AS \"RH_1_1_1\", swin AS \"SW_IN_1_1_1\", round(rh * 0.1 * 10, 8) AS \"VPD_PI_1_1_1\" FROM wide")
 def snk2(spark, d):
-    return sinks.ias(level3_wide(spark, d)).withColumn("VPD_PI_1_1_1", F.round("VPD_PI_1_1_1", 8))
+    return exported(sinks.ias(level3_wide(spark, d)).withColumn("VPD_PI_1_1_1", F.round("VPD_PI_1_1_1", 8)), ["site", "year"])
 
 
 @query("snk3_write_fat", "SELECT site, year, \"DoY\", period, var, value, gapfilled FROM (SELECT site, CAST(year(t) AS INTEGER) AS year, round(dayofyear(t) + hour(t) / 24 + minute(t) / 24 / 60, 3) AS \"DoY\", CAST(month(t) % 12 // 3 + 1 AS INTEGER) AS period, var, coalesce(value, -99999) AS value, round(coalesce(filled, CASE WHEN count(value) OVER w >= 4 THEN avg(value) OVER w END, -99999), 8) AS gapfilled, count(*) OVER (PARTITION BY site, var, year(t)) AS n FROM i2 WINDOW w AS (PARTITION BY site, var, slot ORDER BY t ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING)) WHERE n >= 5", INTERP)
 def snk3(spark, d):
-    return sinks.fat(gridded(spark, d)).withColumn("gapfilled", F.round("gapfilled", 8))
+    return exported(sinks.fat(gridded(spark, d)).withColumn("gapfilled", F.round("gapfilled", 8)), ["site", "year"])
 
 
 @query("snk4_write_output_all", "SELECT site, strftime(t, '%Y-%m-%d') AS date, strftime(t, '%H:%M') AS time, var, coalesce(value, -9999) AS value, CAST(f_qc AS INTEGER) AS f_qc, CAST(f_minmax AS INTEGER) AS f_minmax, CAST(f_quantile AS INTEGER) AS f_quantile FROM c3", CHAIN)
 def snk4(spark, d):
-    return sinks.output_all(chain(spark, d), list(FLAGS))
+    return exported(sinks.output_all(chain(spark, d), list(FLAGS)), ["site"])
 
 
 @query("snk6_write_averages", "SELECT site, year, month, dom, doy, CASE WHEN h IS NOT NULL THEN printf('%02d:%02d', CAST(floor(h) AS INTEGER), CAST(round((h - floor(h)) * 60) AS INTEGER)) END AS hour, q, q_sqc FROM (SELECT site, CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month, CAST(NULL AS INTEGER) AS dom, CAST(NULL AS INTEGER) AS doy, hour(t) + minute(t) / 60 AS h, round(avg(q), 8) AS q, round(count(raw) / count(*), 8) AS q_sqc FROM lineitem_t GROUP BY ALL)", PAIRS)
 def snk6(spark, d):
-    return sinks.averages(means(spark, d), "hourly", ["q", "q_sqc"])
+    return exported(sinks.averages(means(spark, d), "hourly", ["q", "q_sqc"]), ["site"], {"q": "pieces"})
 
 
 @query("snk7_write_filled", f"SELECT site, {T}, co2_flux, rh AS rh_f FROM wide")
 def snk7(spark, d):
     raw = wide(spark, d).select("site", "t", "co2_flux")
-    return sinks.filled_table(raw, meteo(spark, d).withColumnRenamed("rh", "rh_f"), ["rh_f"]).select("site", text().alias("t"), "co2_flux", "rh_f")
+    return exported(sinks.filled_table(raw, meteo(spark, d).withColumnRenamed("rh", "rh_f"), ["rh_f"]).select("site", text().alias("t"), "co2_flux", "rh_f"), ["site"])

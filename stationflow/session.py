@@ -15,7 +15,7 @@ def session(cores: int | str = "*", name: str = "stationflow", **conf: str) -> S
         "spark.sql.shuffle.partitions": str(2 * (os.cpu_count() or 4)) if cores == "*" else str(2 * int(cores)),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g",
+        "spark.driver.memory": "5g",
     } | conf
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
     for key, value in options.items():

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..operators.tables import null_codes, rename_vocabulary, site_from_name
 from ..operators.timegrid import parse_stamps, repair_time
 
 
+@F.pandas_udf(StringType())
+def escaped(content: pd.Series) -> pd.Series:
+    """UTF-8 text with the bytes that are none written as \\xNN. Only broken files come here."""
+    return content.map(lambda b: bytes(b).decode("utf-8", "backslashreplace"))
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """file, row (exact line number), line. Whole files, because Spark keeps no line numbers otherwise."""
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_path", "((site=[^/]*/)?[^/]*)$", 1).alias("file"), F.regexp_replace("value", "\r", "").alias("value"))
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "((site=[^/]*/)?[^/]*)$", 1).alias("file"), "content")
+    sound = F.is_valid_utf8(F.col("content").cast("string"))
+    whole = files.where(sound).select("file", F.col("content").cast("string").alias("value")).unionByName(files.where(~sound).select("file", escaped("content").alias("value")))
+    whole = whole.select("file", F.regexp_replace("value", "\r", "").alias("value"))
     return whole.select("file", F.posexplode(F.split("value", "\n")).alias("row", "line")).where("line <> ''")
 
 
@@ -37,21 +48,32 @@ def site_of(file: Column) -> Column:
     return F.when(folder != "", folder).otherwise(site_from_name(F.regexp_replace(file, "^.*/", ""))[0])
 
 
-def read_long(df: DataFrame, header: int, first: int, separator: str = ",") -> DataFrame:
-    """file, row, name, raw: every cell of the tables with its column's name. header: row of the names; first: first row of data."""
+def read_long(df: DataFrame, header: int | None, first: int, separator: str = ",") -> DataFrame:
+    """file, row, name, raw: every cell of the tables with its column's name. header: row of the names; first: first row of data.
+
+    Without a header row, each file's table starts where its rows begin to have equal numbers of fields, and `first` counts from there.
+    """
+    if header is None:
+        start = guess_table_start(df, separator=separator).withColumn("start", F.coalesce("start", F.raise_error(F.concat(F.lit("Cannot guess start of csv table in "), F.col("file"))).cast("int")))
+        df = df.join(start, "file").withColumn("row", F.col("row") - F.col("start")).drop("start")
+        header = 0
     names = df.where(F.col("row") == header).select("file", F.posexplode(F.split("line", separator)).alias("pos", "name")).withColumn("name", F.trim("name"))
     cells = df.where(F.col("row") >= first).select("file", "row", F.posexplode(F.split("line", separator)).alias("pos", "raw"))
-    return cells.join(F.broadcast(names), ["file", "pos"]).select("file", "row", "name", F.trim("raw").alias("raw"))
+    return cells.join(names, ["file", "pos"]).select("file", "row", "name", F.trim("raw").alias("raw"))
 
 
-def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], formats: Sequence[str], header: int = 0, first: int = 1, names: Mapping[str, str] | None = None, separator: str = ",", step: str | None = "30 MINUTES") -> DataFrame:
+def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], formats: Sequence[str], header: int | None = 0, first: int = 1, names: Mapping[str, str] | None = None, separator: str = ",", step: str | None = "30 MINUTES", strict: bool = False) -> DataFrame:
     """site, t, var, value of all files at the path. stamps: the columns whose texts, joined by a blank, are the time stamp.
 
+    A file whose stamps no single format parses gives no row, or (strict) fails the job.
+
     Missing codes become null, names go by the vocabulary, duplicate stamps keep the first by file and row, and with a step each series is completed.
     """
     cells = read_long(lines(spark, path), header, first, separator)
     stamp = cells.where(F.col("name").isin(*stamps)).groupBy("file", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.array_position(F.array(*map(F.lit, stamps)), F.col("name")).alias("i"), "raw"))), lambda s: s["raw"]), " ").alias("stamp"))
     stamp = parse_stamps(stamp, "stamp", list(formats), "file").select("file", "row", "t")
+    if strict:
+        stamp = stamp.withColumn("t", F.coalesce("t", F.raise_error(F.concat(F.lit("None of date or time formats worked: "), F.col("file"))).cast("timestamp_ntz")))
     long = cells.where(~F.col("name").isin(*stamps)).join(stamp, ["file", "row"]).withColumnRenamed("name", "var")
     long = rename_vocabulary(long, names or {"": ""})
     long = long.select(site_of(F.col("file")).alias("site"), "t", "var", null_codes(F.col("raw")).alias("value"), "file", "row")
@@ -75,10 +97,16 @@ NAMES = {
 }
 
 
-def read_layout(spark: SparkSession, path: str, layout: str, step: str | None = "30 MINUTES") -> DataFrame:
+def merge_biomet(flux: DataFrame, biomet: DataFrame) -> DataFrame:
+    """Flux and weather series (site, t, var, value) together. Of a site's variables in both, the weather file's count. Read both at the flux step."""
+    theirs = biomet.select("site", "var").distinct()
+    return flux.join(theirs, ["site", "var"], "left_anti").unionByName(biomet)
+
+
+def read_layout(spark: SparkSession, path: str, layout: str, step: str | None = "30 MINUTES", strict: bool = False) -> DataFrame:
     """site, t, var, value of files of one layout; vapour pressure deficits in hPa become kPa."""
     stamps, formats, header, first = LAYOUTS[layout]
-    got = read_station_csv(spark, path, stamps, formats, header, first, NAMES[layout], ",", step)
+    got = read_station_csv(spark, path, stamps, formats, header, first, NAMES[layout], ",", step, strict)
     got = got.where(~F.col("var").isin("timestamp_end", "dtime", "filename", "doy", "record"))
     return got.withColumn("value", F.when(F.col("var") == "vpd", F.col("value") * 0.1).otherwise(F.col("value"))) if layout == "ias" else got
 
