@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import packing, pii, quality, simhash, substring
+from stationflow.llm.common import shared_folder
 
 
 def recount(docs: DataFrame) -> DataFrame:
@@ -48,16 +49,26 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result but the last is written to the shared folder and read again."""
+    """All stages over documents; each result but the last is written to the shared folder and read again, and deleted when the next is written.
+
+    What the last stage returns reads checkpoints only, so nothing but these is left.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    at = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    at = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs.write.parquet(f"{at}/{name}")
             docs = spark.read.parquet(f"{at}/{name}")
+        if i:
+            delete(spark, f"{at}/{STAGES[i - 1][0]}")
+    delete(spark, at)
     return docs
 
 

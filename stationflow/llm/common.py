@@ -113,12 +113,23 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset: one of its own in local mode, as in tests; on a cluster, an error."""
+    known = spark.conf.get("spark.checkpoint.dir", None)
+    if known:
+        return known
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a checkpoint in the shared folder that spark.checkpoint.dir names; a folder of its own only where that is unset."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Cuts lineage by a checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
