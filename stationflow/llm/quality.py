@@ -168,10 +168,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.97, mo
     return rules
 
 
-def fit(stats: DataFrame, labels: DataFrame, id: str = "doc_id", sample: int = 20_000, precision: float = 0.97) -> list[Rule]:
-    """Rules from at most `sample` labelled documents. labels: id, quality (0 is bad)."""
+def chosen_labels(labels: DataFrame, id: str = "doc_id", sample: int = 20_000) -> DataFrame:
+    """__l, bad of at most `sample` labelled ids."""
     labels = labels.where("quality in (0, 1)").groupBy(F.col(id).alias("__l")).agg((F.avg("quality") < 0.5).alias("bad"))
-    chosen = labels.where("__l is not null").orderBy(F.xxhash64("__l"), "__l").limit(sample)
+    return labels.where("__l is not null").orderBy(F.xxhash64("__l"), "__l").limit(sample)
+
+
+def fit(stats: DataFrame, chosen: DataFrame, id: str = "doc_id", precision: float = 0.97) -> list[Rule]:
+    """Rules from the statistics of the chosen documents."""
     rows = stats.join(chosen, F.col(id) == F.col("__l")).dropDuplicates([id]).select("__l", "bad", *(ratio(r).alias(r) for r in RATIOS)).orderBy("__l").toPandas()
     bad = rows["bad"].to_numpy(bool)
     if not bad.any() or bad.all():
@@ -190,12 +194,14 @@ def verdict(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 20_000) -> DataFrame:
     """The statistics of every document and `rule`, the number of the rule that rejects it."""
     stats = cut(statistics(docs, id, text))  # only counts are kept and shuffled, never texts
-    return stats.withColumn("rule", verdict(fit(stats, labels, id, sample)))
+    return stats.withColumn("rule", verdict(fit(stats, chosen_labels(labels, id, sample), id)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 20_000) -> DataFrame:
     """docs without those that a learned rule rejects."""
-    rules = fit(statistics(docs, id, text), labels, id, sample)
+    chosen = chosen_labels(labels, id, sample)
+    labelled = docs.join(F.broadcast(chosen.select("__l")), docs[id] == F.col("__l"), "left_semi")  # at most `sample` ids
+    rules = fit(statistics(labelled, id, text), chosen, id)
     clash = {c: f"__own_{c}" for c in docs.columns}
     held = statistics(docs.withColumnsRenamed(clash).withColumn("__same", F.col(clash[text])), clash[id], "__same", keep=tuple(clash.values()))
     return held.where(verdict(rules).isNull()).select(*(F.col(v).alias(k) for k, v in clash.items()))
