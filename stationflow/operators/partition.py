@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: Fixed values of the respiration model: reference and zero temperatures in degrees C.
 T_REF, T_ZERO = 15.0, -46.02
+BLOCK = 17
 
 
 def temperature_response(ta: Column, e0: Column) -> Column:
@@ -19,16 +20,19 @@ def partition_night(df: DataFrame, e0: tuple[int, ...] = tuple(range(30, 455, 5)
     """site, start, e0, rref, n: the night respiration fit of each window of `days`, every `every` days.
 
     Profile least squares: for a given E0 the model nee = rref * g(ta; E0) is linear, so rref and the squared error come from sums, two for each
-    E0 of the short constant grid, in one partially aggregated pass over the rows; the best is the least of an array. No solver, no Python.
+    E0 of the short constant grid. A row is dealt to blocks of E0 (BLOCK sums of a kind at once keep the code compiled); the best is the least. No solver, no Python.
     """
     night = df.where((F.col("swin") < dark) & F.col("nee").isNotNull() & F.col("ta").isNotNull() & (F.col("ta") > T_ZERO + 1))
     day = F.datediff(F.col("t").cast("date"), F.lit("1970-01-01").cast("date"))
     starts = F.sequence(F.ceil((day - days + 1) / every).cast("int"), F.floor(day / every).cast("int"))
-    own = night.select("site", "nee", "ta", F.explode(starts).alias("w"))
-    g = [temperature_response(F.col("ta"), F.lit(float(e))) for e in e0]
-    own = own.groupBy("site", "w").agg(F.sum(F.col("nee") * F.col("nee")).alias("yy"), F.count("*").alias("n"), *(F.sum(F.col("nee") * x).alias(f"yg{i}") for i, x in enumerate(g)), *(F.sum(x * x).alias(f"gg{i}") for i, x in enumerate(g)))
-    fits = [F.struct(F.round(F.col("yy") - F.col(f"yg{i}") * F.col(f"yg{i}") / F.col(f"gg{i}"), 6).alias("sse"), F.lit(e).alias("e0"), (F.col(f"yg{i}") / F.col(f"gg{i}")).alias("rref"), F.col("n")) for i, e in enumerate(e0)]
-    best = own.where(F.col("n") >= least).select("site", "w", F.array_min(F.array(*fits)).alias("f"))
+    blocks = [e0[i : i + BLOCK] for i in range(0, len(e0), BLOCK)]
+    own = night.select("site", "nee", "ta", F.explode(starts).alias("w")).withColumn("es", F.explode(F.array(*(F.array(*map(F.lit, b)) for b in blocks))))
+    at = [F.get("es", F.lit(i)) for i in range(len(blocks[0]))]
+    g = [temperature_response(F.col("ta"), e.cast("double")) for e in at]
+    sums = own.groupBy("site", "w", "es").agg(F.sum(F.col("nee") * F.col("nee")).alias("yy"), F.count("*").alias("n"), *(F.sum(F.col("nee") * x).alias(f"yg{i}") for i, x in enumerate(g)), *(F.sum(x * x).alias(f"gg{i}") for i, x in enumerate(g)))
+    fit = lambda i, e: F.struct(F.round(F.col("yy") - F.col(f"yg{i}") * F.col(f"yg{i}") / F.col(f"gg{i}"), 6).alias("sse"), e.alias("e0"), (F.col(f"yg{i}") / F.col(f"gg{i}")).alias("rref"), F.col("n"))
+    fits = [F.when(e.isNotNull(), fit(i, e)) for i, e in enumerate(at)]
+    best = sums.where(F.col("n") >= least).select("site", "w", F.array_min(F.array(*fits)).alias("f")).groupBy("site", "w").agg(F.min("f").alias("f"))
     return best.select("site", F.expr(f"date_add(date'1970-01-01', w * {every})").alias("start"), "f.e0", "f.rref", "f.n")
 
 
