@@ -351,3 +351,17 @@ def snk6(spark, d):
 def snk7(spark, d):
     raw = wide(spark, d).select("site", "t", "co2_flux")
     return exported(sinks.filled_table(raw, meteo(spark, d).withColumnRenamed("rh", "rh_f"), ["rh_f"]).select("site", text().alias("t"), "co2_flux", "rh_f"), ["site"])
+
+
+@query("snk7_write_fluxnet15", "SELECT site, CAST(year(t) AS INTEGER) AS year, strftime(t - INTERVAL 30 MINUTE, '%Y%m%d%H%M') AS \"TIMESTAMP_START\", strftime(t, '%Y%m%d%H%M') AS \"TIMESTAMP_END\", coalesce(nee, -9999) AS \"NEE_VUT_REF\", coalesce(le, -9999) AS \"LE_F_MDS\", coalesce(h, -9999) AS \"H_F_MDS\", swin AS \"SW_IN_F_MDS\", coalesce(ta, -9999) AS \"TA_F_MDS\", rh AS \"RH\", round(rh * 0.1 * 10, 8) AS \"VPD_F_MDS\", u_star AS \"USTAR\" FROM wide")
+def snk7_fluxnet(spark, d):
+    return exported(sinks.fluxnet15(level3_wide(spark, d)).withColumn("VPD_F_MDS", F.round("VPD_F_MDS", 8)), ["site", "year"])
+
+
+@query("src10_read_fluxnet15", f"SELECT site, {T}, v.var, round(CASE v.var WHEN 'nee' THEN nee WHEN 'vpd' THEN rh * 0.1 ELSE u_star END, 8) AS value FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '30 minutes')) AS t FROM wide GROUP BY 1) LEFT JOIN wide USING (site, t) CROSS JOIN (VALUES ('nee'), ('vpd'), ('u_star')) v(var)")
+def src10_fluxnet(spark, d):
+    """The export above, as files of a site, read back."""
+    own = sinks.fluxnet15(level3_wide(spark, d).select("site", "t", "nee", "vpd", "u_star"))
+    names = [c for c in own.columns if c not in ("site", "year")]
+    rows = own.withColumn("t", F.to_timestamp("TIMESTAMP_END", "yyyyMMddHHmm").cast("timestamp_ntz")).withColumn("line", F.concat_ws(",", *(F.col(c).cast("string") for c in names)))
+    return read(spark, written(spark, rows, [",".join(names)]), "fluxnet15").withColumn("value", F.round("value", 8))

@@ -65,6 +65,14 @@ def filled_table(raw: DataFrame, results: DataFrame, columns: list[str]) -> Data
     return raw.join(results.select("site", "t", *columns), ["site", "t"])
 
 
+def fluxnet15(wide: DataFrame) -> DataFrame:
+    """site, year, the stamps of the intervals that end at t, and the variables by their exchange names; vapour pressure deficit in hPa."""
+    names = {"nee": "NEE_VUT_REF", "le": "LE_F_MDS", "h": "H_F_MDS", "swin": "SW_IN_F_MDS", "ta": "TA_F_MDS", "ts": "TS_F_MDS_1", "rh": "RH", "vpd": "VPD_F_MDS", "u_star": "USTAR"}
+    stamp = lambda t: F.date_format(t, "yyyyMMddHHmm")
+    own = [coded(F.col(a) * 10 if a == "vpd" else F.col(a)).alias(b) for a, b in names.items() if a in wide.columns]
+    return wide.select("site", F.year("t").alias("year"), stamp(F.expr("t - INTERVAL 30 MINUTES")).alias("TIMESTAMP_START"), stamp(F.col("t")).alias("TIMESTAMP_END"), *own)
+
+
 def write(df: DataFrame, path: str, by: list[str], fmt: str = "csv", units: dict[str, str] | None = None) -> None:
     """One partitioned write; units as a small table beside it."""
     df.write.mode("overwrite").partitionBy(*by).options(header=True).format(fmt).save(path)

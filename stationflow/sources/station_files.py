@@ -87,6 +87,7 @@ LAYOUTS = {
     "biomet": (("TIMESTAMP_1",), ("yyyy-M-d HHmm", "d.M.yyyy H:mm"), 0, 2),
     "csf": (("TIMESTAMP",), ("yyyy-M-d H:mm:ss", "d.M.yyyy H:mm"), 1, 4),
     "ias": (("TIMESTAMP_START",), ("yyyyMMddHHmm",), 0, 1),
+    "fluxnet15": (("TIMESTAMP_END",), ("yyyyMMddHHmm",), 0, 1),
 }
 #: Names of the layouts in the engine's vocabulary.
 NAMES = {
@@ -94,7 +95,10 @@ NAMES = {
     "biomet": {"Ta_1_1_1": "ta", "RH_1_1_1": "rh", "Rg_1_1_1": "rg", "Swin_1_1_1": "swin", "Swout_1_1_1": "swout", "P_1_1_1": "p_rain"},
     "csf": {"FC": "co2_flux", "FC_QC": "qc_co2_flux", "LE_QC": "qc_le", "H_QC": "qc_h", "USTAR": "u_star", "T_SONIC": "sonic_temperature", "CO2_sig_strgth_Min": "co2_signal_strength"},
     "ias": {"FC_1_1_1": "co2_flux", "FC_SSITC_TEST_1_1_1": "qc_co2_flux", "LE_1_1_1": "le", "H_1_1_1": "h", "USTAR_1_1_1": "u_star", "TA_1_1_1": "ta", "RH_1_1_1": "rh", "SW_IN_1_1_1": "swin", "P_RAIN_1_1_1": "p_rain", "VPD_PI_1_1_1": "vpd", "CO2_STR_1_1_1": "co2_signal_strength", "CH4_RSSI_1_1_1": "ch4_signal_strength", "FCH4_1_1_1": "ch4_flux"},
+    "fluxnet15": {"NEE_VUT_REF": "nee", "LE_F_MDS": "le", "H_F_MDS": "h", "SW_IN_F_MDS": "swin", "TA_F_MDS": "ta", "TS_F_MDS_1": "ts", "RH": "rh", "VPD_F_MDS": "vpd", "USTAR": "u_star"},
 }
+#: Layouts whose vapour pressure deficits are in hPa.
+IN_HPA = ("ias", "fluxnet15")
 
 
 def merge_biomet(flux: DataFrame, biomet: DataFrame) -> DataFrame:
@@ -107,8 +111,8 @@ def read_layout(spark: SparkSession, path: str, layout: str, step: str | None =
     """site, t, var, value of files of one layout; vapour pressure deficits in hPa become kPa."""
     stamps, formats, header, first = LAYOUTS[layout]
     got = read_station_csv(spark, path, stamps, formats, header, first, NAMES[layout], ",", step, strict)
-    got = got.where(~F.col("var").isin("timestamp_end", "dtime", "filename", "doy", "record"))
-    return got.withColumn("value", F.when(F.col("var") == "vpd", F.col("value") * 0.1).otherwise(F.col("value"))) if layout == "ias" else got
+    got = got.where(~F.col("var").isin("timestamp_start", "timestamp_end", "dtime", "filename", "doy", "record"))
+    return got.withColumn("value", F.when(F.col("var") == "vpd", F.col("value") * 0.1).otherwise(F.col("value"))) if layout in IN_HPA else got
 
 
 def read_level3(spark: SparkSession, path: str) -> DataFrame:

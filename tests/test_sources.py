@@ -1,11 +1,12 @@
 """Readers on files written by hand, and the export of a station end to end."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.operators import filters, timegrid
+from stationflow.operators import calendar, filters, gapfill, partition, timegrid, ustar
 from stationflow.sources import sinks, station_files
 
 T0 = dt.datetime(2022, 1, 1)
@@ -75,3 +76,45 @@ def test_a_station_from_files_to_level_3(spark, tmp_path):
     back = spark.read.schema(table.schema).option("header", True).csv(str(tmp_path / "out")).orderBy("Hour").collect()
     assert [(r["Hour"], r["NEE"], r["H"]) for r in back] == [(0.5, 3.0, 0.0), (1.0, -9999.0, 1.0), (1.5, -9999.0, 2.0), (2.0, 5.0, 3.0), (2.5, 6.0, 4.0)]
     assert {r["site"] for r in back} == {"tv"} and spark.read.json(str(tmp_path / "out_units")).count() == 1
+
+
+def test_fluxnet15_files_come_back(spark, tmp_path):
+    rows = [("a", T0 + (i + 1) * HALF, None if i == 1 else float(i), 50.0, 1.5, 0.3) for i in range(4)]
+    wide = spark.createDataFrame(rows, "site string, t timestamp_ntz, nee double, rh double, vpd double, u_star double")
+    table = sinks.fluxnet15(wide)
+    sinks.write(table, str(tmp_path / "out"), ["site"], "csv")
+    first = table.orderBy("TIMESTAMP_END").first()
+    assert (first["TIMESTAMP_START"], first["TIMESTAMP_END"], first["VPD_F_MDS"]) == ("202201010000", "202201010030", 15.0)
+    got = {}
+    for r in station_files.read_layout(spark, str(tmp_path / "out"), "fluxnet15").where("var <> 'year'").orderBy("var", "t").collect():
+        assert r["site"] == "a"
+        got.setdefault(r["var"], []).append((r["t"], r["value"]))
+    at = [T0 + (i + 1) * HALF for i in range(4)]
+    assert got["nee"] == list(zip(at, [0.0, None, 2.0, 3.0])) and got["vpd"] == [(t, 1.5) for t in at] and set(got) == {"nee", "rh", "vpd", "u_star"}
+
+
+def test_a_station_from_level_3_to_level_4(spark):
+    """Threshold, filter, gap filling, partitioning and daily sums of a made-up station give the respiration it was made with."""
+    e0, rref, rows = 200, 3.0, []
+    for i in range(60 * 48):
+        hour, day = (i % 48) / 2, i // 48
+        ta = 10 + 6 * math.sin((hour - 8) * math.pi / 12) + day / 10
+        light = max(0.0, 600 * math.sin((hour - 6) * math.pi / 12))
+        reco = rref * math.exp(e0 * (1 / 61.02 - 1 / (ta + 46.02)))
+        u = 0.02 + 0.58 * ((i * 7919) % 1000) / 1000
+        nee = None if i % 7 == 0 else (reco - 0.02 * light) * (0.3 if light < 10 and u < 0.15 else 1)
+        rows.append(("a", "P", T0 + i * HALF, nee, light, ta, 0.5, u, reco))
+    df = spark.createDataFrame(rows, "site string, season string, t timestamp_ntz, nee double, swin double, ta double, vpd double, u_star double, reco_true double")
+    thresholds = ustar.yearly(ustar.threshold(df))
+    assert 0.14 < thresholds.first()["ustar"] < 0.25
+    filtered = ustar.ustar_filter(df, thresholds)
+    fills = gapfill.mds_gap_fill(filtered.select("site", "t", F.col("nee_ustar").alias("value"), F.col("swin").alias("rg"), "vpd", "ta")).select("site", "t", "filled", "fqc")
+    own = filtered.select("site", "t", "swin", "ta", "reco_true", F.col("nee_ustar").alias("nee")).join(fills, ["site", "t"])
+    assert own.where("filled is null").count() == 0 and {r["fqc"] for r in own.select("fqc").distinct().collect()} <= {0, 1}
+    fits = partition.partition_night(own)
+    parts = partition.respiration(own, fits).where("reco is not null").withColumn("gpp_f", F.col("reco") - F.col("filled"))
+    got = parts.agg(F.avg(F.abs(F.col("reco") - F.col("reco_true"))).alias("off"), F.avg("gpp_f").alias("gpp"), F.avg(F.col("swin") * 0.02).alias("want"), F.count("*").alias("n")).first()
+    assert got["n"] > 50 * 48 and got["off"] < 0.2 and abs(got["gpp"] - got["want"]) < 0.2
+    days = parts.groupBy(F.date_format("t", "yyyy-MM-dd").alias("date")).agg((F.avg(F.col("swin") * 0.02) * 48 * calendar.CARBON).alias("want"))
+    sums = calendar.daily_sums(parts.select("site", F.lit("gpp").alias("var"), "t", F.col("gpp_f").alias("value"))).join(days, "date").collect()
+    assert len(sums) == days.count() and all(abs(r["total"] - r["want"]) < 0.1 * r["want"] for r in sums)
