@@ -48,8 +48,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """Words of the texts of one chunk: byte starts and ends, and each document's first word (one more at the end)."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray):
-        word = ~SPACE[buf]
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE):
+        word = ~space[buf]
         cuts = offs[(offs > 0) & (offs < len(buf))]
         before = np.zeros(len(buf), bool)
         before[1:] = word[:-1]
@@ -108,6 +108,31 @@ def chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
             at = to
 
 
+def whole_groups(rows: DataFrame, work, schema: str, held_bytes: int = 1 << 26) -> DataFrame:
+    """work(table) of tables that hold whole groups of the column g, sorted by g, of about held_bytes or one larger group; it gives record batches."""
+    names = rows.columns
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.nbytes for b in held) < held_bytes:
+                continue
+            table = pa.Table.from_batches(held)
+            g = table.column("g").to_numpy()
+            last = int(np.argmax(g == g[-1]))
+            if last:
+                yield from work(table.slice(0, last).select(names))
+            held = table.slice(last).combine_chunks().to_batches()
+        if held:
+            yield from work(pa.Table.from_batches(held).select(names))
+
+    bounded_batches(rows.sparkSession)
+    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, schema)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Python workers get few rows at a time, so their memory doesn't grow with text length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

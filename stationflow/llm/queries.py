@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lm, neighbours, packing, pii, quality, sentencepieces, simhash, substring
+from . import langid, licenses, lm, minhash, neighbours, packing, pii, quality, sentencepieces, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, similarity=0.8)
+
+
 def base_op2_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of op2: all but the model's score."""
     return op2_maxent_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"))
@@ -98,6 +102,15 @@ p AS (SELECT r, j, w[j] AS word FROM (SELECT r, w, unnest(generate_series(1, len
 c AS (SELECT p.r, j, word, max(f.i) OVER (PARTITION BY p.r ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM p LEFT JOIN f ON f.r = p.r AND f.i = p.j),
 k AS (SELECT r, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM c GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)""",
+    "op13_minhash_near_dedup": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {SPLIT.format(f"translate(text, '{UPPER}', '{LOWER}')")} AS w FROM documents),
+g AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+z AS (SELECT r AS a, r AS b FROM d UNION SELECT z.a, l.b FROM z JOIN l ON l.a = z.b),
+c AS (SELECT z.a AS r, min(doc_id) AS component_id FROM z JOIN d ON d.r = z.b GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN c USING (r) LEFT JOIN n USING (r)""",
     "base_op2_maxent_scores": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {CRC} % 5 = 1 AS held_out, list_append({SPLIT.format(f"translate(text, '{UPPER}', '{LOWER}')")}, '') AS w FROM documents),
 t AS (SELECT r, held_out, unnest(w) AS word FROM d),
 c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
