@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lm, minhash, neighbours, packing, pii, quality, sentencepieces, simhash, substring
+from . import langid, licenses, lm, minhash, neighbours, packing, pii, quality, sentencepieces, simhash, spelling, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"), least=7, drop=31, times=10)
+
+
 def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, similarity=0.8)
 
@@ -102,6 +106,17 @@ p AS (SELECT r, j, w[j] AS word FROM (SELECT r, w, unnest(generate_series(1, len
 c AS (SELECT p.r, j, word, max(f.i) OVER (PARTITION BY p.r ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM p LEFT JOIN f ON f.r = p.r AND f.i = p.j),
 k AS (SELECT r, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM c GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)""",
+    "op11_spelling_variants": f"""WITH RECURSIVE k AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda v, _: xor(v >> 1, (v & 1) * 3988292384::BIGINT))) AS k),
+t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM t WHERE length(w) >= 7 GROUP BY ALL),
+h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda z: CASE WHEN unicode(z) < 128 THEN [unicode(z)::BIGINT] ELSE [195::BIGINT, unicode(z)::BIGINT - 64] END))), lambda a, b: xor(a >> 8, k[1 + (xor(a, b) & 255)])), 4294967295) AS h FROM c, k),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM v)),
+p AS (SELECT a.word, b.word AS other, b.n FROM g a JOIN g b ON a.s = b.s AND a.i = b.i AND a.word <> b.word UNION SELECT a.word, b.word, b.n FROM g a JOIN v b ON a.s = b.word UNION SELECT b.word, a.word, a.n FROM g a JOIN v b ON a.s = b.word),
+q AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS m FROM p GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n FROM v LEFT JOIN q USING (word)),
+r AS (SELECT word, word AS at FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word JOIN f e ON e.word = r.at AND e.form IS NULL""",
     "op13_minhash_near_dedup": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {SPLIT.format(f"translate(text, '{UPPER}', '{LOWER}')")} AS w FROM documents),
 g AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
