@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lm, minhash, neighbours, packing, pii, quality, sentencepieces, simhash, spelling, substring
+from . import collocations, langid, licenses, lm, minhash, neighbours, packing, pii, quality, sentencepieces, simhash, spelling, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(table(spark, sf_dir, "documents"), least=7, drop=31, times=10)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), longest=3, least=10, absorbed=50, top=2000)
+
+
 def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, similarity=0.8)
 
@@ -117,6 +121,17 @@ q AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max
 f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n FROM v LEFT JOIN q USING (word)),
 r AS (SELECT word, word AS at FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.at WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word JOIN f e ON e.word = r.at AND e.form IS NULL""",
+    "op12_phrase_collocations": f"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(x, '[ \x09]+'), lambda z: z <> '') AS w FROM d),
+g AS (SELECT lang, k, w[i:i + k - 1] AS p FROM (SELECT lang, k, w, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+f AS (SELECT lang, k, p, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+b AS (SELECT lang, p, max(f) AS longer FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, f FROM c WHERE k = 3) GROUP BY 1, 2),
+s AS (SELECT c.lang, array_to_string(c.p, ' ') AS phrase, c.f AS a, x.f AS l, y.f AS r, 1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS score, h
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS h FROM c) c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:h] JOIN f y ON y.lang = c.lang AND y.p = c.p[h + 1:c.k] LEFT JOIN b ON b.lang = c.lang AND b.p = c.p WHERE b.longer IS NULL OR 100 * b.longer < 50 * c.f),
+t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM t JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op13_minhash_near_dedup": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {SPLIT.format(f"translate(text, '{UPPER}', '{LOWER}')")} AS w FROM documents),
 g AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
