@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import cut
 from .filters import diurnal_mean
 
 
@@ -70,6 +71,64 @@ def mds_gap_fill(df: DataFrame, stages: Sequence[tuple[str, int]] = STAGES, rg:
     return both.select(*df.columns, F.coalesce("value", "mean").alias("filled"), F.when(F.col("value").isNull(), F.col("fsd")).alias("fsd"), F.when(F.col("value").isNull(), F.col("fnum")).alias("fnum"), stage.alias("stage"), F.when(stage == 0, 0).otherwise(kind[stage]).alias("fqc"))
 
 
+def fill_series(series: DataFrame, drivers: DataFrame, by: Sequence[str] = ("var", "scenario"), uncertain: Column | None = None, stages: Sequence[tuple[str, int]] = STAGES, rg: float = 50.0, vpd: float = 5.0, ta: float = 2.5, least: int = 2) -> DataFrame:
+    """Marginal distribution sampling of many series of a site at once: `by`, site, t, value and filled, fsd, fnum, stage, fqc of every row.
+
+    series: site, t, `by`, value, unique by all but the last, with rows of null values where there are gaps. drivers: site, t, rg, vpd, ta.
+    uncertain: for which series (a column of `by`) measured rows too get a deviation and number of similar values, as fluxes do; their value stays.
+    Without it, only gaps are looked up, which is what saves the work for the weather variables.
+
+    A stamp's gaps in all series are one row, and its values are one map, so a pair of stamps is formed and compared once for all variables and scenarios. A
+    round joins only the days that its window adds to the last one's, for what is still open; number, sum and sum of squares of each ring of days are
+    carried. The state is checkpointed between rounds. Rows without drivers are looked up by their time of day only.
+    """
+    series = series.withColumn("k", F.struct(*by))
+    wanted = F.col("value").isNull() if uncertain is None else F.col("value").isNull() | uncertain
+    stamps = series.groupBy("site", "t").agg(F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("k", "value")))).alias("have"), F.collect_list(F.when(wanted, F.col("k"))).alias("asked"))
+    stamps = stamps.join(drivers.select("site", "t", "rg", "vpd", "ta"), ["site", "t"], "left").withColumns({"day": F.datediff(F.col("t").cast("date"), F.lit("1970-01-01").cast("date")), "minute": F.hour("t") * 60 + F.minute("t")})
+    stamps = cut(stamps)
+    have = stamps.where(F.size("have") > 0).select("site", F.col("day").alias("on"), F.col("minute").alias("m"), "have", "rg", "vpd", "ta")
+    near = lambda c, tol: F.coalesce(F.abs(F.col(c) - F.col(f"g_{c}")) < tol, F.lit(False))
+    tests = {"all": near("rg", rg) & near("vpd", vpd) & near("ta", ta), "rg": near("rg", rg), "": F.abs(F.col("m") - F.col("minute")) <= 60}
+    numbered = [(i + 1, kind, days) for i, (kind, days) in enumerate(stages)]
+    widths = {kind: sorted({d for _, k, d in numbered if k == kind}) for kind in tests}
+    name = {"all": "a", "rg": "r", "": "m"}
+    sums = [f"{x}{name[kind]}{w}" for kind in tests for w in widths[kind] for x in "nsq"]
+    state = stamps.select("site", "t", F.explode("asked").alias("k")).select("*", *(F.lit(0.0).alias(c) for c in sums), F.lit(None).cast("int").alias("stage"))
+    # A stage can be judged once all up to it can; a round ends where the next one in order needs a wider window.
+    needs = [max(d for _, _, d in numbered[: n + 1]) for n in range(len(numbered))]
+    ends = sorted(set(needs))
+    done = -1
+    for end in ends:
+        left = state.where("stage is null") if done >= 0 else state
+        gaps = left.groupBy("site", "t").agg(F.collect_list("k").alias("asked")).join(stamps.select("site", "t", "day", "minute", F.col("rg").alias("g_rg"), F.col("vpd").alias("g_vpd"), F.col("ta").alias("g_ta")), ["site", "t"])
+        offsets = [o for o in range(-end, end + 1) if abs(o) > done]
+        dealt = gaps.withColumn("off", F.explode(F.array(*map(F.lit, offsets)))).withColumn("on", F.col("day") + F.col("off"))
+        pairs = dealt.join(have, ["site", "on"]).select("site", "t", "asked", "have", F.abs("off").alias("off"), *(t.alias(f"is_{name[k]}") for k, t in tests.items())).where("is_r or is_m")
+        each = pairs.withColumn("k", F.explode("asked")).withColumn("v", F.col("have")[F.col("k")]).where("v is not null")
+        aggs, rings = [], []
+        for kind, own in widths.items():
+            for lo, hi in zip([-1, *own], own):
+                if hi > done and lo < end:
+                    v = F.when(F.col(f"is_{name[kind]}") & (F.col("off") > lo) & (F.col("off") <= hi), F.col("v"))
+                    aggs += [F.count(v).cast("double").alias(f"_n{name[kind]}{hi}"), F.sum(v).alias(f"_s{name[kind]}{hi}"), F.sum(v * v).alias(f"_q{name[kind]}{hi}")]
+                    rings += [f"{x}{name[kind]}{hi}" for x in "nsq"]
+        got = each.groupBy("site", "t", "k").agg(*aggs)
+        state = state.join(got, ["site", "t", "k"], "left").withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0.0)) for c in rings}).select("site", "t", "k", *sums, "stage")
+        ready = [n for n in range(len(numbered)) if needs[n] <= end]
+        within = lambda kind, days, x: sum((F.col(f"{x}{name[kind]}{w}") for w in widths[kind] if w <= days), F.lit(0.0))
+        hit = F.coalesce(*(F.when(within(numbered[n][1], numbered[n][2], "n") >= least, numbered[n][0]) for n in ready))
+        state = cut(state.withColumn("stage", F.coalesce("stage", hit)))
+        done = end
+    pick = lambda x: F.coalesce(*(F.when(F.col("stage") == i, within(kind, days, x)) for i, kind, days in numbered))
+    found = state.where("stage is not null").select("site", "t", "k", "stage", pick("n").alias("n"), pick("s").alias("s"), pick("q").alias("q"))
+    found = found.select("site", "t", "k", "stage", (F.col("s") / F.col("n")).alias("mean"), F.when(F.col("n") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1))).alias("fsd"), F.col("n").cast("long").alias("fnum"))
+    kind = F.create_map(*(x for i, k, d in numbered for x in (F.lit(i), F.lit(quality_class(k, d)))))
+    both = series.join(found, ["site", "t", "k"], "left")
+    stage = F.when(F.col("value").isNotNull(), 0).otherwise(F.col("stage"))
+    return both.select("site", *by, "t", "value", F.coalesce("value", "mean").alias("filled"), "fsd", "fnum", stage.alias("stage"), F.when(stage == 0, 0).otherwise(kind[stage]).alias("fqc"))
+
+
 def quality_class(kind: str, days: int) -> int:
     """1 most reliable, 3 least, by drivers and window."""
     if kind == "all":

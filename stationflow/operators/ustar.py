@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .gapfill import fill_series, nee_uncertainty
+
 
 def nights(df: DataFrame, dark: float = 10.0) -> DataFrame:
     """The rows that thresholds are estimated from."""
@@ -66,6 +68,23 @@ def scenarios(df: DataFrame, quantiles: DataFrame, names: tuple[str, ...] = ("U0
     return ustar_filter(df, long)
 
 
+def filled_scenarios(df: DataFrame, quantiles: DataFrame, names: tuple[str, ...] = ("U05", "U50", "U95"), others: tuple[str, ...] = ("h", "le"), uncertain: tuple[str, ...] = ("nee", "h", "le")) -> DataFrame:
+    """One filled series for each threshold scenario of nee, and one (scenario '') for each other variable: site, var, scenario, t, value, filled, fsd, fnum, stage, fqc.
+
+    df: site, t, nee, the others, swin, vpd, ta, u_star. Deviations of measured rows only for the `uncertain` variables.
+    """
+    nee = scenarios(df, quantiles, names).select("site", F.lit("nee").alias("var"), "scenario", "t", F.col("nee_ustar").alias("value"))
+    rest = df.select("site", "t", F.explode(F.array(*(F.struct(F.lit(v).alias("var"), F.col(v).alias("value")) for v in others))).alias("s")).select("site", "s.var", F.lit("").alias("scenario"), "t", "s.value")
+    return fill_series(nee.unionByName(rest), df.select("site", "t", F.col("swin").alias("rg"), "vpd", "ta"), uncertain=F.col("var").isin(*uncertain))
+
+
+def scenario_spread(filled: DataFrame, base: str = "U50") -> DataFrame:
+    """site, t, fsdu, fsdug: the deviation over the scenarios' filled nee (their range is 95 %), and that with the base scenario's own."""
+    own = filled.where("var = 'nee'").groupBy("site", "t").agg(F.min("filled").alias("low"), F.max("filled").alias("high"), F.max(F.when(F.col("scenario") == base, F.col("fsd"))).alias("fsd"))
+    spread, both = nee_uncertainty(F.col("low"), F.col("high"), F.col("fsd"))
+    return own.select("site", "t", spread.alias("fsdu"), both.alias("fsdug"))
+
+
 def verify_theoretical_rg(df: DataFrame, real: str, theory: str, dark: float = 10.0) -> DataFrame:
     """How well measured and theoretical radiation agree: share of steps with the same night, share missing, mean and median difference."""
     gap = F.abs(F.col(real) - F.col(theory))

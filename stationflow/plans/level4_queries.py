@@ -6,8 +6,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import derive, partition, ustar
+from ..operators import derive, gapfill, partition, ustar
 from .derive_queries import DECL, EQ, Y
+from .grid_queries import CLASS, PICK, SIMILAR
 from .stations import T, meteo, query, table, text, wide
 
 
@@ -61,6 +62,39 @@ def us5(spark, d):
     return ustar.scenarios(nights(spark, d), q).select("site", text().alias("t"), "scenario", "nee_ustar")
 
 
+SERIES = US + """, sv AS (SELECT site, 'nee' AS var, scenario, t, CASE WHEN u_star < u AND swin < 10 THEN NULL ELSE nee END AS value FROM n0 JOIN (SELECT site, unnest(['U05', 'U50', 'U95']) AS scenario, unnest([min(ustar), quantile_cont(ustar, 0.5), max(ustar)]) AS u FROM us GROUP BY 1) USING (site)
+  UNION ALL SELECT site, 'h', '', t, h FROM wide UNION ALL SELECT site, 'le', '', t, le FROM wide),
+v AS (SELECT site, var, scenario, t, value, swin AS rg, rh / 10 AS vpd, air AS ta, CAST(t AS DATE) AS day, hour(t) * 60 + minute(t) AS minute FROM sv JOIN (SELECT site, t, swin, rh, air FROM wide) USING (site, t)),
+p AS (SELECT g.site, g.var, g.scenario, g.t, h.value, abs(date_diff('day', g.day, h.day)) AS off, abs(g.rg - h.rg) < 50 AS nr, abs(g.rg - h.rg) < 50 AND abs(g.vpd - h.vpd) < 5 AND abs(g.ta - h.ta) < 2.5 AS na, abs(g.minute - h.minute) <= 60 AS nm
+  FROM v g JOIN v h ON g.site = h.site AND g.var = h.var AND g.scenario = h.scenario AND h.day BETWEEN g.day - 28 AND g.day + 28 WHERE (g.value IS NULL OR g.var <> 'le') AND h.value IS NOT NULL),
+s AS (SELECT site, var, scenario, t, """ + ", ".join(f"count(*) FILTER ({SIMILAR[c]} AND off <= {n}) AS n{i}, avg(value) FILTER ({SIMILAR[c]} AND off <= {n}) AS a{i}, stddev_samp(value) FILTER ({SIMILAR[c]} AND off <= {n}) AS s{i}" for i, (c, n) in enumerate(gapfill.STAGES)) + f""" FROM p GROUP BY ALL),
+fs AS (SELECT site, var, scenario, t, value, coalesce(value, {PICK(lambda i: f'a{i}')}) AS filled, {PICK(lambda i: f's{i}')} AS fsd, {PICK(lambda i: f'n{i}')} AS fnum, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {PICK(lambda i: str(i + 1))} END AS INTEGER) AS stage, CAST(CASE WHEN value IS NOT NULL THEN 0 ELSE {CLASS} END AS INTEGER) AS fqc FROM v LEFT JOIN s USING (site, var, scenario, t))"""
+
+
+def filled(spark, d):
+    """nee in three scenarios, h and le; deviations of measured rows for nee and h only."""
+    q = thresholds(spark, d).groupBy("site").agg(F.min("ustar").alias("U05"), F.percentile("ustar", F.lit(0.5)).alias("U50"), F.max("ustar").alias("U95"))
+    own = wide(spark, d).withColumns({"vpd": F.col("rh") / 10, "ta": F.col("air")})
+    return ustar.filled_scenarios(own, q, uncertain=("nee", "h"))
+
+
+@query("us5_filled_scenarios", f"SELECT site, var, scenario, {T}, round(filled, 9) AS filled, round(fsd, 5) AS fsd, fnum, stage, fqc FROM fs", SERIES)
+def us5_filled(spark, d):
+    return filled(spark, d).select("site", "var", "scenario", text().alias("t"), F.round("filled", 9).alias("filled"), F.round("fsd", 5).alias("fsd"), "fnum", "stage", "fqc")
+
+
+@query("gf4_uncertainty_by_series", "SELECT var, scenario, count(*) FILTER (value IS NOT NULL) AS measured, count(*) FILTER (value IS NOT NULL AND fsd IS NOT NULL) AS measured_with_fsd, count(*) FILTER (value IS NULL AND fsd IS NOT NULL) AS gaps_with_fsd FROM fs GROUP BY 1, 2", SERIES)
+def gf4_by_series(spark, d):
+    """Which deviations there are: of measured rows for nee and h, of gaps for all."""
+    has = F.col("fsd").isNotNull()
+    return filled(spark, d).groupBy("var", "scenario").agg(F.count("value").alias("measured"), F.count_if(F.col("value").isNotNull() & has).alias("measured_with_fsd"), F.count_if(F.col("value").isNull() & has).alias("gaps_with_fsd"))
+
+
+@query("pr22_scenario_spread", f"SELECT site, {T}, round(fsdu, 6) AS fsdu, round(sqrt(fsd * fsd + fsdu * fsdu), 5) AS fsdug FROM (SELECT site, t, (max(filled) - min(filled)) / (2 * 1.96::DOUBLE) AS fsdu, max(fsd) FILTER (scenario = 'U50') AS fsd FROM fs WHERE var = 'nee' GROUP BY 1, 2)", SERIES)
+def pr22_spread(spark, d):
+    return ustar.scenario_spread(filled(spark, d)).select("site", text().alias("t"), F.round("fsdu", 6).alias("fsdu"), F.round("fsdug", 5).alias("fsdug"))
+
+
 @query("us6_verify_theoretical_rg", "SELECT site, round(avg(CAST((swin < 10) = (rh * 6 < 10) AS INTEGER)), 8) AS same_night, 0.0 AS missing, round(avg(abs(swin - rh * 6)), 8) AS mean_gap, round(quantile_cont(abs(swin - rh * 6), 0.5), 8) AS median_gap FROM meteo GROUP BY 1")
 def us6(spark, d):
     got = ustar.verify_theoretical_rg(meteo(spark, d).withColumn("theory", F.col("rh") * 6), "swin", "theory")

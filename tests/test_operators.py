@@ -138,6 +138,47 @@ def test_mds_prefers_similar_conditions(spark):
     assert r["filled"] == 24.0 and r["stage"] == 1 and r["fqc"] == 1
 
 
+def mds_table(spark, seed=5):
+    """Thirty days with gaps of all lengths, as one series of a site and as two."""
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for i in range(48 * 34):
+        gap = 48 * 5 < i < 48 * 26 and rng.random() < 0.97 or rng.random() < 0.3
+        rows.append(("A", T0 + i * HALF, None if gap else rng.uniform(-5, 5), float(rng.randrange(0, 800, 40)), rng.uniform(0, 30), rng.uniform(0, 25)))
+    return spark.createDataFrame(rows, "site string, t timestamp_ntz, value double, rg double, vpd double, ta double")
+
+
+def test_series_together_are_each_alone(spark):
+    """Carried rings of days give what one look-up of all windows gives; all stages occur; series with other gaps don't disturb each other."""
+    df = mds_table(spark)
+    alone = {r["t"]: r for r in gapfill.mds_gap_fill(df).collect()}
+    other = df.select("site", "t", F.lit("le").alias("var"), F.when(F.hour("t") % 5 > 0, 7.0).alias("value"))
+    both = df.select("site", "t", F.lit("nee").alias("var"), "value").unionByName(other)
+    got = [r for r in gapfill.fill_series(both, df, ("var",)).where("var = 'nee'").collect()]
+    assert len(got) == len(alone) and len({r["stage"] for r in got}) > 6
+    for r in got:
+        a = alone[r["t"]]
+        assert (r["stage"], r["fqc"], r["fnum"]) == (a["stage"], a["fqc"], a["fnum"]) and r["filled"] == pytest.approx(a["filled"]) and r["fsd"] == pytest.approx(a["fsd"])
+
+
+def test_deviations_of_measured_rows_only_where_wanted(spark):
+    df = mds_table(spark)
+    both = df.select("site", "t", F.lit("nee").alias("var"), "value").unionByName(df.select("site", "t", F.lit("ta").alias("var"), "value"))
+    got = gapfill.fill_series(both, df, ("var",), F.col("var") == "nee").where("value is not null")
+    assert got.where("var = 'ta' and (fsd is not null or stage <> 0)").count() == 0
+    assert got.where("var = 'nee' and fsd is null").count() == 0 and got.where("filled <> value").count() == 0
+
+
+def test_a_stamp_without_drivers_is_filled_by_time_of_day(spark):
+    rows = [("A", T0 + i * HALF, None if i == 100 else 3.0) for i in range(48 * 4)]
+    df = spark.createDataFrame(rows, "site string, t timestamp_ntz, value double").withColumn("var", F.lit("h"))
+    drivers = spark.createDataFrame([], "site string, t timestamp_ntz, rg double, vpd double, ta double")
+    r = gapfill.fill_series(df, drivers, ("var",)).where("value is null").first()
+    assert r["filled"] == 3.0 and gapfill.STAGES[r["stage"] - 1][0] == ""
+
+
 @pytest.mark.parametrize("compat", [False, True])
 def test_scenario_columns(compat):
     assert tables.prune_scenario_columns(["NEE_U50_f", "NEE_U50_fqc", "Reco_U05", "NEE_uStar_f"]) == ["NEE_U50_f", "Reco_U05", "NEE_f"]
