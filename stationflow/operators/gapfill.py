@@ -14,10 +14,11 @@ from .filters import diurnal_mean
 def interpolate_limit(df: DataFrame, limit: int = 3, value: str = "value", name: str = "filled") -> DataFrame:
     """Linear between neighbours for the first `limit` nulls of each gap; after the last value, that value; before the first, null. On the grid."""
     order = Window.partitionBy("site", "var").orderBy("t")
-    past, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    # What follows is looked for from the end: frames that grow by one row are aggregated once, shrinking ones anew for each row.
+    past, ahead = order.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("site", "var").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
     own = df.withColumn("_n", F.row_number().over(order))
     at = F.when(F.col(value).isNotNull(), F.col("_n"))
-    own = own.withColumns({"_a": F.last(value, True).over(past), "_i": F.last(at, True).over(past), "_b": F.first(value, True).over(ahead), "_j": F.first(at, True).over(ahead)})
+    own = own.withColumns({"_a": F.last(value, True).over(past), "_i": F.last(at, True).over(past), "_b": F.last(value, True).over(ahead), "_j": F.last(at, True).over(ahead)})
     line = F.col("_a") + (F.col("_b") - F.col("_a")) * ((F.col("_n") - F.col("_i")) / (F.col("_j") - F.col("_i")))
     gap = F.when(F.col("_n") - F.col("_i") <= limit, F.coalesce(line, F.col("_a")))
     return own.withColumn(name, F.coalesce(F.col(value), gap)).drop("_n", "_a", "_i", "_b", "_j")

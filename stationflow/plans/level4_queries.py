@@ -125,6 +125,64 @@ def pt2(spark, d):
     return partition.partition_day(wide(spark, d))
 
 
+def carbon(spark, d):
+    """Exchange as a respiration of known response and a light response make it, with the observed series as noise."""
+    own = wide(spark, d).where("co2_flux is not null").withColumns({"ta": F.col("air"), "vpd": F.col("rh") / 5})
+    nee = (3 + F.col("u_star")) * partition.temperature_response(F.col("air"), F.lit(200.0)) - 1.5 * F.col("swin") / (0.05 * F.col("swin") + 30) + F.col("co2_flux") / 50
+    return own.select("site", "t", "ta", "vpd", "swin", nee.alias("nee"))
+
+
+RESPONSE = lambda e0: f"exp({e0} * (1.0::DOUBLE / {partition.T_REF - partition.T_ZERO!r}::DOUBLE - 1.0::DOUBLE / (ta - {partition.T_ZERO!r}::DOUBLE)))"
+OF_YEAR = "year(DATE '1970-01-01' + CAST(w * {} + {} AS INTEGER))"
+REICHSTEIN = f"""c0 AS (SELECT site, t, air AS ta, swin, co2_flux FROM wide WHERE co2_flux IS NOT NULL AND air IS NOT NULL),
+cb AS (SELECT c0.site, c0.t, c0.ta, c0.swin, (3 + u_star) * {RESPONSE(200)} - 1.5::DOUBLE * c0.swin / (0.05::DOUBLE * c0.swin + 30) + c0.co2_flux / 50 AS nee, date_diff('day', DATE '1970-01-01', CAST(c0.t AS DATE)) AS day, epoch(c0.t) AS sec FROM c0 JOIN (SELECT site, t, u_star FROM wide) USING (site, t)),
+q0 AS (SELECT * FROM cb WHERE swin < 10 AND nee IS NOT NULL AND ta > {partition.T_ZERO + 1!r}),
+q1 AS (SELECT site, nee, ta, unnest(generate_series(CAST(ceil((day - 14) / 5) AS BIGINT), CAST(floor(day / 5) AS BIGINT))) AS w FROM q0),
+q2 AS (SELECT site, w, e0, nee, ta, {RESPONSE("e0")} AS g FROM q1 CROSS JOIN (SELECT unnest(generate_series(30, 450, 5)) AS e0)),
+q3 AS (SELECT site, w, e0, sum(nee * nee) - sum(nee * g) * sum(nee * g) / sum(g * g) AS sse, count(*) AS n FROM q2 GROUP BY 1, 2, 3 HAVING count(*) >= 6 AND max(ta) - min(ta) >= 5),
+q4 AS (SELECT *, lag(sse) OVER s AS b, lead(sse) OVER s AS a, row_number() OVER (PARTITION BY site, w ORDER BY round(sse, 9), e0) AS k FROM q3 WINDOW s AS (PARTITION BY site, w ORDER BY e0)),
+q5 AS (SELECT site, w, e0 - 5 * (a - b) / (2 * (a + b - 2 * sse)) AS e0, sqrt(2 * greatest(sse, 0) / (n - 2) / ((a + b - 2 * sse) / 25)) AS se, n FROM q4 WHERE k = 1 AND a IS NOT NULL AND b IS NOT NULL AND a + b - 2 * sse > 0 AND n > 2),
+q6 AS (SELECT * FROM q5 WHERE se <= 0.5 * e0),
+q7 AS (SELECT site, year, avg(e0) AS e0 FROM (SELECT *, row_number() OVER (PARTITION BY site, year ORDER BY se, w) AS k FROM (SELECT *, {OF_YEAR.format(5, 7)} AS year FROM q6)) WHERE k <= 3 GROUP BY 1, 2),
+q8 AS (SELECT site, sec, nee, ta, w, {OF_YEAR.format(4, 3)} AS year FROM (SELECT site, sec, nee, ta, unnest(generate_series(CAST(ceil((day - 6) / 4) AS BIGINT), CAST(floor(day / 4) AS BIGINT))) AS w FROM q0)),
+q9 AS (SELECT site, avg(sec) AS at, e0, sum(nee * {RESPONSE("e0")}) / sum({RESPONSE("e0")} * {RESPONSE("e0")}) AS rref, count(*) AS n FROM q8 JOIN q7 USING (site, year) GROUP BY site, w, e0),
+qm AS (SELECT * FROM q9 WHERE n >= 6 AND rref > 0)"""
+
+
+@query("pt1_night_sensitivity", "SELECT site, CAST(w AS INTEGER) AS w, round(e0, 3) AS e0, round(se, 3) AS se, n FROM q6", REICHSTEIN)
+def pt1_windows(spark, d):
+    return partition.night_sensitivity(carbon(spark, d)).select("site", "w", F.round("e0", 3).alias("e0"), F.round("se", 3).alias("se"), "n")
+
+
+@query("pt1_site_sensitivity", "SELECT site, CAST(year AS INTEGER) AS year, round(e0, 3) AS e0 FROM q7", REICHSTEIN)
+def pt1_site(spark, d):
+    return partition.site_sensitivity(partition.night_sensitivity(carbon(spark, d))).select("site", "year", F.round("e0", 3).alias("e0"))
+
+
+@query("pt1_night_fluxes", f"""SELECT cb.site, {T.replace('t,', 'cb.t,')}, round(r * {RESPONSE('e').replace('(ta', '(cb.ta')}, 5) AS reco, round(r * {RESPONSE('e').replace('(ta', '(cb.ta')} - nee, 5) AS gpp FROM (
+  SELECT cb.*, coalesce(x.rref + (y.rref - x.rref) * ((sec - x.at) / (y.at - x.at)), x.rref, y.rref) AS r, coalesce(x.e0, y.e0) AS e FROM cb ASOF LEFT JOIN qm x ON x.site = cb.site AND x.at <= cb.sec ASOF LEFT JOIN qm y ON y.site = cb.site AND y.at > cb.sec) cb""", REICHSTEIN)
+def pt1_fluxes(spark, d):
+    own = carbon(spark, d)
+    e0 = partition.site_sensitivity(partition.night_sensitivity(own))
+    got = partition.night_fluxes(own, partition.night_reference(own, e0))
+    return got.select("site", text().alias("t"), F.round("reco", 5).alias("reco"), F.round("gpp", 5).alias("gpp"))
+
+
+def responses(spark, d):
+    own = carbon(spark, d)
+    return partition.light_responses(own, partition.night_sensitivity(own, days=12, every=2))
+
+
+@query("pt2_light_responses")
+def pt2_responses(spark, d):
+    return responses(spark, d)
+
+
+@query("pt2_day_fluxes")
+def pt2_fluxes(spark, d):
+    return partition.day_fluxes(carbon(spark, d), responses(spark, d)).select("site", text().alias("t"), "reco_dt", "gpp_dt")
+
+
 PLACES = "places AS (SELECT 'S' || s_suppkey AS site, 40.0::DOUBLE + 5 * s_suppkey AS lat, 15.0::DOUBLE * s_suppkey - 20 AS lon, CAST(s_suppkey AS DOUBLE) AS tz FROM supplier)"
 ELEVATION = f"(sin({DECL}) * sin(radians(lat)) + cos({DECL}) * cos(radians(lat)) * cos((hour(t) + minute(t) / 60 + (lon / 15 - tz) + {EQ} - 12) * {math.pi!r}::DOUBLE / 12))"
 

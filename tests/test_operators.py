@@ -114,6 +114,96 @@ def test_night_partition_recovers_parameters(spark):
     assert got and all(r["e0"] == e0 and abs(r["rref"] - rref) < 1e-6 for r in got)
 
 
+def response(ta, e0):
+    return math.exp(e0 * (1 / 61.02 - 1 / (ta + 46.02)))
+
+
+def flux_rows(days, site="A", e0=180.0, rref=lambda day: 3.0, alpha=0.06, beta=25.0, k=0.04, noise=0.0, seed=1):
+    """site, t, nee, ta, vpd (hPa), swin of a made-up season, and its true respiration and uptake."""
+    import random
+
+    rng = random.Random(seed)
+    out = []
+    for i in range(48 * days):
+        slot = i % 48
+        swin = max(0.0, 700 * math.sin((slot - 12) / 24 * math.pi)) if 12 < slot < 36 else 0.0
+        ta = 12 + 7 * math.sin((slot - 16) / 24 * math.pi) + 3 * math.sin(i / 97)
+        vpd = max(0.0, 9 + 9 * math.sin((slot - 18) / 24 * math.pi) + 3 * math.sin(i / 61))
+        reco = rref(i / 48) * response(ta, e0)
+        top = beta * math.exp(-k * max(0.0, vpd - 10))
+        gpp = alpha * top * swin / (alpha * swin + top)
+        out.append((site, T0 + i * HALF, reco - gpp + noise * rng.gauss(0, 1), ta, vpd, swin, reco, gpp))
+    return out
+
+
+FLUX = "site string, t timestamp_ntz, nee double, ta double, vpd double, swin double, reco_true double, gpp_true double"
+
+
+def test_night_partition_follows_a_drifting_reference(spark):
+    df = spark.createDataFrame(flux_rows(60, rref=lambda day: 2 + day / 30, noise=0.02), FLUX)
+    e0 = partition.site_sensitivity(partition.night_sensitivity(df))
+    assert abs(e0.where("year = 2024").first()["e0"] - 180) < 12
+    marks = partition.night_reference(df, e0)
+    assert all(abs(r["rref"] - (2 + (r["at"] - 1704067200) / 86400 / 30)) < 0.15 for r in marks.collect())
+    got = partition.night_fluxes(df, marks).collect()
+    assert len(got) == 48 * 60 and max(abs(r["reco"] - r["reco_true"]) for r in got) < 0.35
+    assert all(r["gpp"] == pytest.approx(r["reco"] - r["nee"]) for r in got)
+
+
+def test_windows_that_tell_no_sensitivity_are_refused(spark):
+    constant = [(s, t, nee, 10.0, v, w, a, b) for s, t, nee, _, v, w, a, b in flux_rows(20)]
+    falling = [("B", t, 5 - ta / 10, ta, v, 0.0, a, b) for _, t, _, ta, v, _, a, b in flux_rows(20)]
+    fits = partition.night_sensitivity(spark.createDataFrame(constant + falling, FLUX))
+    assert fits.count() == 0
+    assert partition.night_fluxes(spark.createDataFrame(constant, FLUX), partition.night_reference(spark.createDataFrame(constant, FLUX), partition.site_sensitivity(fits))).where("reco is not null").count() == 0
+
+
+def test_light_responses_recover_all_parameters(spark):
+    df = spark.createDataFrame(flux_rows(16), FLUX)
+    fits = partition.light_responses(df, partition.night_sensitivity(df, days=12, every=2)).collect()
+    assert len(fits) >= 7 and all(r["how"] == "all" for r in fits)
+    for r in fits:
+        assert (r["alpha"], r["beta"], r["k"], r["rref"], r["e0"]) == pytest.approx((0.06, 25.0, 0.04, 3.0, 180.0), rel=0.02)
+    got = partition.day_fluxes(df, partition.light_responses(df, partition.night_sensitivity(df, days=12, every=2))).collect()
+    assert len(got) == 48 * 16
+    assert all(abs(r["reco_dt"] - r["reco_true"]) < 0.05 and abs(r["gpp_dt"] - r["gpp_true"]) < 0.05 for r in got)
+
+
+def test_light_response_cascade(spark):
+    """Moist days: no k. Uptake that rises when it is dry: k would be negative. A slope beyond its bound: the last window's. Uptake in the dark: refused."""
+    rows = flux_rows(40, noise=0.05)
+    out = []
+    for i, (s, t, nee, ta, vpd, swin, reco, gpp) in enumerate(rows):
+        day = i / 48
+        if day < 6:
+            vpd = min(vpd, 9.0)
+            nee = reco - 0.06 * 25 * swin / (0.06 * swin + 25)
+        elif 12 <= day < 18:
+            top = 25 * math.exp(0.02 * max(0.0, vpd - 10))
+            nee = reco - 0.06 * top * swin / (0.06 * swin + top)
+        elif 18 <= day < 27:
+            slope = 0.15 if day < 22 else 0.25
+            nee = reco - slope * 10 * swin / (slope * swin + 10)
+        elif day >= 32:
+            nee = nee - 20
+        out.append((s, t, nee, ta, vpd, swin, reco, gpp))
+    df = spark.createDataFrame(out, FLUX)
+    how = {(r["at"] - 1704067200) / 86400: r for r in partition.light_responses(df, partition.night_sensitivity(df, days=12, every=2)).collect()}
+    of = lambda lo, hi: {r["how"] for at, r in how.items() if lo + 2 <= at <= hi - 2}
+    assert of(0, 6) == {"k0"} and of(12, 18) == {"k0"} and of(22, 27) <= {"alpha", "alpha_k0"} and of(33, 40) == {None}
+    assert all(0 < r["alpha"] <= 0.22 and r["k"] >= 0 and r["beta"] > 0 for r in how.values() if r["how"])
+    assert all(r["alpha"] is None for r in how.values() if r["how"] is None)
+
+
+def test_marks_at_ends_and_at_the_stamp(spark):
+    df = spark.createDataFrame([("A", T0 + i * HALF, float(i)) for i in range(5)] + [("B", T0, 0.0)], "site string, t timestamp_ntz, x double")
+    at = 1704067200.0
+    marks = spark.createDataFrame([("A", at + 1800, 10.0), ("A", at + 3 * 1800, 20.0)], "site string, at double, v double")
+    got = partition.between_marks(df, marks, ["v"])
+    got = got.withColumn("y", partition.linear(F.col("_at"), F.col("before"), F.col("after"), lambda m: m["v"]))
+    assert [r["y"] for r in got.orderBy("site", "t").collect()] == [10.0, 10.0, 15.0, 20.0, 20.0, None]
+
+
 def test_day_partition_recovers_parameters(spark):
     rows = [("A", T0 + i * HALF, 2 - 0.05 * 30 * x / (0.05 * x + 30), x) for i, x in enumerate([20.0 + 15 * j for j in range(60)])]
     r = partition.partition_day(spark.createDataFrame(rows, "site string, t timestamp_ntz, nee double, swin double")).first()
