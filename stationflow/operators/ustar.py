@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,40 +15,78 @@ def nights(df: DataFrame, dark: float = 10.0) -> DataFrame:
     return df.where((F.col("swin") < dark) & F.col("nee").isNotNull() & F.col("ta").isNotNull() & F.col("u_star").isNotNull())
 
 
-def threshold(df: DataFrame, classes: int = 7, bins: int = 20, plateau: float = 0.95, ahead: int = 10, by: tuple[str, ...] = ("site", "season"), dark: float = 10.0) -> DataFrame:
+def tiles(df: DataFrame, name: str, k: int, by: list[str], order: list[str], weight: str | None = None) -> DataFrame:
+    """df with the ntile of each row. With a weight, a row stands for that many equal rows side by side: tiles come from running sums, and a row on an edge is split between its tiles."""
+    if weight is None:
+        return df.withColumn(name, F.ntile(k).over(Window.partitionBy(*by).orderBy(*order)))
+    whole = Window.partitionBy(*by)
+    own = df.withColumns({"_n": F.sum(weight).over(whole), "_to": F.sum(weight).over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))})
+    own = own.withColumns({"_q": F.floor(F.col("_n") / k).cast("long"), "_r": F.col("_n") % k, "_from": F.col("_to") - F.col(weight) + 1})
+    long = F.col("_r") * (F.col("_q") + 1)  # rows in the tiles that hold one more
+    of = lambda at: F.when(at <= long, F.floor((at - 1) / (F.col("_q") + 1)) + 1).otherwise(F.col("_r") + F.floor((at - 1 - long) / F.greatest(F.col("_q"), F.lit(1))) + 1).cast("int")
+    own = own.withColumn(name, F.explode(F.sequence(of(F.col("_from")), of(F.col("_to")))))
+    end = lambda i: i * F.col("_q") + F.least(i, F.col("_r"))
+    part = F.least("_to", end(F.col(name))) - F.greatest(F.col("_from"), end(F.col(name) - 1) + 1) + 1
+    return own.withColumn(weight, part).drop("_n", "_to", "_q", "_r", "_from")
+
+
+def threshold(df: DataFrame, classes: int = 7, bins: int = 20, plateau: float = 0.95, ahead: int = 10, by: tuple[str, ...] = ("site", "season"), dark: float = 10.0, most_cor: float | None = None, least_class: int = 0, weight: str | None = None) -> DataFrame:
     """`by`, ustar: per temperature class of the night rows, the mean u* of the first bin whose mean NEE reaches the plateau of the next bins; the median over classes.
 
-    df: nee, ta, u_star, swin, t. Ties in the classes are broken by t. Classes and bins are ntiles, so all steps are windows and aggregates.
+    df: nee, ta, u_star, swin, t. Ties in the classes are broken by t. Classes and bins are ntiles, so all steps are windows and aggregates. A class in which temperature
+    and u* correlate by more than most_cor (its fluxes then follow the temperature), or with under least_class rows, gives none. weight: how many rows each stands for.
     """
-    own = nights(df, dark).withColumn("tc", F.ntile(classes).over(Window.partitionBy(*by).orderBy("ta", "t")))
-    own = own.withColumn("ub", F.ntile(bins).over(Window.partitionBy(*by, "tc").orderBy("u_star", "t")))
-    means = own.groupBy(*by, "tc", "ub").agg(F.avg("nee").alias("m"), F.avg("u_star").alias("u"))
+    own = tiles(nights(df, dark), "tc", classes, [*by], ["ta", "t"], weight)
+    if most_cor is not None or least_class:
+        stats = own.groupBy(*by, "tc").agg(F.count("*").alias("_n"), F.corr("ta", "u_star").alias("_c"))
+        kept = (F.col("_n") >= least_class) & (F.lit(most_cor is None) | F.isnan("_c") | F.col("_c").isNull() | (F.abs("_c") <= F.lit(most_cor)))
+        own = own.join(stats.where(kept).select(*by, "tc"), [*by, "tc"])
+    own = tiles(own, "ub", bins, [*by, "tc"], ["u_star", "t"], weight)
+    mean = lambda c: F.avg(c) if weight is None else F.sum(F.col(c) * F.col(weight)) / F.sum(weight)
+    means = own.groupBy(*by, "tc", "ub").agg(mean("nee").alias("m"), mean("u_star").alias("u"))
     frame = Window.partitionBy(*by, "tc").orderBy("ub").rowsBetween(1, ahead)
     reached = means.withColumn("later", F.avg("m").over(frame)).where(F.col("m") > plateau * F.col("later"))
     return reached.groupBy(*by, "tc").agg(F.min_by("u", "ub").alias("u")).groupBy(*by).agg(F.percentile("u", F.lit(0.5)).alias("ustar"))
 
 
+def pooled_thresholds(df: DataFrame, least_season: int = 160, least_class: int = 100, most_cor: float = 0.5, dark: float = 10.0, **more) -> DataFrame:
+    """site, season, n (night rows), pooled, ustar for every season of the data.
+
+    Seasons with under least_season night rows take the threshold of all of the site's night rows together. Classes are judged by correlation and size; ustar is null where no class is left.
+    """
+    own = nights(df, dark).withColumn("_n", F.count("*").over(Window.partitionBy("site", "season")))
+    thin = F.col("_n") < least_season
+    own = own.withColumn("_any", F.max(thin).over(Window.partitionBy("site")))
+    rows = own.withColumn("_of", F.explode(F.array_compact(F.array(F.when(~thin, F.struct(F.lit(False).alias("pooled"), F.col("season").alias("name"))), F.when(F.col("_any"), F.struct(F.lit(True).alias("pooled"), F.lit("").alias("name")))))))
+    got = threshold(rows.withColumns({"pooled": F.col("_of.pooled"), "name": F.col("_of.name")}), by=("site", "pooled", "name"), dark=dark, most_cor=most_cor, least_class=least_class, **more)
+    counts = nights(df, dark).groupBy("site", "season").agg(F.count("*").alias("n"))
+    seasons = df.select("site", "season").distinct().join(counts, ["site", "season"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    seasons = seasons.withColumn("pooled", F.col("n") < least_season).withColumn("name", F.when(F.col("pooled"), "").otherwise(F.col("season")))
+    return seasons.join(got, ["site", "pooled", "name"], "left").select("site", "season", "n", "pooled", "ustar")
+
+
 def yearly(seasons: DataFrame) -> DataFrame:
     """The highest season's threshold for each site."""
     return seasons.groupBy("site").agg(F.max("ustar").alias("ustar"))
 
 
+#: Cumulative probabilities of a Poisson draw with mean 1.
+POISSON = tuple(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(6))
+
+
 def bootstrap(df: DataFrame, replicates: int = 200, quantiles: tuple[float, ...] = (0.05, 0.5, 0.95), seed: int = 1) -> DataFrame:
-    """site, U05, U50, U95 ...: quantiles of the thresholds of resampled series.
+    """site, U05, U50, U95 ...: quantiles of the yearly thresholds of resampled series.
 
-    A replicate takes each row as often as a Poisson draw from a hash of (row, replicate) says, so it is the same on every run and
-    any split of the data. The replicate is a column: all run as one job.
+    A replicate takes each row as often as a Poisson draw says, which comes from eight hex digits of the MD5 of `site|t|seed|block` (a digest serves four
+    replicates), so it is the same on every run and any split of the data. The number of times is a weight: rows aren't copied. The replicate is a column: all run as one job.
     """
-    u = (F.pmod(F.xxhash64("site", "t", "rep", F.lit(seed)), F.lit(1_000_003)) + 0.5) / 1_000_003.0
-    cumulative, p, copies = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(6):
-        cumulative += p
-        copies = copies + (u > cumulative).cast("int")
-        p /= k + 1
-    rows = nights(df).select("site", "season", "t", "nee", "ta", "u_star", "swin").withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("n", copies).where("n > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("n")
-    own = threshold(rows, by=("site", "season", "rep")).groupBy("site", "rep").agg(F.max("ustar").alias("ustar"))
-    return own.groupBy("site").agg(*(F.percentile("ustar", F.lit(q)).alias(f"U{round(q * 100):02d}") for q in quantiles))
+    digest = F.md5(F.concat_ws("|", "site", F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit(str(seed)), F.col("block").cast("string")))
+    own = nights(df).select("site", "season", "t", "nee", "ta", "u_star", "swin").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4)))).withColumn("digest", digest)
+    own = own.select("*", F.posexplode(F.array(*(F.substring("digest", 1 + 8 * i, 8) for i in range(4)))).alias("i", "hex")).withColumn("rep", 4 * F.col("block") + F.col("i") + 1).where(F.col("rep") <= replicates)
+    u = (F.conv("hex", 16, 10).cast("long") + 0.5) / 4294967296.0
+    rows = own.withColumn("n", sum(((u > p).cast("long") for p in POISSON), F.lit(0).cast("long"))).where("n > 0").drop("block", "digest", "i", "hex")
+    each = threshold(rows, by=("site", "season", "rep"), weight="n").groupBy("site", "rep").agg(F.max("ustar").alias("ustar"))
+    return each.groupBy("site").agg(*(F.percentile("ustar", F.lit(q)).alias(f"U{round(q * 100):02d}") for q in quantiles))
 
 
 def ustar_filter(df: DataFrame, thresholds: DataFrame, by: tuple[str, ...] = ("site",), value: str = "nee", night_only: bool = True, dark: float = 10.0) -> DataFrame:

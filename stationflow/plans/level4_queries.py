@@ -39,9 +39,40 @@ def us1_year(spark, d):
     return ustar.yearly(thresholds(spark, d)).withColumn("ustar", F.round("ustar", 8))
 
 
-@query("us2_ustar_bootstrap")
+def plateau(of, by, source):
+    """SQL of the thresholds of the rows of a table by `by`, as in US, each step named by a letter."""
+    return f"""{of}2 AS (SELECT *, ntile(20) OVER (PARTITION BY {by}, tc ORDER BY u_star, t) AS ub FROM {source}),
+{of}3 AS (SELECT {by}, tc, ub, avg(nee) AS m, avg(u_star) AS u FROM {of}2 GROUP BY ALL),
+{of}4 AS (SELECT *, avg(m) OVER (PARTITION BY {by}, tc ORDER BY ub ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING) AS later FROM {of}3),
+{of}s AS (SELECT {by}, quantile_cont(u, 0.5) AS ustar FROM (SELECT {by}, tc, arg_min(u, ub) AS u FROM {of}4 WHERE m > 0.95 * later GROUP BY ALL) GROUP BY ALL)"""
+
+
+POOLED = f"""{US}, k0 AS (SELECT *, count(*) OVER (PARTITION BY site, season) < 160 AS thin FROM n0 WHERE swin < 10 AND nee IS NOT NULL),
+k1 AS (SELECT site, t, nee, ta, u_star, season AS name, false AS pooled FROM k0 WHERE NOT thin UNION ALL SELECT site, t, nee, ta, u_star, '', true FROM k0 WHERE site IN (SELECT site FROM k0 WHERE thin)),
+k2 AS (SELECT *, ntile(7) OVER (PARTITION BY site, pooled, name ORDER BY ta, t) AS tc FROM k1),
+k3 AS (SELECT site, pooled, name, tc FROM k2 GROUP BY ALL HAVING count(*) >= 20 AND NOT coalesce(abs(corr(ta, u_star)) > 0.2, false)),
+{plateau("l", "site, pooled, name", "k2 SEMI JOIN k3 USING (site, pooled, name, tc)")},
+kn AS (SELECT site, season, count(*) FILTER (swin < 10 AND nee IS NOT NULL) AS n FROM n0 GROUP BY ALL)"""
+
+
+@query("us1_pooled_thresholds", "SELECT kn.site, kn.season, kn.n, kn.n < 160 AS pooled, round(ustar, 8) AS ustar FROM kn LEFT JOIN ls ON ls.site = kn.site AND ls.pooled = (kn.n < 160) AND ls.name = CASE WHEN kn.n < 160 THEN '' ELSE kn.season END", POOLED)
+def us1_pooled(spark, d):
+    """The series has one month, so classes need fewer rows here, and a lower bound of the correlation, to have some refused."""
+    return ustar.pooled_thresholds(nights(spark, d), least_class=20, most_cor=0.2).withColumn("ustar", F.round("ustar", 8))
+
+
+RESAMPLED = f"""b0 AS (SELECT site, t, nee, ta, u_star, season, unnest(range(50)) AS block FROM n0 WHERE swin < 10 AND nee IS NOT NULL),
+b1 AS (SELECT *, md5(site || '|' || strftime(t, '%Y-%m-%d %H:%M:%S') || '|1|' || block) AS h, unnest(range(4)) AS i FROM b0),
+b2 AS (SELECT site, season, t, nee, ta, u_star, 4 * block + i + 1 AS rep, (CAST('0x' || substr(h, CAST(1 + 8 * i AS BIGINT), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS x FROM b1),
+b3 AS (SELECT * EXCLUDE x, unnest(range({' + '.join(f'CAST(x > {p!r}::DOUBLE AS BIGINT)' for p in ustar.POISSON)})) AS copy FROM b2),
+b4 AS (SELECT *, ntile(7) OVER (PARTITION BY site, season, rep ORDER BY ta, t) AS tc FROM b3),
+{plateau("e", "site, season, rep", "b4")}"""
+
+
+@query("us2_ustar_bootstrap", "SELECT site, round(quantile_cont(ustar, 0.05), 7) AS U05, round(quantile_cont(ustar, 0.5), 7) AS U50, round(quantile_cont(ustar, 0.95), 7) AS U95 FROM (SELECT site, rep, max(ustar) AS ustar FROM es GROUP BY 1, 2) GROUP BY 1", US + ", " + RESAMPLED)
 def us2(spark, d):
-    return ustar.bootstrap(nights(spark, d), 200)
+    """In SQL each row is copied as often as it is drawn; here it is weighted."""
+    return ustar.bootstrap(nights(spark, d), 200).select("site", *(F.round(c, 7).alias(c) for c in ("U05", "U50", "U95")))
 
 
 @query("us3_ustar_filter", f"SELECT site, {T}, CASE WHEN u_star < y AND swin < 10 THEN NULL ELSE nee END AS nee_ustar FROM n0 LEFT JOIN (SELECT site, max(ustar) AS y FROM us GROUP BY 1) USING (site)", US)

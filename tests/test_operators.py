@@ -221,6 +221,42 @@ def test_ustar_threshold_recovers_plateau(spark):
     assert b["U05"] <= b["U50"] <= b["U95"]
 
 
+def ustar_table(spark, n=4000, seed=3):
+    """Season `all` has a plateau from u* 0.3 on; in its warmest seventh u* follows the temperature; season `thin` has few rows."""
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        u, ta = rng.random(), 25 * rng.random()
+        if ta > 21.5:
+            u = (ta - 21.5) / 3.5
+        rows.append(("A", T0 + i * HALF, min(1.0, u / 0.3) * 5 + 0.1 * rng.random() + (40 * u if ta > 21.5 else 0), ta, u, 0.0, "thin" if i < 100 else "all"))
+    return spark.createDataFrame(rows, "site string, t timestamp_ntz, nee double, ta double, u_star double, swin double, season string")
+
+
+def test_correlated_classes_and_thin_seasons(spark):
+    df = ustar_table(spark)
+    of = lambda **more: {r["season"]: r for r in ustar.pooled_thresholds(df, **more).collect()}
+    got = of(least_class=50)
+    assert not got["all"]["pooled"] and got["thin"]["pooled"] and got["thin"]["n"] == 100
+    assert 0.2 < got["all"]["ustar"] < 0.35 and abs(got["thin"]["ustar"] - got["all"]["ustar"]) < 0.05
+    hot = ustar.threshold(df.where("ta > 21.5"), classes=1, by=("site",))
+    assert hot.first()["ustar"] > 0.6 and ustar.threshold(df.where("ta > 21.5"), classes=1, by=("site",), most_cor=0.5).count() == 0
+    assert of(least_class=5000)["all"]["ustar"] is None and of(least_season=1, least_class=10)["thin"]["pooled"] is False
+
+
+def test_weighted_tiles_equal_those_of_copies(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [("A" if i % 3 else "B", i, rng.randrange(20), rng.randrange(1, 6)) for i in range(120)] + [("C", 1, 1, 2), ("C", 2, 1, 1)]
+    df = spark.createDataFrame(rows, "site string, i int, x int, n long")
+    copies = df.withColumn("c", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    want = {(r["site"], r["i"], r["k"]): r["n"] for r in ustar.tiles(copies, "k", 7, ["site"], ["x", "i"]).groupBy("site", "i", "k").agg(F.count("*").alias("n")).collect()}
+    assert {(r["site"], r["i"], r["k"]): r["n"] for r in ustar.tiles(df, "k", 7, ["site"], ["x", "i"], "n").collect()} == want
+
+
 def test_mds_prefers_similar_conditions(spark):
     rows = [("A", T0 + i * HALF, None if i == 48 * 3 + 24 else float(i % 48), 100.0 * (i % 48), 5.0, 10.0) for i in range(48 * 7)]
     df = spark.createDataFrame(rows, "site string, t timestamp_ntz, value double, rg double, vpd double, ta double")
