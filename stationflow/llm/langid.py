@@ -114,17 +114,19 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     """learn: which rows may be learned from."""
     bounded_batches(docs.sparkSession)
     own = docs.where(learn & F.col(lang).isNotNull() & F.col(text).cast("string").rlike(r"\p{L}")).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(id, text).alias("h"), F.col(text).cast("string").alias("x"))
-    found = own.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
+    # Repeated rows are one example: what is counted, ranked and learned from are distinct hashes.
+    keys = own.select("lang", "h").distinct()
+    found = keys.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
     if not found:
         return None
     languages = [r["lang"] for r in found]
     each = max(20, sample // len(languages))
     # A language's share that holds `each` rows all but surely comes from the hash alone, so only few rows are ranked, however frequent the language.
     share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, (2 * each + 50) / r["count"])) for r in found], "lang string, share double")
-    own = own.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 31)) < F.col("share") * (1 << 31))
+    shared = lambda df: df.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 31)) < F.col("share") * (1 << 31)).drop("share")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    few = own.select("lang", "h").withColumn("r", rank).where(F.col("r") <= each).groupBy("lang").agg(F.max("h").alias("most"))
-    chosen = own.join(F.broadcast(few), "lang").where("h <= most").select("lang", "h", "x")  # a row for each of the languages
+    few = shared(keys).withColumn("r", rank).where(F.col("r") <= each).groupBy("lang").agg(F.max("h").alias("most"))
+    chosen = shared(own).join(F.broadcast(few), "lang").where("h <= most").groupBy("lang", "h").agg(F.first("x").alias("x"))  # few: a row for each of the languages
 
     def run(batches):
         for rows, buf, offs in chunks(batches, "x", 1 << 18):
@@ -132,7 +134,10 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
             data = [r.tobytes() for r in shares(x)]
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(data, pa.binary())], names=["lang", "h", "x"])
 
-    got = chosen.mapInArrow(run, "lang string, h long, x binary").dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect()  # rows of 8 KB
+    got = chosen.mapInArrow(run, "lang string, h long, x binary").orderBy("lang", "h").collect()  # rows of 8 KB
+    if not got:
+        return None
+    languages = sorted({r["lang"] for r in got})
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in got])
     number = {l: i for i, l in enumerate(languages)}
     return train(x, np.array([number[r["lang"]] for r in got]), languages)
