@@ -200,8 +200,9 @@ def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 def keep_good(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 20_000) -> DataFrame:
     """docs without those that a learned rule rejects."""
     chosen = chosen_labels(labels, id, sample)
-    labelled = docs.join(F.broadcast(chosen.select("__l")), docs[id] == F.col("__l"), "left_semi")  # at most `sample` ids
-    rules = fit(statistics(labelled, id, text), chosen, id)
-    clash = {c: f"__own_{c}" for c in docs.columns}
-    held = statistics(docs.withColumnsRenamed(clash).withColumn("__same", F.col(clash[text])), clash[id], "__same", keep=tuple(clash.values()))
+    clash = {c: f"__own_{i}" for i, c in enumerate(docs.columns)}
+    own = docs.toDF(*clash.values()).withColumn("__same", F.col(clash[text]))
+    labelled = own.join(F.broadcast(chosen.select("__l")), own[clash[id]] == F.col("__l"), "left_semi")  # at most `sample` ids
+    rules = fit(statistics(labelled, clash[id], "__same"), chosen, clash[id])
+    held = statistics(own, clash[id], "__same", keep=tuple(clash.values()))
     return held.where(verdict(rules).isNull()).select(*(F.col(v).alias(k) for k, v in clash.items()))

@@ -304,6 +304,8 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     and these sets are shuffled; texts by key, for the sets and at the end.
     """
     bounded_batches(docs.sparkSession)
+    columns, names = docs.columns, [f"own_{i}" for i in range(len(docs.columns))]
+    id, text, docs = names[columns.index(id)], names[columns.index(text)], docs.toDF(*names)
     keyed = docs.withColumns({"__k": F.xxhash64(F.lit(1), id), "__t": F.xxhash64(text)})
     own = keyed.select(F.col(id).alias("id"), "__k", "__t", F.col(text).cast("string").alias("__x"))
 
@@ -343,4 +345,4 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     found = components(compared(groups.join(sets, "node"), radius, allowed, similarity))
     rooted = nodes.select("node", "o").join(found, "node", "left").select(F.coalesce("root", "node").alias("root"), "o")
     keep = rooted.groupBy("root").agg(F.min("o").alias("o")).select("o.__k", "o.__t")
-    return keyed.join(cut(keep), ["__k", "__t"]).withColumn("__r", first).where("__r = 1").select(*docs.columns)
+    return keyed.join(cut(keep), ["__k", "__t"]).withColumn("__r", first).where("__r = 1").select(*names).toDF(*columns)

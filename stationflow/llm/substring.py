@@ -239,9 +239,11 @@ def measure(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", t
 
 
 def remove(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with repeated words cut from the text, each with the white space before it; other texts stay as they are."""
+    """docs with repeated words cut from the text, each with the white space before it; other texts stay as they are. Columns may have any names."""
+    names = [f"own_{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(text)
+    schema, docs, id, text = docs.schema, docs.toDF(*names), names[docs.columns.index(id)], names[at]
     rows = _marked(docs, window, k, id, text)
-    names, at = docs.columns, docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
@@ -256,6 +258,6 @@ def remove(docs: DataFrame, window: int = 35, k: int = 8, id: str = "doc_id", te
                 out.append((b"".join(parts).strip() + t[edges[-1] :] if parts else b"").decode())
             columns = list(batch.columns[: len(names)])
             columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, schema)

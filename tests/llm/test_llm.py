@@ -622,3 +622,36 @@ def test_licenses_against_plain_loops(spark):
         r, base = got[i], sorted({x for _, x in places})
         assert (r["n_words"], r["n_base"], r["base_labels"], r["labels"]) == (len(w), len(places), ",".join(base), ",".join(sorted(labels))), t
         assert (r["first_word"], r["last_word"]) == ((min(a for a, _ in places), max(a for a, _ in places)) if places else (None, None)) and abs(r["score"] - best) < 1e-12
+
+
+def test_language_of_many_repeated_rows(spark):
+    """One German row repeated many times is one example; no language is lost, none takes all."""
+    rng = random.Random(7)
+    words = {"en": ["the", "house", "with", "which", "water", "thought"], "fr": ["les", "maison", "avec", "quelle", "eau", "pensée"]}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(25)), lang) for i, lang in enumerate(["en", "fr"] * 100)]
+    few = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    many = spark.range(20_000).select(F.lit(999).cast("long").alias("doc_id"), F.lit("der Hund und die Katze sitzen über dem Brunnen").alias("text"), F.lit("de").alias("lang"))
+    docs = few.unionByName(many)
+    model = langid.fit(docs, F.lit(True), sample=300)
+    assert model.languages == ["de", "en", "fr"]
+    got = langid.predict(few, model, keep=("doc_id", "lang")).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+    assert langid.predict(many.limit(1), model).first()["lang_pred"] == "de"
+
+
+def test_stages_take_clashing_names(spark):
+    import corpus_pipeline
+
+    names = ["m", "__p", "__b", "__x", "__k", "__t", "__l", "__r", "__same", "rows", "own_0", "__own_0", "bad", "h", "g", "root", "node", "spans"]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"first {passage} text {i} with its own words" if i % 2 else f"a{i} b{i} plain words here {i} and there" for i in range(8)] + [None]
+    rows = [(i, t, "en", "s", len(t or ""), *[i] * len(names)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` long" for c in names))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    for stage in (lambda d: quality.keep_good(d, labels), lambda d: simhash.deduplicate(d), lambda d: corpus_pipeline.recount(substring.remove(d, window=50)), lambda d: pii.redact(d)):
+        got = stage(docs)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+        assert all(r["doc_id"] == r["m"] == r["spans"] for r in got.collect())
+    assert packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).count() >= len(rows)
+    cut = {r["doc_id"]: r["text"] for r in substring.remove(docs, window=50).collect()}
+    assert cut[1].split() == "1 with its own words".split() and cut[0] == texts[0] and cut[8] is None
