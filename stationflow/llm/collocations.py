@@ -4,8 +4,8 @@ Phrases: runs of 1 to `longest` words within a piece of a text (A-Z lower-cased;
 with `least` occurrences is a candidate. Its score is the lowest, over its cuts in two, of floor(10^6 a^2 / (l r)), with exact counts a of the whole, l and r of the parts.
 
 First pass: a phrase is hashed to one of P partitions and a cell within it. A task packs the counts of its cells for each partition; a partition's summaries are
-merged by Misra-Gries: over its capacity of counters, all are lowered by the largest counter that has no place. The capacity is the partition's mass (all occurrences in it) over
-`least`, plus one, so what is taken from any cell stays under `least` and each cell that holds a frequent phrase is left, together with some that don't.
+merged by Misra-Gries: over its capacity of counters, all are lowered by the largest counter that has no place. The capacity is over ROOM times the partition's mass (all
+occurrences in it) over `least`, so what is taken from any cell stays under least / ROOM and each cell that holds a frequent phrase is left, together with some that don't.
 What is left becomes a bit filter of FILTER_BITS bits at most, its slices made by the partitions; it is all that comes to the driver.
 Second pass: phrases that pass the filter are counted exactly, by their words. Filters only save work: with a full one, every phrase is counted.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ APART = SPACE | ENDS
 FILTER_BITS = 1 << 27
 #: Occurrences that a partition holds about, cells of which a task keeps the counts, phrases that it keeps in the second pass.
 SHARE, HELD_CELLS, HELD_PHRASES = 1 << 21, 1 << 23, 1 << 20
+#: The more room for counters, the fewer cells pass without being frequent.
+ROOM = 4
 
 
 class Phrases:
@@ -137,7 +140,12 @@ def summaries(own: DataFrame, longest: int, parts: int, bits: int) -> DataFrame:
     """p, cells, counts, large, mass: each task's packed counts of the cells of each partition. own: lang, x."""
 
     def packing(codes: list[np.ndarray]):
-        code, n = np.unique(np.concatenate(codes), return_counts=True)
+        code = np.concatenate(codes)
+        codes.clear()
+        code.sort()
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        n = np.diff(np.concatenate([first, [len(code)]]))
+        code = code[first]
         p = (code >> U64(bits)).astype(np.int64)
         cell = (code & U64((1 << bits) - 1)).astype(np.int64)
         cuts = np.searchsorted(p, np.arange((1 << parts) + 1))
@@ -157,7 +165,7 @@ def summaries(own: DataFrame, longest: int, parts: int, bits: int) -> DataFrame:
             size += len(held[-1])
             if size >= HELD_CELLS:
                 yield from packing(held)
-                held, size = [], 0
+                size = 0
         if size:
             yield from packing(held)
 
@@ -188,7 +196,7 @@ def possible(packs: DataFrame, least: int, slice_bits: int) -> DataFrame:
                 if p != now:
                     if summary:
                         yield done(now, summary)
-                    now, summary = p, Summary(total // least + 1)
+                    now, summary = p, Summary(ROOM * total // least + 1)
                 n = np.frombuffer(counts, np.uint8).astype(np.int64)
                 big = np.frombuffer(large, np.int64).reshape(2, -1)
                 n[big[0]] = big[1]
@@ -227,8 +235,10 @@ def counts(own: DataFrame, longest: int, least: int) -> DataFrame:
             order = np.argsort(h, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
             n = np.add.reduceat(np.concatenate([x[1] for x in held])[order], first)
-            at = pa.array(order[first])
-            lang, phrase = (pa.chunked_array([x[i] for x in held]).take(at).combine_chunks() for i in (2, 3))
+            lang, phrase = (pa.chunked_array([x[i] for x in held]).take(pa.array(order[first])).combine_chunks() for i in (2, 3))
+            # Neighbours in order have words in common, which the exchange's compression makes use of.
+            sorted_by = pc.sort_indices(phrase)
+            lang, phrase, n = lang.take(sorted_by), phrase.take(sorted_by), n[sorted_by.to_numpy()]
             for i in range(0, len(n), 1 << 16):
                 yield pa.RecordBatch.from_arrays([lang.slice(i, 1 << 16).cast(pa.string()), phrase.slice(i, 1 << 16).cast(pa.string()), pa.array(n[i : i + (1 << 16)])], names=["lang", "phrase", "n"])
 
