@@ -28,7 +28,7 @@ def grid(spans: DataFrame, step: str, by: list[str]) -> DataFrame:
 def repair_time(df: DataFrame, step: str = "30 MINUTES", by: tuple[str, ...] = ("site",), order: tuple[str, ...] = (), fill_gaps: bool = True) -> DataFrame:
     """Stamps made unique (first in order) and regular from each key's first to last; missing steps become rows of nulls.
 
-    Stamps off the grid are dropped; off_grid() lists them, so a caller can refuse series with more than one.
+    The grid starts at the first stamp and stamps off it are dropped: strict_repair() judges the series first.
     """
     own = keep_first(df.where(F.col("t").isNotNull()), [*by, "t"], [F.col(c) for c in order] or [F.col("t")])
     spans = own.groupBy(*by).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
@@ -41,6 +41,51 @@ def off_grid(df: DataFrame, seconds: int = 1800, by: tuple[str, ...] = ("site",)
     return df.select(*by, "t").distinct().join(spans, list(by)).where(gap % seconds != 0).select(*by, "t")
 
 
+def _phase(seconds: int | str) -> Column:
+    """How far, in microseconds, a stamp is past the grid that midnight is on. seconds: the step, or a column with it."""
+    step = F.col(seconds) if isinstance(seconds, str) else F.lit(seconds)
+    return F.pmod(F.unix_micros(F.col("t").cast("timestamp")), step * 1_000_000)
+
+
+def usual_step(df: DataFrame, by: tuple[str, ...] = ("site",), name: str = "step") -> DataFrame:
+    """`by`, step: the most frequent difference of neighbouring stamps in seconds, ties the least; series of one stamp give no row."""
+    gap = F.unix_seconds(F.col("t").cast("timestamp")) - F.unix_seconds(F.lag("t").over(Window.partitionBy(*by).orderBy("t")).cast("timestamp"))
+    gaps = df.where(F.col("t").isNotNull()).select(*by, "t", gap.alias("d")).where("d > 0").groupBy(*by, "d").agg(F.count("*").alias("n"))
+    return gaps.groupBy(*by).agg((-F.max(F.struct("n", (-F.col("d")).alias("d")))["d"]).alias(name))
+
+
+def series_verdicts(df: DataFrame, seconds: int | str = 1800, by: tuple[str, ...] = ("site",), least: int = 12, most_off: int = 1) -> DataFrame:
+    """`by`, rows, missing (null stamps), duplicates, phase (of the grid that most stamps are on, in microseconds; ties: the least), off_grid (other stamps), verdict of every series.
+
+    verdict: `short` for under `least` stamps, `irregular` for over most_off stamps off the grid, `repaired` where a stamp is left out or doubled, else `ok`.
+    The grid is the majority's, so a stray first stamp doesn't decide it.
+    """
+    stamps = df.groupBy(*by, "t", *([seconds] if isinstance(seconds, str) else [])).agg(F.count("*").alias("n"))
+    phases = stamps.groupBy(*by, F.when(F.col("t").isNotNull(), _phase(seconds)).alias("p")).agg(F.count("t").alias("k"), F.sum("n").alias("n"))
+    own = phases.groupBy(*by).agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("p").isNull(), F.col("n"))), F.lit(0)).alias("missing"), F.sum(F.when(F.col("p").isNotNull(), F.col("n") - F.col("k")).otherwise(0)).alias("duplicates"),
+        F.sum("k").alias("stamps"), F.max(F.when(F.col("p").isNotNull(), F.struct("k", (-F.col("p")).alias("p")))).alias("most"),
+    )
+    own = own.select(*by, "rows", "missing", "duplicates", (-F.col("most.p")).alias("phase"), (F.col("stamps") - F.coalesce("most.k", F.lit(0))).alias("off_grid"))
+    verdict = F.when(F.col("rows") - F.col("missing") < least, "short").when(F.col("off_grid") > most_off, "irregular").when(F.col("off_grid") + F.col("duplicates") + F.col("missing") > 0, "repaired").otherwise("ok")
+    return own.withColumn("verdict", verdict)
+
+
+def on_grid(df: DataFrame, verdicts: DataFrame, seconds: int | str = 1800, by: tuple[str, ...] = ("site",), fail: bool = True) -> DataFrame:
+    """df without the stamps off their series' grid. A short or irregular series fails the job; or (fail=False) it is left out, and the verdicts say so."""
+    bad = F.col("verdict").isin("short", "irregular")
+    said = F.concat(F.lit("Time stamps can't be repaired: "), F.concat_ws(" ", *(F.col(c).cast("string") for c in by), "verdict"), F.lit(", off the grid: "), F.col("off_grid").cast("string"), F.lit(", rows: "), F.col("rows").cast("string"))
+    got = df.join(verdicts.select(*by, "verdict", "phase", "off_grid", "rows"), list(by))
+    keep = F.when(bad, F.raise_error(said).cast("boolean") if fail else F.lit(False)).otherwise(_phase(seconds) == F.col("phase"))
+    return got.where(keep).select(*df.columns)
+
+
+def strict_repair(df: DataFrame, seconds: int = 1800, by: tuple[str, ...] = ("site",), order: tuple[str, ...] = (), fill_gaps: bool = True, least: int = 12, most_off: int = 1, fail: bool = True) -> tuple[DataFrame, DataFrame]:
+    """repair_time() of the series that allow it, and the verdicts of all: nothing is lost without a word. See on_grid()."""
+    verdicts = series_verdicts(df, seconds, by, least, most_off)
+    return repair_time(on_grid(df, verdicts, seconds, by, fail), f"{seconds} SECONDS", by, order, fill_gaps), verdicts
+
+
 def parse_stamps(df: DataFrame, text: str, formats: list[str], by: str) -> DataFrame:
     """df with t, parsed by the one format that parses all of a file's stamps; null for files where none or several do."""
     tries = [F.try_to_timestamp(F.col(text), F.lit(f)).cast("timestamp_ntz").alias(f"_t{i}") for i, f in enumerate(formats)]

@@ -31,6 +31,35 @@ def ts2_off(spark, d):
     return timegrid.off_grid(own, 60).select("site", F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t"))
 
 
+def disturbed(spark, d):
+    """The series with stamps off the grid: one, the first, of each `le`, and all of three hours of each `h`; nulls for a hundredth of `ta`; every seventh of `nee` twice."""
+    own = obs(spark, d).withColumn("lo", F.min("t").over(Window.partitionBy("site", "var")))
+    stray = (F.col("var") == "le") & (F.col("t") == F.col("lo")) | (F.col("var") == "h") & (F.hour("t") < 3)
+    t = F.when(stray, F.expr("t + INTERVAL 7 MINUTES")).when((F.col("var") != "ta") | (F.dayofmonth("t") != 3), F.col("t"))
+    own = own.withColumn("t", t).withColumn("line", F.when((F.col("var") == "nee") & (F.col("qc") == 2), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return own.select("site", "var", "t", "value", F.explode("line").alias("line"))
+
+
+DISTURBED = """x AS (SELECT site, var, CASE WHEN (var = 'le' AND t = min(t) OVER (PARTITION BY site, var)) OR (var = 'h' AND hour(t) < 3) THEN t + INTERVAL 7 MINUTE WHEN var <> 'ta' OR day(t) <> 3 THEN t END AS t, value, unnest(CASE WHEN var = 'nee' AND qc = 2 THEN [0, 1] ELSE [0] END) AS line FROM obs),
+y AS (SELECT site, var, t, epoch_us(t) % 1800000000 AS p, count(*) AS n FROM x GROUP BY 1, 2, 3),
+z AS (SELECT site, var, p, count(t) AS k, sum(n) AS n FROM y GROUP BY 1, 2, 3),
+vd AS (SELECT *, CASE WHEN rows - missing < 12 THEN 'short' WHEN off_grid > 1 THEN 'irregular' WHEN off_grid + duplicates + missing > 0 THEN 'repaired' ELSE 'ok' END AS verdict FROM (
+  SELECT site, var, CAST(sum(n) AS BIGINT) AS rows, CAST(coalesce(sum(n) FILTER (p IS NULL), 0) AS BIGINT) AS missing, CAST(coalesce(sum(n - k) FILTER (p IS NOT NULL), 0) AS BIGINT) AS duplicates, first(p ORDER BY k DESC, p) FILTER (p IS NOT NULL) AS phase, CAST(sum(k) - coalesce(max(k), 0) AS BIGINT) AS off_grid FROM z GROUP BY 1, 2))"""
+
+
+@query("ts2_series_verdicts", "SELECT * FROM vd", DISTURBED)
+def ts2_verdicts(spark, d):
+    return timegrid.series_verdicts(disturbed(spark, d), 1800, ("site", "var"))
+
+
+@query("ts2_strict_repair", """SELECT g.site, g.var, strftime(g.t, '%Y-%m-%d %H:%M:%S') AS t, o.value FROM (SELECT site, var, unnest(generate_series(min(t), max(t), INTERVAL 30 MINUTE)) AS t FROM w GROUP BY 1, 2) g
+  LEFT JOIN (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY site, var, t ORDER BY line) = 1) o USING (site, var, t)""", DISTURBED + ", w AS (SELECT x.* FROM x JOIN vd USING (site, var) WHERE verdict IN ('ok', 'repaired') AND epoch_us(t) % 1800000000 = phase)")
+def ts2_strict(spark, d):
+    """Series that can't be repaired are left out here; ts2_series_verdicts lists them."""
+    got, _ = timegrid.strict_repair(disturbed(spark, d), 1800, ("site", "var"), ("line",), fail=False)
+    return key(got, "value")
+
+
 @query("ts3_parse_stamps", "SELECT file, n, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM (SELECT event_type AS file, event_id AS n, date_trunc('minute', ts) AS ts FROM events)")
 def ts3(spark, d):
     """Each event type writes stamps in its own format."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..operators.tables import null_codes, rename_vocabulary, site_from_name
-from ..operators.timegrid import parse_stamps, repair_time
+from ..operators.timegrid import on_grid, parse_stamps, repair_time, series_verdicts, usual_step
 
 
 @F.pandas_udf(StringType())
@@ -54,7 +54,7 @@ def read_long(df: DataFrame, header: int | None, first: int, separator: str = ",
     Without a header row, each file's table starts where its rows begin to have equal numbers of fields, and `first` counts from there.
     """
     if header is None:
-        start = guess_table_start(df, separator=separator).withColumn("start", F.coalesce("start", F.raise_error(F.concat(F.lit("Cannot guess start of csv table in "), F.col("file"))).cast("int")))
+        start = guess_table_start(df, separator=separator).withColumn("start", F.coalesce("start", F.raise_error(F.concat(F.lit("No row of names found, numbers of fields differ to the last row looked at: "), F.col("file"))).cast("int")))
         df = df.join(start, "file").withColumn("row", F.col("row") - F.col("start")).drop("start")
         header = 0
     names = df.where(F.col("row") == header).select("file", F.posexplode(F.split("line", separator)).alias("pos", "name")).withColumn("name", F.trim("name"))
@@ -62,10 +62,11 @@ def read_long(df: DataFrame, header: int | None, first: int, separator: str = ",
     return cells.join(names, ["file", "pos"]).select("file", "row", "name", F.trim("raw").alias("raw"))
 
 
-def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], formats: Sequence[str], header: int | None = 0, first: int = 1, names: Mapping[str, str] | None = None, separator: str = ",", step: str | None = "30 MINUTES", strict: bool = False) -> DataFrame:
+def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], formats: Sequence[str], header: int | None = 0, first: int = 1, names: Mapping[str, str] | None = None, separator: str = ",", step: str | None = "30 MINUTES", strict: bool = True, least: int = 0) -> DataFrame:
     """site, t, var, value of all files at the path. stamps: the columns whose texts, joined by a blank, are the time stamp.
 
-    A file whose stamps no single format parses gives no row, or (strict) fails the job.
+    A file whose stamps no single format parses, with more than one stamp off the grid of its own usual step, or with under `least` rows fails the job.
+    Not strict: such files give no row, and a caller finds them by the verdicts of timegrid. One stamp off the grid is left out.
 
     Missing codes become null, names go by the vocabulary, duplicate stamps keep the first by file and row, and with a step each series is completed.
     """
@@ -74,6 +75,9 @@ def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], form
     stamp = parse_stamps(stamp, "stamp", list(formats), "file").select("file", "row", "t")
     if strict:
         stamp = stamp.withColumn("t", F.coalesce("t", F.raise_error(F.concat(F.lit("None of date or time formats worked: "), F.col("file"))).cast("timestamp_ntz")))
+    if step:
+        stamp = stamp.join(usual_step(stamp, ("file",), "every"), "file", "left").withColumn("every", F.coalesce("every", F.lit(1)))
+        stamp = on_grid(stamp, series_verdicts(stamp, "every", ("file",), least), "every", ("file",), strict).drop("every")
     long = cells.where(~F.col("name").isin(*stamps)).join(stamp, ["file", "row"]).withColumnRenamed("name", "var")
     long = rename_vocabulary(long, names or {"": ""})
     long = long.select(site_of(F.col("file")).alias("site"), "t", "var", null_codes(F.col("raw")).alias("value"), "file", "row")
@@ -107,7 +111,7 @@ def merge_biomet(flux: DataFrame, biomet: DataFrame) -> DataFrame:
     return flux.join(theirs, ["site", "var"], "left_anti").unionByName(biomet)
 
 
-def read_layout(spark: SparkSession, path: str, layout: str, step: str | None = "30 MINUTES", strict: bool = False) -> DataFrame:
+def read_layout(spark: SparkSession, path: str, layout: str, step: str | None = "30 MINUTES", strict: bool = True) -> DataFrame:
     """site, t, var, value of files of one layout; vapour pressure deficits in hPa become kPa."""
     stamps, formats, header, first = LAYOUTS[layout]
     got = read_station_csv(spark, path, stamps, formats, header, first, NAMES[layout], ",", step, strict)

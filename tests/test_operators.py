@@ -58,6 +58,31 @@ def test_repair_keeps_the_first_and_fills(spark):
     assert [r["value"] for r in again.orderBy("t").collect()] == [1.0, None, None, 3.0]
 
 
+def stamped(spark, **sites):
+    rows = [(site, t, float(i), i) for site, stamps in sites.items() for i, t in enumerate(stamps)]
+    return spark.createDataFrame(rows, "site string, t timestamp_ntz, value double, line int")
+
+
+def test_a_stray_first_stamp_loses_nothing_else(spark):
+    good = [T0 + i * HALF for i in range(20)]
+    df = stamped(spark, A=[T0 - dt.timedelta(minutes=7), *good], B=good, C=[*good, good[3]])
+    got, verdicts = timegrid.strict_repair(df, order=("line",))
+    assert {r["site"]: (r["verdict"], r["off_grid"], r["duplicates"]) for r in verdicts.collect()} == {"A": ("repaired", 1, 0), "B": ("ok", 0, 0), "C": ("repaired", 0, 1)}
+    assert all(got.where(f"site = '{s}' and value is not null").count() == 20 for s in "ABC")
+
+
+def test_series_beyond_repair_are_told(spark):
+    good = [T0 + i * HALF for i in range(20)]
+    stray = [T0 + i * HALF + dt.timedelta(minutes=1) for i in (2, 5)]
+    df = stamped(spark, A=good + stray, B=good, C=good[:5], D=[None] * 13)
+    with pytest.raises(Exception, match="can't be repaired"):
+        timegrid.strict_repair(df)[0].collect()
+    got, verdicts = timegrid.strict_repair(df, fail=False)
+    assert {r["site"] for r in got.select("site").distinct().collect()} == {"B"}
+    assert {r["site"]: r["verdict"] for r in verdicts.collect()} == {"A": "irregular", "B": "ok", "C": "short", "D": "short"}
+    assert timegrid.series_verdicts(stamped(spark)).count() == 0
+
+
 def test_two_sites_together_are_each_alone(spark):
     a, b = series(spark, [1.0, None, 3.0]), series(spark, [5.0, None, None, 9.0], site="B")
     both = gapfill.interpolate_limit(a.union(b))
