@@ -47,11 +47,12 @@ def _phase(seconds: int | str) -> Column:
     return F.pmod(F.unix_micros(F.col("t").cast("timestamp")), step * 1_000_000)
 
 
-def usual_step(df: DataFrame, by: tuple[str, ...] = ("site",), name: str = "step") -> DataFrame:
-    """`by`, step: the most frequent difference of neighbouring stamps in seconds, ties the least; series of one stamp give no row."""
+def usual_step(df: DataFrame, by: tuple[str, ...] = ("site",), name: str = "step", share: float = 0.05) -> DataFrame:
+    """`by`, step: the least difference in seconds that a `share` of neighbouring stamps (two at least) have, so that neither holes nor stray stamps decide it; no row where there is none."""
     gap = F.unix_seconds(F.col("t").cast("timestamp")) - F.unix_seconds(F.lag("t").over(Window.partitionBy(*by).orderBy("t")).cast("timestamp"))
     gaps = df.where(F.col("t").isNotNull()).select(*by, "t", gap.alias("d")).where("d > 0").groupBy(*by, "d").agg(F.count("*").alias("n"))
-    return gaps.groupBy(*by).agg((-F.max(F.struct("n", (-F.col("d")).alias("d")))["d"]).alias(name))
+    gaps = gaps.withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+    return gaps.where(F.col("n") >= F.greatest(F.lit(2), share * F.col("all"))).groupBy(*by).agg(F.min("d").alias(name))
 
 
 def series_verdicts(df: DataFrame, seconds: int | str = 1800, by: tuple[str, ...] = ("site",), least: int = 12, most_off: int = 1) -> DataFrame:

@@ -65,7 +65,7 @@ def read_long(df: DataFrame, header: int | None, first: int, separator: str = ",
 def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], formats: Sequence[str], header: int | None = 0, first: int = 1, names: Mapping[str, str] | None = None, separator: str = ",", step: str | None = "30 MINUTES", strict: bool = True, least: int = 0) -> DataFrame:
     """site, t, var, value of all files at the path. stamps: the columns whose texts, joined by a blank, are the time stamp.
 
-    A file whose stamps no single format parses, with more than one stamp off the grid of its own usual step, or with under `least` rows fails the job.
+    A file whose stamps no single format parses, with more than one stamp off its grid (of the step, or its own finer one), or with under `least` rows fails the job.
     Not strict: such files give no row, and a caller finds them by the verdicts of timegrid. One stamp off the grid is left out.
 
     Missing codes become null, names go by the vocabulary, duplicate stamps keep the first by file and row, and with a step each series is completed.
@@ -76,7 +76,8 @@ def read_station_csv(spark: SparkSession, path: str, stamps: Sequence[str], form
     if strict:
         stamp = stamp.withColumn("t", F.coalesce("t", F.raise_error(F.concat(F.lit("None of date or time formats worked: "), F.col("file"))).cast("timestamp_ntz")))
     if step:
-        stamp = stamp.join(usual_step(stamp, ("file",), "every"), "file", "left").withColumn("every", F.coalesce("every", F.lit(1)))
+        seconds = round(pd.Timedelta(step.lower()).total_seconds())
+        stamp = stamp.join(usual_step(stamp, ("file",), "every"), "file", "left").withColumn("every", F.least(F.col("every"), F.lit(seconds)))  # a file may be finer than the step, or full of holes
         stamp = on_grid(stamp, series_verdicts(stamp, "every", ("file",), least), "every", ("file",), strict).drop("every")
     long = cells.where(~F.col("name").isin(*stamps)).join(stamp, ["file", "row"]).withColumnRenamed("name", "var")
     long = rename_vocabulary(long, names or {"": ""})
