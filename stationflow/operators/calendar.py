@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,17 +14,33 @@ def date_parts() -> dict[str, Column]:
     return {"year": F.year("t"), "month": F.month("t"), "dom": F.dayofmonth("t"), "doy": F.dayofyear("t"), "hour": F.hour("t") + F.minute("t") / 60, "period": (F.floor((F.month("t") % 12) / 3) + 1).cast("int"), "hhmm": F.date_format("t", "HH:mm")}
 
 
-def calendar_means(df: DataFrame, pairs: Mapping[str, str], threshold: float | None = None) -> DataFrame:
-    """level, year, month, dom, doy, hour and for each pair filled -> raw: the mean of filled and the completeness of raw (<filled>_sqc).
+#: Filled columns without a raw one.
+UNPAIRED = ("NEE_U05_f", "NEE_U50_f", "NEE_U95_f", "GPP_U05_f", "GPP_U95_f", "GPP_U50_f", "GPP_f")
 
-    All four levels are one pass: grouping sets over the date parts. With a threshold, a mean is null unless its completeness is over it.
+
+def pair_columns(columns: Sequence[str], unpaired: Sequence[str] = UNPAIRED) -> dict[str, str | None]:
+    """Filled columns (`_f`) and their raw ones, in the order of the columns; None for those known to have none. Any other without a raw column is an error."""
+    filled = [c for c in columns if c.endswith("_f")]
+    missing = [c[:-2] for c in filled if c not in unpaired and c[:-2] not in columns]
+    if missing:
+        raise ValueError(f"filled columns without these raw ones: {', '.join(missing)}")
+    return {c: None if c in unpaired else c[:-2] for c in filled}
+
+
+def calendar_means(df: DataFrame, pairs: Mapping[str, str | None], threshold: float | None = None, aggregates: Mapping[str, Callable[[str], Column]] | None = None) -> DataFrame:
+    """level, year, month, dom, doy, hour and for each pair filled -> raw: the mean of filled and the completeness of raw (<filled>_sqc; none without a raw column).
+
+    aggregates: other functions of a column's name in place of the mean, each as <filled>_<its name> (or <filled> where that is empty).
+    All four levels are one pass: grouping sets over the date parts. With a threshold, an aggregate is null unless the completeness is over it.
     """
     parts = {k: v for k, v in date_parts().items() if k in ("year", "month", "dom", "doy", "hour")}
     aggs = []
     for filled, raw in pairs.items():
-        share = F.count(raw) / F.count("*")
-        mean = F.avg(filled)
-        aggs += [(F.when(share > threshold, mean) if threshold is not None else mean).alias(filled), share.alias(f"{filled}_sqc")]
+        share = F.count(raw) / F.count("*") if raw is not None else None
+        for name, f in (aggregates or {"": F.avg}).items():
+            own = f(filled)
+            aggs.append((F.when(share > threshold, own) if threshold is not None and share is not None else own).alias(f"{filled}_{name}" if name else filled))
+        aggs += [share.alias(f"{filled}_sqc")] if share is not None else []
     keys = list(parts)
     sets = [["site", *LEVELS[level]] for level in LEVELS]
     got = df.withColumns(parts).groupingSets([[F.col(c) for c in s] for s in sets], "site", *keys).agg(F.grouping_id().alias("_g"), *aggs)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,6 +82,15 @@ def order_columns(columns: Sequence[str], pairs: Mapping[str, str] | None = None
     return out
 
 
+def align_columns(columns: Sequence[str], added: Sequence[str], rule: Callable[[str], str | None]) -> list[str]:
+    """columns and the added ones, each right after the column that the rule names for it (several in the order given), or at the end where the rule names none that is there."""
+    after: dict[str, list[str]] = {}
+    for c in added:
+        place = rule(c)
+        after.setdefault(place if place in columns else "", []).append(c)
+    return [x for c in columns for x in (c, *after.get(c, []))] + after.get("", [])
+
+
 def keep_existing(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [c for c in wanted if c in df.columns]
 

@@ -61,7 +61,7 @@ def series_verdicts(df: DataFrame, seconds: int | str = 1800, by: tuple[str, ...
     verdict: `short` for under `least` stamps, `irregular` for over most_off stamps off the grid, `repaired` where a stamp is left out or doubled, else `ok`.
     The grid is the majority's, so a stray first stamp doesn't decide it.
     """
-    stamps = df.groupBy(*by, "t", *([seconds] if isinstance(seconds, str) else [])).agg(F.count("*").alias("n"))
+    stamps = df.groupBy(*by, "t", *([seconds] if isinstance(seconds, str) and seconds not in by else [])).agg(F.count("*").alias("n"))
     phases = stamps.groupBy(*by, F.when(F.col("t").isNotNull(), _phase(seconds)).alias("p")).agg(F.count("t").alias("k"), F.sum("n").alias("n"))
     own = phases.groupBy(*by).agg(
         F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("p").isNull(), F.col("n"))), F.lit(0)).alias("missing"), F.sum(F.when(F.col("p").isNotNull(), F.col("n") - F.col("k")).otherwise(0)).alias("duplicates"),
@@ -76,7 +76,8 @@ def on_grid(df: DataFrame, verdicts: DataFrame, seconds: int | str = 1800, by: t
     """df without the stamps off their series' grid. A short or irregular series fails the job; or (fail=False) it is left out, and the verdicts say so."""
     bad = F.col("verdict").isin("short", "irregular")
     said = F.concat(F.lit("Time stamps can't be repaired: "), F.concat_ws(" ", *(F.col(c).cast("string") for c in by), "verdict"), F.lit(", off the grid: "), F.col("off_grid").cast("string"), F.lit(", rows: "), F.col("rows").cast("string"))
-    got = df.join(verdicts.select(*by, "verdict", "phase", "off_grid", "rows"), list(by))
+    step = [seconds] if isinstance(seconds, str) and seconds not in df.columns else []  # a column of the verdicts
+    got = df.join(verdicts.select(*by, *step, "verdict", "phase", "off_grid", "rows"), list(by))
     keep = F.when(bad, F.raise_error(said).cast("boolean") if fail else F.lit(False)).otherwise(_phase(seconds) == F.col("phase"))
     return got.where(keep).select(*df.columns)
 
@@ -113,6 +114,23 @@ def outer_join_meteo(flux: DataFrame, meteo: DataFrame, suffix: str | None = "_m
     return flux.join(meteo.withColumnsRenamed({c: c + suffix for c in both}), ["site", "t"], "full_outer")
 
 
+def has_meteo(joined: DataFrame, last: str) -> DataFrame:
+    """site, has_meteo: does the weather's last column have any value at the site after the join? Where not, the ranges do not meet, and the site counts as without weather."""
+    return joined.groupBy("site").agg((F.count(last) > 0).alias("has_meteo"))
+
+
+def split_by_interval(df: DataFrame, kind: str = "all", least: int = 5) -> DataFrame:
+    """df with `interval`, the label of its export: for `all`, the site's first and last year (22-24; 2024 if one), for `year` 2024, for `month` 03.2024. Intervals of a site with under `least` rows are left out."""
+    if kind == "all":
+        whole = Window.partitionBy("site")
+        lo, hi = F.min(F.year("t")).over(whole), F.max(F.year("t")).over(whole)
+        label = F.when(lo == hi, lo.cast("string")).otherwise(F.concat_ws("-", (lo % 100).cast("string"), (hi % 100).cast("string")))
+    else:
+        label = F.date_format("t", {"year": "yyyy", "month": "MM.yyyy"}[kind])
+    own = df.withColumn("interval", label)
+    return own.withColumn("_n", F.count("*").over(Window.partitionBy("site", "interval"))).where(F.col("_n") >= least).drop("_n")
+
+
 def snap_interval(df: DataFrame, unit: str = "month", least: int = 5, step: str = "30 MINUTES") -> DataFrame:
     """Whole months or years of the grid: a leading or trailing one with under `least` rows is dropped, others are completed with nulls."""
     own = df.withColumn("_u", F.date_trunc(unit, F.col("t").cast("timestamp")).cast("timestamp_ntz"))

@@ -94,6 +94,14 @@ def ts6(spark, d):
     return timegrid.outer_join_meteo(own, met).select("site", text().alias("t"), "co2_flux", "ta", "ta_meteo", "rh")
 
 
+@query("ts6_has_meteo", "SELECT site, count(x) > 0 AS has_meteo FROM (SELECT site, m.rh AS x FROM f FULL OUTER JOIN (SELECT * FROM m WHERE site <> 'S2') m USING (site, t)) GROUP BY 1", FLUX)
+def ts6_has(spark, d):
+    """One site's weather is missing."""
+    own = wide(spark, d).where("co2_flux is not null").select("site", "t", "co2_flux", "ta")
+    met = meteo(spark, d).where("co2_signal_strength > 40 and site <> 'S2'").select("site", "t", F.col("air").alias("ta"), "rh")
+    return timegrid.has_meteo(timegrid.outer_join_meteo(own, met), "rh")
+
+
 @query("ts6_outer_join_meteo_wins", f"SELECT site, {T}, co2_flux, m.ta AS ta, rh FROM f FULL OUTER JOIN m USING (site, t)", FLUX)
 def ts6b(spark, d):
     own = wide(spark, d).where("co2_flux is not null").select("site", "t", "co2_flux", "ta")

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import calendar, derive, filters, tables
+from ..operators import calendar, derive, filters, tables, timegrid
 from ..sources import sinks, station_files
 from .filter_queries import CHAIN, FLAGS, chain
 from .grid_queries import INTERP, ORDERS, days
@@ -51,8 +51,14 @@ def ag3(spark, d):
 @query("ag4_pair_columns", "SELECT site, round(avg(co2_flux), 8) AS co2_flux_f, round(avg(h), 8) AS h_f FROM wide GROUP BY 1")
 def ag4(spark, d):
     own = wide(spark, d).withColumns({"co2_flux_f": F.col("co2_flux"), "h_f": F.col("h"), "h_ff": F.lit(1)})
-    pairs = [c for c in own.columns if c.endswith("_f") and c[:-2] in own.columns]
-    return own.groupBy("site").agg(*(F.round(F.avg(c), 8).alias(c) for c in pairs))
+    return own.groupBy("site").agg(*(F.round(F.avg(c), 8).alias(c) for c in calendar.pair_columns(own.columns)))
+
+
+@query("ag1_calendar_aggregates", MEANS.format(mean="min(q)").replace(" AS q,", " AS q_lo, max(q) AS q_hi, count(q) AS q_n, CASE WHEN count(q) > 1 THEN round(stddev_samp(q), 8) END AS q_std,").replace("AS hour, q, q_sqc", "AS hour, q_lo, q_hi, q_n, q_std, q_sqc"), PAIRS)
+def ag1_aggregates(spark, d):
+    """Other functions than the mean, in the same pass."""
+    got = calendar.calendar_means(shipments(spark, d), {"q": "raw"}, aggregates={"lo": F.min, "hi": F.max, "n": F.count, "std": lambda c: F.round(F.stddev_samp(c), 8)})
+    return got.withColumn("q_sqc", F.round("q_sqc", 8)).select("site", "level", "year", "month", "dom", "doy", "hour", "q_lo", "q_hi", "q_n", "q_std", "q_sqc")
 
 
 @query("ag5_trim_short_years", "SELECT site, strftime(t, '%Y-%m-%d') AS t, n FROM (SELECT *, (lag(t) OVER w IS NULL AND lead(year(t)) OVER w <> year(t)) OR (lead(t) OVER w IS NULL AND lag(year(t)) OVER w <> year(t)) AS x FROM (SELECT 'R' || (o_custkey % 97) AS site, CAST(o_orderdate AS TIMESTAMP) AS t, count(*) AS n FROM orders GROUP BY 1, 2) WINDOW w AS (PARTITION BY site ORDER BY t)) WHERE NOT coalesce(x, false)")
@@ -76,9 +82,19 @@ def ag8(spark, d):
     return sinks.summary(filters.collapse_flags(chain(spark, d), FLAGS))
 
 
-@query("snk5_write_summary", f"SELECT site, var, count(*) AS rows, count(*) FILTER (kept IS NULL) AS coded FROM k GROUP BY 1, 2", SUMMARY)
+@query("snk5_write_summary", "SELECT site, var, count(*) AS rows, count(*) FILTER (kept IS NULL) AS coded FROM k GROUP BY 1, 2", SUMMARY)
 def snk5(spark, d):
-    return sinks.summary(filters.collapse_flags(chain(spark, d), FLAGS)).groupBy("site", "var").agg(F.count("*").alias("rows"), F.count_if(F.col("filtered") == -9999).alias("coded"))
+    """Counted in the files as they come back."""
+    back = exported(sinks.summary(filters.collapse_flags(chain(spark, d), FLAGS)), ["site"])
+    return back.groupBy("site", "var").agg(F.count("*").alias("rows"), F.count_if(F.col("filtered") == -9999).alias("coded"))
+
+
+@query("ag8_summary_variables", f"SELECT site, regexp_replace(var, '^(ta|rh|vpd|swin|ppfd|p)(_[1-9])+$', '\\1') AS var, CASE WHEN var LIKE 'ppfd%' THEN 'rg' ELSE regexp_replace(var, '^(ta|rh|vpd|swin|ppfd|p)(_[1-9])+$', '\\1') END AS mean_name, {T}, value FROM ix WHERE var NOT IN (SELECT var FROM ix i WHERE i.site = ix.site AND i.var = 'ta_2_1_1' AND EXISTS (SELECT 1 FROM ix j WHERE j.site = i.site AND j.var = 'ta_1_1_1'))", "ix AS (SELECT site, t, value, CASE WHEN var = 'ta' THEN CASE WHEN hour(t) < 12 AND site <> 'S1' THEN 'ta_1_1_1' ELSE 'ta_2_1_1' END WHEN var = 'h' THEN 'ppfd_1_1_1' WHEN var = 'p_rain' THEN 'p_3' ELSE var END AS var FROM obs)")
+def ag8_variables(spark, d):
+    """Sites with two sensors of ta, one without the first."""
+    v, first = F.col("var"), (F.hour("t") < 12) & (F.col("site") != "S1")
+    var = F.when(v == "ta", F.when(first, "ta_1_1_1").otherwise("ta_2_1_1")).when(v == "h", "ppfd_1_1_1").when(v == "p_rain", "p_3").otherwise(v)
+    return sinks.summary_variables(obs(spark, d).withColumn("var", var)).select("site", "var", "mean_name", text().alias("t"), "value")
 
 
 @query("ag9_compare_station_stats", "SELECT var, site, round(mean, 8) AS mean, abs(mean - rm) > 2 * rs AS off, abs(mean - rm) > 2 * greatest(std, rs) AS far_off FROM (SELECT site, var, avg(value) AS mean, stddev_samp(value) AS std FROM obs GROUP BY 1, 2) JOIN (SELECT var, avg(value) + 3 AS rm, stddev_samp(value) / 2 AS rs FROM obs WHERE site = 'S0' GROUP BY 1) USING (var)")
@@ -216,6 +232,15 @@ def src5(spark, d):
     return table(spark, d, "supplier").select(name.alias("name")).select("name", site.alias("site"), version.alias("version"))
 
 
+@query("pr7_align_columns", "SELECT CAST(pos - 1 AS INTEGER) AS pos, name FROM (SELECT unnest(['site', 't', 'co2_flux', 'co2_flux_sqc', 'nee', 'h', 'h_sqc', 'le', 'ta', 'swin', 'rh', 'rain', 'air', 'u_star', 'co2_signal_strength', 'ch4_signal_strength', 'other']) AS name, generate_subscripts(['site', 't', 'co2_flux', 'co2_flux_sqc', 'nee', 'h', 'h_sqc', 'le', 'ta', 'swin', 'rh', 'rain', 'air', 'u_star', 'co2_signal_strength', 'ch4_signal_strength', 'other'], 1) AS pos) WHERE (SELECT count(*) FROM wide) > 0")
+def pr7_align(spark, d):
+    """Completeness columns are put right after their values by a rule; the table's columns as it then has them."""
+    own = wide(spark, d)
+    both = own.withColumns({"other": F.lit(1), "h_sqc": F.lit(1.0), "co2_flux_sqc": F.lit(1.0)})
+    both = both.select(*tables.align_columns(own.columns, ["other", "h_sqc", "co2_flux_sqc"], lambda c: c[:-4] if c.endswith("_sqc") else None))
+    return both.agg(F.count("*").alias("n")).where("n > 0").select(F.posexplode(F.array(*map(F.lit, both.columns))).alias("pos", "name"))
+
+
 # ---- readers, over files that Spark writes from the tables
 
 
@@ -236,12 +261,12 @@ def exported(df, by: list[str], units: dict[str, str] | None = None):
     return df.sparkSession.read.schema(df.schema).option("header", True).csv(path).select(*df.columns)
 
 
-def written(spark, rows, header: list[str]) -> str:
-    """A folder with one text file a site: the header lines, then `line` in order of t."""
+def written(spark, rows, header: list[str], path: str | None = None) -> str:
+    """A folder (a new one, or more files in the given one) with one text file a site: the header lines, then `line` in order of t."""
     head = rows.select("site").distinct().withColumn("k", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(h).alias("line")) for i, h in enumerate(header))))).select("site", "k.i", F.lit(None).cast("timestamp_ntz").alias("t"), "k.line")
     both = head.unionByName(rows.select("site", F.lit(len(header)).alias("i"), "t", "line"))
-    path = folder(spark)
-    both.repartition("site").sortWithinPartitions("site", "i", "t").select("site", F.col("line").alias("value")).write.partitionBy("site").text(path)
+    path = path or folder(spark)
+    both.repartition("site").sortWithinPartitions("site", "i", "t").select("site", F.col("line").alias("value")).write.mode("append").partitionBy("site").text(path)
     return path
 
 
@@ -272,10 +297,34 @@ def src1(spark, d):
     return station_files.read_station_csv(spark, path, ["when"], ["d.M.yyyy H:mm", "yyyy-M-d H:mm"], 0, 1, {"H": "h"}, ",", None).select("site", "var", text().alias("t"), "value")
 
 
+@query("src1_stamp_converter", f"SELECT site, var, {T}, value FROM long", FLUXES)
+def src1_converter(spark, d):
+    """Stamps as days and seconds since 1970, made times by the caller's function."""
+    seconds = F.unix_seconds(F.col("t").cast("timestamp"))
+    line = F.concat_ws(",", F.floor(seconds / 86400).cast("string"), cell(F.col("co2_flux")), (seconds % 86400).cast("string"), cell(F.col("h")))
+    path = written(spark, wide(spark, d).withColumn("line", line), ["day,co2_flux,second,H"])
+    parts = lambda text: F.split(text, " ")
+    convert = lambda text: F.timestamp_seconds(parts(text)[0].try_cast("long") * 86400 + parts(text)[1].try_cast("long"))
+    return station_files.read_station_csv(spark, path, ["day", "second"], step=None, converter=convert).select("site", "var", text().alias("t"), "value")
+
+
+@query("src3_read_folder", f"{READ} WHERE var <> 'h' AND site <> 'S3' UNION ALL SELECT site, v, {T}, rh FROM meteo_grid CROSS JOIN (VALUES ('rh'), ('h')) u(v) WHERE site <> 'S3' UNION ALL SELECT site, 'co2_flux', {T}, value FROM lg WHERE var = 'co2_flux' AND site = 'S3'", FLUXES + ", meteo_grid AS (SELECT site, t, rh FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL '30 minutes')) AS t FROM meteo GROUP BY 1) LEFT JOIN meteo USING (site, t))")
+def src3_folder(spark, d):
+    """One folder: logger and weather files of three sites (whose H is the weather files'), and an exchange file of the fourth."""
+    own = wide(spark, d)
+    line = F.concat_ws(",", F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit("1"), cell(F.col("co2_flux")), cell(F.col("h")))
+    path = written(spark, own.where("site <> 'S3'").withColumn("line", line), ["TOA5,x", "TIMESTAMP,RECORD,FC,H", "TS,RN,umol,W", ",,,"])
+    weather = F.concat_ws(",", F.date_format("t", "yyyy-MM-dd HHmm"), cell(F.col("rh")), cell(F.col("rh")))
+    written(spark, meteo(spark, d).where("site <> 'S3'").withColumn("line", weather), ["TIMESTAMP_1,RH_1_1_1,h", "yyyy-mm-dd HHMM,%,W"], path)
+    exchange = F.concat_ws(",", F.date_format("t", "yyyyMMddHHmm"), F.date_format(F.expr("t + INTERVAL 30 MINUTES"), "yyyyMMddHHmm"), cell(F.col("co2_flux")))
+    written(spark, own.where("site = 'S3'").withColumn("line", exchange), ["TIMESTAMP_START,TIMESTAMP_END,FC_1_1_1"], path)
+    return station_files.read_folder(spark, path).select("site", "var", text().alias("t"), "value")
+
+
 @query("src2_guess_table_start", "SELECT DISTINCT 'S' || (user_id % 4) AS site, 2 AS start FROM events")
 def src2(spark, d):
     path = written(spark, wide(spark, d).withColumn("line", F.concat_ws(",", text(), cell(F.col("h")), cell(F.col("le")))), ["station", "made,by", "t,h,le"])
-    got = station_files.guess_table_start(station_files.lines(spark, path))
+    got = station_files.guess_table_start(station_files.texts(spark, path))
     return got.select(F.regexp_extract("file", "site=([^/]*)", 1).alias("site"), "start")
 
 
@@ -332,6 +381,28 @@ def snk2(spark, d):
     return exported(sinks.ias(level3_wide(spark, d)).withColumn("VPD_PI_1_1_1", F.round("VPD_PI_1_1_1", 8)), ["site", "year"])
 
 
+@query("snk2_write_ias_months", "SELECT site, interval, CAST(row_number() OVER (PARTITION BY site, interval ORDER BY t) AS INTEGER) AS row, strftime(t, '%Y%m%d%H%M') AS \"TIMESTAMP_START\", coalesce(co2_flux, -9999) AS \"FC_1_1_1\", rh AS \"RH_1_1_1\" FROM (SELECT *, strftime(t, '%m.%Y') AS interval FROM wide) QUALIFY count(*) OVER (PARTITION BY site, interval) >= 5")
+def snk2_months(spark, d):
+    """One file for each site and month, read back line by line: row 0 holds the names."""
+    path = folder(spark)
+    own = sinks.ias(timegrid.split_by_interval(level3_wide(spark, d), "month"), ["interval"]).select("site", "interval", "TIMESTAMP_START", "FC_1_1_1", "RH_1_1_1")
+    sinks.write_tables(own, path, ["site", "interval"], ["TIMESTAMP_START"])
+    files = spark.read.format("binaryFile").load(path).select("site", F.col("interval").cast("string"), F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("row", "line"))
+    cells = F.split("line", ",")
+    got = files.where("row > 0 and line <> ''").select("site", "interval", "row", cells[0].alias("TIMESTAMP_START"), cells[1].cast("double").alias("FC_1_1_1"), cells[2].cast("double").alias("RH_1_1_1"))
+    return got
+
+
+@query("snk6_write_averages_files", "SELECT site, 'site,level,year,month,dom,doy,hour,q,q_sqc' AS names, '--,--,--,--,--,--,--,pieces,--' AS units, count(*) AS n FROM (SELECT site FROM lineitem_t GROUP BY site, year(t), month(t), hour(t) + minute(t) / 60) GROUP BY 1", PAIRS)
+def snk6_files(spark, d):
+    """A site's hourly averages as one file with a line of names and one of units."""
+    path = folder(spark)
+    own = sinks.averages(means(spark, d), "hourly", ["q", "q_sqc"]).withColumns({"station": F.col("site"), "level": F.lit("hourly")}).select("station", "site", "level", "year", "month", "dom", "doy", "hour", "q", "q_sqc")
+    sinks.write_tables(own, path, ["station"], ["year", "month", "hour"], {"q": "pieces"})
+    rows = F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: x != "")
+    return spark.read.format("binaryFile").load(path).select(F.col("station").alias("site"), rows[0].alias("names"), rows[1].alias("units"), (F.size(rows) - 2).cast("long").alias("n"))
+
+
 @query("snk3_write_fat", "SELECT site, year, \"DoY\", period, var, value, gapfilled FROM (SELECT site, CAST(year(t) AS INTEGER) AS year, round(dayofyear(t) + hour(t) / 24 + minute(t) / 24 / 60, 3) AS \"DoY\", CAST(month(t) % 12 // 3 + 1 AS INTEGER) AS period, var, coalesce(value, -99999) AS value, round(coalesce(filled, CASE WHEN count(value) OVER w >= 4 THEN avg(value) OVER w END, -99999), 8) AS gapfilled, count(*) OVER (PARTITION BY site, var, year(t)) AS n FROM i2 WINDOW w AS (PARTITION BY site, var, slot ORDER BY t ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING)) WHERE n >= 5", INTERP)
 def snk3(spark, d):
     return exported(sinks.fat(gridded(spark, d)).withColumn("gapfilled", F.round("gapfilled", 8)), ["site", "year"])

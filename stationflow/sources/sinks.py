@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,13 +24,13 @@ def level3(wide: DataFrame) -> DataFrame:
     return own.select("site", F.year("t").alias("Year"), F.dayofyear("t").alias("DoY"), hour.alias("Hour"), *(coded(F.col(a)).alias(b) for a, b in names.items() if a in own.columns))
 
 
-def ias(wide: DataFrame) -> DataFrame:
-    """Level 2, of unfiltered data: interval stamps, DTime, exchange names; vapour pressure deficit in hPa."""
+def ias(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Level 2, of unfiltered data: interval stamps, DTime, exchange names; vapour pressure deficit in hPa. keep: columns that stay beside the site."""
     names = {"co2_flux": "FC_1_1_1", "le": "LE_1_1_1", "h": "H_1_1_1", "u_star": "USTAR_1_1_1", "ta": "TA_1_1_1", "rh": "RH_1_1_1", "swin": "SW_IN_1_1_1", "p_rain": "P_RAIN_1_1_1"}
     labels = interval_labels()
     own = [coded(F.col(a)).alias(b) for a, b in names.items() if a in wide.columns]
     vpd = [coded(F.col("vpd") * 10).alias("VPD_PI_1_1_1")] if "vpd" in wide.columns else []
-    return wide.select("site", F.year("t").alias("year"), labels["timestamp_start"].alias("TIMESTAMP_START"), labels["timestamp_end"].alias("TIMESTAMP_END"), labels["dtime"].alias("DTime"), *own, *vpd)
+    return wide.select("site", *keep, F.year("t").alias("year"), labels["timestamp_start"].alias("TIMESTAMP_START"), labels["timestamp_end"].alias("TIMESTAMP_END"), labels["dtime"].alias("DTime"), *own, *vpd)
 
 
 def fat(long: DataFrame, least: int = 5) -> DataFrame:
@@ -53,6 +55,20 @@ def summary(df: DataFrame, ok: str = "ok") -> DataFrame:
     return own.select("site", F.date_format("t", "yyyy-MM-dd").alias("date"), F.date_format("t", "HH:mm").alias("time"), F.dayofyear("t").alias("doy"), "var", coded(F.col("value")).alias("raw"), coded(F.col("kept")).alias("filtered"), F.col(ok).alias("flag"), *means)
 
 
+#: Weather variables of the summary, which come with indices.
+WEATHER = ("ta", "rh", "vpd", "swin", "ppfd", "p")
+
+
+def summary_variables(df: DataFrame) -> DataFrame:
+    """Series (site, var, ...) under their names in the summary: of a weather variable's indexed series (`ta_1_1_1`, up to four indices of 1 to 9) each site's first counts and loses its indices, the others go. mean_name: what its diurnal means are called (ppfd's: rg)."""
+    stem = F.regexp_extract("var", f"^({'|'.join(WEATHER)})(_[1-9]){{1,4}}$", 1)
+    own = df.withColumn("_stem", F.when(stem != "", stem))
+    first = own.where("_stem is not null").groupBy("site", "_stem").agg(F.min("var").alias("_first"))
+    own = own.join(first, ["site", "_stem"], "left").where("_stem is null or var = _first")
+    var = F.coalesce("_stem", "var")
+    return own.withColumns({"var": var, "mean_name": F.when(var == "ppfd", "rg").otherwise(var)}).drop("_stem", "_first")
+
+
 def averages(means: DataFrame, level: str, values: list[str]) -> DataFrame:
     """One level of the calendar means, Hour as HH:mm, codes for null."""
     minutes = F.round(F.col("hour") * 60).cast("int")
@@ -78,3 +94,16 @@ def write(df: DataFrame, path: str, by: list[str], fmt: str = "csv", units: dict
     df.write.mode("overwrite").partitionBy(*by).options(header=True).format(fmt).save(path)
     if units:
         df.sparkSession.createDataFrame(list(units.items()), "column string, unit string").coalesce(1).write.mode("overwrite").json(f"{path}_units")
+
+
+def write_tables(df: DataFrame, path: str, by: Sequence[str], order: Sequence[str], units: Mapping[str, str] | None = None, separator: str = ",", code: str = "-9999") -> None:
+    """One text file for each combination of `by`, in its folder: a line of names, one of units (if given; -- for columns without), then the rows in order; null as the code.
+
+    Rows are brought together by `by` once and written as they are sorted, so a combination has to fit the disk of one task: a station's years do.
+    """
+    names = [c for c in df.columns if c not in by]
+    head = [separator.join(names), *([separator.join(units.get(c, "--") for c in names)] if units else [])]
+    line = F.concat_ws(separator, *(F.coalesce(F.col(c).cast("string"), F.lit(code)) for c in names))
+    first = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1
+    own = df.withColumn("_first", first).withColumn("value", F.when(F.col("_first"), F.concat_ws("\n", *map(F.lit, head), line)).otherwise(line))
+    own.sortWithinPartitions(*by, *order).select(*by, "value").write.mode("overwrite").partitionBy(*by).text(path)

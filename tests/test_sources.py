@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.operators import calendar, filters, gapfill, partition, timegrid, ustar
+from stationflow.operators import calendar, filters, gapfill, partition, tables, timegrid, ustar
 from stationflow.sources import sinks, station_files
 
 T0 = dt.datetime(2022, 1, 1)
@@ -135,3 +135,113 @@ def test_stray_stamps_of_a_file(spark, tmp_path):
         station_files.read_layout(spark, str(tmp_path), "ias").collect()
     left = station_files.read_layout(spark, str(tmp_path), "ias", strict=False)
     assert left.where("value is not null").count() == 19
+
+
+def biomet(path, start, n, step=HALF, names="TIMESTAMP_1,Ta_1_1_1,RH_1_1_1,H"):
+    path.write_text(f"{names}\nyyyy-mm-dd HHMM,,,\n" + "".join(f"{start + i * step:%Y-%m-%d %H%M},{i},{50 + i},7\n" for i in range(n)))
+
+
+def csf(path, start, n):
+    path.write_text("TOA5,x\nTIMESTAMP,RECORD,FC,H\nTS,RN,umol,W\n,,,\n" + "".join(f'{start + i * HALF:%Y-%m-%d %H:%M:%S},{i},{i},{i}\n' for i in range(n)))
+
+
+def series(df):
+    got = {}
+    for r in df.orderBy("site", "var", "t").collect():
+        got.setdefault((r["site"], r["var"]), []).append(r["value"])
+    return got
+
+
+def test_a_folder_of_mixed_layouts(spark, tmp_path):
+    """Logger files with weather files, full output, and an exchange file, each read by its own header; the weather files' H counts."""
+    a, b, c = (tmp_path / f"site={x}" for x in "abc")
+    a.mkdir(), b.mkdir(), c.mkdir()
+    csf(a / "CSF_tv_fy4_2024.csv", T0, 4)
+    biomet(a / "Biomet_tv_fy4_2023.csv", T0, 10, HALF / 3)
+    (b / "eddy pro b_2022.csv").write_text("file_info,,,,\nfilename,date,time,co2_flux,u*\n,[yyyy-mm-dd],[HH:MM],[umol],\n" + "".join(f"f,{T0 + i * HALF:%d.%m.%Y,%H:%M},{i},0.5\n" for i in range(3)))
+    ias(c / "c_2022_v01.csv", T0, 3)
+    files = station_files.texts(spark, str(tmp_path))
+    kinds = {r["file"]: (r["site"], r["layout"], r["mode"], r["problem"]) for r in station_files.known_files(files).collect()}
+    assert kinds == {
+        "site=a/CSF_tv_fy4_2024.csv": ("a", "csf", "CSF_AND_BIOMET", None), "site=a/Biomet_tv_fy4_2023.csv": ("a", "biomet", "CSF_AND_BIOMET", None),
+        "site=b/eddy pro b_2022.csv": ("b", "eddypro", "EDDYPRO_FO", None), "site=c/c_2022_v01.csv": ("c", "ias", "IAS", None),
+    }
+    assert series(station_files.read_folder(spark, str(tmp_path))) == {
+        ("a", "co2_flux"): [0.0, 1.0, 2.0, 3.0], ("a", "h"): [7.0] * 4, ("a", "rh"): [50.0, 53.0, 56.0, 59.0], ("a", "ta"): [0.0, 3.0, 6.0, 9.0],
+        ("b", "co2_flux"): [0.0, 1.0, 2.0], ("b", "u_star"): [0.5] * 3, ("c", "co2_flux"): [1.0, 2.0, 3.0], ("c", "vpd"): [2.0] * 3,
+    }
+
+
+def test_folders_that_fit_no_import(spark, tmp_path):
+    """Unknown files, weather alone, and two modes at a site are told; strict reading fails, else the rest is read."""
+    csf(tmp_path / "s1_CSF_2024_a.csv", T0, 3)
+    biomet(tmp_path / "weather.csv", T0, 3)
+    (tmp_path / "notes.csv").write_text("hello,world\n1,2\n")
+    (tmp_path / "blank.csv").write_text("\n\n")
+    problems = lambda path, types=None: {r["file"]: (r["site"], r["problem"]) for r in station_files.known_files(station_files.texts(spark, str(path)), types).collect()}
+    assert problems(tmp_path) == {"s1_CSF_2024_a.csv": ("s1", None), "weather.csv": ("s1", None), "notes.csv": ("unknown_site", "unknown layout"), "blank.csv": ("unknown_site", "unknown layout")}
+    with pytest.raises(Exception, match="Can't import .*: unknown layout"):
+        station_files.read_folder(spark, str(tmp_path)).collect()
+    assert set(series(station_files.read_folder(spark, str(tmp_path), strict=False))) == {("s1", v) for v in ("co2_flux", "h", "ta", "rh")}
+    met = tmp_path / "site=m"
+    met.mkdir()
+    biomet(met / "weather.csv", T0, 3)
+    assert problems(met) == {"site=m/weather.csv": ("m", "no import mode")}
+    two = tmp_path / "site=two"
+    two.mkdir()
+    csf(two / "a.csv", T0, 3)
+    ias(two / "b.csv", T0, 3)
+    assert {p for _, p in problems(two).values()} == {"several import modes"}
+    assert {p for _, p in problems(two, {"a.csv": "ias"}).values()} == {None}
+
+
+def test_a_header_row_of_two_kinds_is_unknown(spark):
+    """Over half of the cells of one row, by one kind: two rows or kinds that fit are no answer; repeated cells count once."""
+    rows = [("ias", "TIMESTAMP_START,FC_1_1_1,TA_9_1_1"), ("csf", "x\nTIMESTAMP,FC,FC,FC,nope"), (None, "TIMESTAMP,nope,nix"), (None, "TIMESTAMP,FC\nTIMESTAMP,FC"), ("biomet", "TIMESTAMP_1,RH_1_1_1"), (None, "filename,H,LE,VPD"), (None, "1\n2\n3\n4\nTIMESTAMP,FC"), (None, "")]
+    df = spark.createDataFrame(rows, "want string, value string").select("want", station_files.file_layout(F.split("value", "\n")).alias("got"))
+    assert [r["got"] for r in df.collect()] == [r["want"] for r in df.collect()]
+
+
+def test_stamps_by_a_converter(spark, tmp_path):
+    """Seconds since 1970 in two columns, days and seconds; a file that the converter can't read fails the job."""
+    day = T0.toordinal() - dt.date(1970, 1, 1).toordinal()
+    (tmp_path / "site=a").mkdir()
+    (tmp_path / "site=a" / "x.csv").write_text("day,h,second\n" + "".join(f"{day},{i},{i * 1800}\n" for i in range(3)))
+    convert = lambda text: F.timestamp_seconds(F.split(text, " ")[0].try_cast("long") * 86400 + F.split(text, " ")[1].try_cast("long"))
+    read = lambda: station_files.read_station_csv(spark, str(tmp_path), ["day", "second"], converter=convert)
+    assert [(r["var"], r["t"], r["value"]) for r in read().orderBy("t").collect()] == [("h", T0 + i * HALF, float(i)) for i in range(3)]
+    (tmp_path / "site=a" / "y.csv").write_text("day,h,second\nnever,1,2\n")
+    with pytest.raises(Exception, match="None of date or time formats worked"):
+        read().collect()
+
+
+def test_files_are_dealt_out_once(spark, tmp_path):
+    """Up to the cells, the reader's one exchange is that of the files; the rest brings cells to their series."""
+    ias(tmp_path / "c_2022_v01.csv", T0, 3)
+    plan = station_files.read_layout(spark, str(tmp_path), "ias")._jdf.queryExecution().executedPlan().toString()
+    keys = {line.split("hashpartitioning(")[1].split(",")[0].split("#")[0] for line in plan.splitlines() if "hashpartitioning(" in line}
+    assert keys == {"file", "site"}
+    assert all("hashpartitioning(file#" not in line or "REPARTITION_BY_COL" in line for line in plan.splitlines())
+
+
+def test_a_file_for_each_site_and_interval(spark, tmp_path):
+    """Names, units and rows, line by line; short months are left out; the label of all years."""
+    rows = [("a", T0 + i * HALF, float(i) if i != 1 else None) for i in range(6)] + [("a", dt.datetime(2022, 2, 1), 9.0)] + [("b", dt.datetime(2023, 12, 31, 22) + i * HALF, i / 2) for i in range(10)]
+    df = spark.createDataFrame(rows, "site string, t timestamp_ntz, h double")
+    labels = lambda kind: {(r["site"], r["interval"]): r["count"] for r in timegrid.split_by_interval(df, kind).groupBy("site", "interval").count().collect()}
+    assert labels("month") == {("a", "01.2022"): 6, ("b", "01.2024"): 6}
+    assert labels("year") == {("a", "2022"): 7, ("b", "2024"): 6}
+    assert labels("all") == {("a", "2022"): 7, ("b", "23-24"): 10}
+    own = timegrid.split_by_interval(df, "month").select("site", "interval", F.date_format("t", "yyyyMMddHHmm").alias("t"), "h")
+    sinks.write_tables(own, str(tmp_path / "out"), ["site", "interval"], ["t"], {"h": "W m-2"})
+    files = sorted((tmp_path / "out").glob("site=*/interval=*/*.txt"))
+    assert len(files) == 2
+    assert files[0].read_text() == "t,h\n--,W m-2\n" + "".join(f"{T0 + i * HALF:%Y%m%d%H%M},{'-9999' if i == 1 else float(i)}\n" for i in range(6))
+    assert files[1].read_text().splitlines()[:3] == ["t,h", "--,W m-2", "202401010000,2.0"]
+
+
+def test_pairs_and_places_of_columns():
+    assert calendar.pair_columns(["NEE", "NEE_f", "GPP_f", "H_ff"]) == {"NEE_f": "NEE", "GPP_f": None}
+    with pytest.raises(ValueError, match="LE"):
+        calendar.pair_columns(["NEE", "NEE_f", "LE_f"])
+    assert tables.align_columns(["H_f", "U_f", "LE_f"], ["x", "LE_sqc", "H_sqc"], lambda c: c.replace("_sqc", "_f")) == ["H_f", "H_sqc", "U_f", "LE_f", "LE_sqc", "x"]
