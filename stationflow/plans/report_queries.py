@@ -387,10 +387,10 @@ def snk2_months(spark, d):
     path = folder(spark)
     own = sinks.ias(timegrid.split_by_interval(level3_wide(spark, d), "month"), ["interval"]).select("site", "interval", "TIMESTAMP_START", "FC_1_1_1", "RH_1_1_1")
     sinks.write_tables(own, path, ["site", "interval"], ["TIMESTAMP_START"])
-    files = spark.read.format("binaryFile").load(path).select("site", F.col("interval").cast("string"), F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("row", "line"))
+    month = F.regexp_extract("path", "interval=([^/]*)", 1)  # as text: a partition value would be read as a number
+    files = spark.read.format("binaryFile").load(path).select("site", month.alias("interval"), F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("row", "line"))
     cells = F.split("line", ",")
-    got = files.where("row > 0 and line <> ''").select("site", "interval", "row", cells[0].alias("TIMESTAMP_START"), cells[1].cast("double").alias("FC_1_1_1"), cells[2].cast("double").alias("RH_1_1_1"))
-    return got
+    return files.where("row > 0 and line <> ''").select("site", "interval", "row", cells[0].alias("TIMESTAMP_START"), cells[1].cast("double").alias("FC_1_1_1"), cells[2].cast("double").alias("RH_1_1_1"))
 
 
 @query("snk6_write_averages_files", "SELECT site, 'site,level,year,month,dom,doy,hour,q,q_sqc' AS names, '--,--,--,--,--,--,--,pieces,--' AS units, count(*) AS n FROM (SELECT site FROM lineitem_t GROUP BY site, year(t), month(t), hour(t) + minute(t) / 60) GROUP BY 1", PAIRS)
