@@ -435,6 +435,18 @@ def test_lm_scores_against_plain_loops(spark):
         assert abs(total - r["score"]) < 1e-3
 
 
+def test_lm_scores_do_not_depend_on_the_split(spark):
+    rng = random.Random(5)
+    common = [f"w{i}" for i in range(60)]
+    texts = [" ".join(common[(start + j * j) % 60] if rng.random() < 0.8 else f"r{rng.randrange(500)}" for j in range(rng.randrange(5, 80))) for start in (rng.randrange(60) for _ in range(400))] + ["same words again"] * 50
+    docs = frame(spark, texts).withColumn("held_out", langid.held_out(F.col("doc_id"), 1))
+    per = {n: {r["doc_id"]: r for r in lm.score(docs.repartition(n), ~F.col("held_out"), head=300, core=100, keep=("held_out",)).collect()} for n in (1, 8, 64)}
+    for n in (8, 64):
+        assert all(abs(r["score"] - per[1][i]["score"]) < 1e-6 * r["n_tokens"] for i, r in per[n].items())
+    held = [r for r in per[64].values() if r["held_out"]]
+    assert sum(r["score"] - r["base_score"] for r in held) > 0.1 * sum(r["n_tokens"] for r in held)
+
+
 def test_neighbours_recall_and_ties(spark):
     rng = np.random.default_rng(0)
     vectors = rng.standard_normal((1500, 16)).astype(np.float32)
