@@ -30,6 +30,12 @@ from pyspark.sql import functions as F
 from .common import LOWER, Words, bounded_batches, chunks, components, cut, mix
 
 U64 = np.uint64
+#: Words or shingles that are worked on at once: what a long text needs beside its characters and hashes does not grow with it.
+SLICE = 1 << 18
+
+
+def slices(n: int) -> list[slice]:
+    return [slice(at, min(n, at + SLICE)) for at in range(0, n, SLICE)]
 
 
 def joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -38,22 +44,24 @@ def joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     ends = np.cumsum(lens + 1) - 1
     starts = ends - lens
     out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 32, np.uint8)
-    at = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-    out[at + np.repeat(starts, lens)] = LOWER[words.buf[at + np.repeat(words.starts, lens)]]
+    for s in slices(len(lens)):
+        own = lens[s]
+        at = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+        out[at + np.repeat(starts[s], own)] = LOWER[words.buf[at + np.repeat(words.starts[s], own)]]
     return out.tobytes(), starts, ends
 
 
 def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Each document's fingerprint; document i has hashes[first[i]:first[i + 1]]."""
     sizes = np.diff(first)
-    out = np.zeros(len(sizes), np.uint64)
-    full = np.flatnonzero(sizes)
-    if len(full):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, first[:-1][full], axis=0, dtype=np.int32)
-        packed = np.packbits(2 * ones > sizes[full, None], axis=1, bitorder="little")
-        out[full] = np.ascontiguousarray(packed).view(np.uint64).ravel()
-    return out
+    ones = np.zeros((len(sizes), 64), np.int64)
+    for s in slices(len(hashes)):
+        edges = np.clip(first, s.start, s.stop) - s.start
+        full = np.flatnonzero(np.diff(edges))
+        bits = np.unpackbits(hashes[s].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[full] += np.add.reduceat(bits, edges[full], axis=0, dtype=np.int32)
+    packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
+    return np.ascontiguousarray(packed).view(np.uint64).reshape(-1)
 
 
 def shingle_hashes(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,9 +73,11 @@ def shingle_hashes(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.
     first = np.concatenate([[0], np.cumsum(per)])
     lead = np.arange(first[-1]) - np.repeat(first[:-1] - words.first[:-1], per)
     last = np.minimum(lead + shingle, np.repeat(words.first[1:], per)) - 1
-    spans = map(slice, starts[lead].tolist(), ends[last].tolist())
-    digests = map(xxhash.xxh64_intdigest, map(text.__getitem__, spans), repeat(42))
-    return np.fromiter(digests, np.uint64, int(first[-1])), first
+    out = np.zeros(int(first[-1]), np.uint64)
+    for s in slices(len(out)):
+        spans = map(slice, starts[lead[s]].tolist(), ends[last[s]].tolist())
+        out[s] = np.fromiter(map(xxhash.xxh64_intdigest, map(text.__getitem__, spans), repeat(42)), np.uint64, s.stop - s.start)
+    return out, first
 
 
 def text_fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int) -> np.ndarray:

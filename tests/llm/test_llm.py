@@ -435,6 +435,17 @@ def test_lm_scores_against_plain_loops(spark):
         assert abs(total - r["score"]) < 1e-3
 
 
+def test_fingerprints_in_slices_are_those_of_whole_texts(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", "one", "Two  words", " ", *(" ".join(rng.choice("abcdefG") * rng.randrange(1, 4) for _ in range(rng.randrange(0, 90))) for _ in range(40)), ""]
+    data = [t.encode() for t in texts]
+    buf, offs = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+    for size in (1, 7, 64, 1 << 18):
+        monkeypatch.setattr(simhash, "SLICE", size)
+        assert [int(x) for x in simhash.text_fingerprints(buf, offs, 3)] == [fingerprint(t, 3) for t in texts]
+    assert len(simhash.text_fingerprints(buf[:0], np.array([0]), 3)) == 0
+
+
 def test_lm_scores_do_not_depend_on_the_split(spark):
     rng = random.Random(5)
     common = [f"w{i}" for i in range(60)]
