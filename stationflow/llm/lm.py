@@ -38,12 +38,13 @@ LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 15
 SPELLINGS = 1 << 16
 #: Tokens of a task that adds up a matrix.
 TASK = 1 << 22
-#: Tokens of a batch, and of one whose expected counts are added up; rows of a matrix in a row of partial sums; parts in which tasks are first added up.
-BATCH, WIDE, BLOCK, SALT = 16384, 65536, 128, 64
+#: Tokens of a batch; rows of a matrix in a row of partial sums; parts in which tasks are first added up.
+BATCH, BLOCK, SALT = 4096, 128, 64
 #: Share of the counts' logarithm that a weight starts with; pseudo-counts of a bucket's start and of each step; grain of a document's signs, so that their sums are exact.
 START, PRIOR, GRAIN = 0.4, 16.0, 1024
 #: Words whose company is looked at, and numbers by which a word's company is told: of its documents, of the word before, of the word after.
 COMPANY, SIGNS = 256, (16, 8, 8)
+ONES = np.ones(CLASSES, np.float32)
 END = np.int64(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
 _signs = np.random.Generator(np.random.PCG64(13)).choice(np.array([-1, 1], np.float32), (COMPANY + 1, sum(SIGNS)))
 _signs[COMPANY] = 0
@@ -87,7 +88,7 @@ class Head:
         common = int(votes.sum(axis=0).argmax()) if votes.any() else CLASSES - 1
         self.by_spelling = np.where(votes.any(axis=1), votes.argmax(axis=1), common)
         cls[~inside] = self.by_spelling[self.spelling[~inside]]
-        self.cls = cls
+        self.cls, self.symbol = cls, np.where(inside, self.rank, self.core + cls)
         self.size = np.bincount(cls, self.counts, minlength=CLASSES) + 0.5
         for e, n, v in tail:
             self.size[self.by_spelling[e]] += n + 0.5 * v
@@ -100,11 +101,15 @@ class Head:
         if self.lead is None:
             self.shift = U64(63 - len(self.h).bit_length())
             places = np.bincount(self.place(self.h), minlength=1 << 64 - int(self.shift))
-            self.lead, self.most = np.concatenate([[0], np.cumsum(places)]).astype(np.int32), int(places.max())
+            self.lead = np.concatenate([[0], np.cumsum(places)]).astype(np.int32)
             self.ended = np.append(self.h, np.iinfo(np.int64).max)
-        at = self.lead[self.place(h)]
-        for _ in range(self.most):
-            at += self.ended[at] < h
+        at = np.take(self.lead, self.place(h))
+        less = np.take(self.ended, at) < h
+        at += less
+        left = np.flatnonzero(less)
+        while len(left):  # most are found by the first look
+            left = left[np.take(self.ended, at[left]) < h[left]]
+            at[left] += 1
         at = np.minimum(at, len(self.h) - 1)
         return np.where(self.h[at] == h, at, -1)
 
@@ -124,8 +129,7 @@ class Head:
 
     def symbols(self, at: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """What features see of a token: the word if it is of the core, else its class."""
-        rank = self.core_rank(at)
-        return np.where(rank >= 0, rank, self.core + cls)
+        return np.where(at >= 0, self.symbol[at], self.core + cls) if len(self.h) else self.core + cls
 
 
 def before(x: np.ndarray, first: np.ndarray, back: int, start) -> np.ndarray:
@@ -144,6 +148,15 @@ def features(symbols: np.ndarray, first: np.ndarray, start: int, buckets: int) -
     return (mix(raw + U64(1)) & U64(buckets - 1)).astype(np.int64)
 
 
+def distinct(h: np.ndarray, c: np.ndarray | None, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once, with the sum of its counts (None: of ones) and its ending."""
+    coded = pa.array(h).dictionary_encode()
+    back, u = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    ending = np.empty(len(u), e.dtype)
+    ending[back] = e
+    return u, np.bincount(back, c, minlength=len(u)).astype(np.int64), ending
+
+
 def vocabulary(docs: DataFrame) -> DataFrame:
     """h, c, e: the count and ending of every token of docs (column __x)."""
 
@@ -151,14 +164,11 @@ def vocabulary(docs: DataFrame) -> DataFrame:
         held: list = []
 
         def merged():
-            h, c, e = (np.concatenate(x) for x in zip(*held))
-            u, first, back = np.unique(h, return_index=True, return_inverse=True)
-            return u, np.bincount(back, c, minlength=len(u)).astype(np.int64), e[first]
+            return distinct(*(np.concatenate(x) for x in zip(*held)))
 
         for _, buf, offs in chunks(batches, "__x"):
             h, e, _ = tokens(buf, offs)
-            u, first, c = np.unique(h, return_index=True, return_counts=True)
-            held.append((u, c, e[first]))
+            held.append(distinct(h, None, e))
             if sum(len(x[0]) for x in held) > 1_000_000:
                 held = [merged()]
                 if len(held[0][0]) > 500_000:
@@ -208,7 +218,7 @@ def company(docs: DataFrame, shared) -> np.ndarray | None:
     def make(batches):
         head, out = shared.value, None
         for _, buf, offs in chunks(batches, "__x"):
-            out = np.zeros((head.core, wide)) if out is None else out
+            out = np.zeros((wide // 2, head.core), np.complex128) if out is None else out
             h, _, first = tokens(buf, offs)
             rank = head.core_rank(head.look(h))
             seen = np.where((rank >= 0) & (rank < COMPANY), rank, COMPANY)
@@ -220,14 +230,11 @@ def company(docs: DataFrame, shared) -> np.ndarray | None:
             following = np.concatenate([seen[1:], [COMPANY]])
             following[first[1:] - 1] = COMPANY
             own = np.flatnonzero(rank >= 0)
-            own = own[np.argsort(rank[own], kind="stable")]
-            if len(own):
-                edges = np.flatnonzero(np.concatenate([[True], np.diff(rank[own]) > 0]))
-                rows = rank[own][edges]
-                out[rows, :edge] += np.add.reduceat(per_doc[of[own]], edges, axis=0, dtype=np.float64)
-                out[rows, edge:edge2] += np.add.reduceat(_signs[previous[own], edge:edge2], edges, axis=0)
-                out[rows, edge2:] += np.add.reduceat(_signs[following[own], edge2:], edges, axis=0)
-        return out
+            for x, at, to in ((per_doc, of[own], 0), (_signs[:, edge:edge2], previous[own], edge), (_signs[:, edge2:], following[own], edge2)):
+                pairs = np.ascontiguousarray(x).view(np.complex64).astype(np.complex128).T.copy()
+                for j, pair in enumerate(pairs):  # two numbers at a time, as the parts of complex ones
+                    np.add.at(out[to // 2 + j], rank[own], pair[at])
+        return None if out is None else np.ascontiguousarray(out.T).view(np.float64)
 
     got = block_sums(docs, make, shared.value.total)
     return None if got is None else got.reshape(-1, wide)
@@ -250,38 +257,40 @@ def clusters(x: np.ndarray, counts: np.ndarray, k: int, steps: int = 12, seed: i
 
 
 class Weights:
-    """bias: classes; table: buckets by classes."""
+    """bias: classes; table: buckets by classes. A table's numbers are too small for the sum of a token's to leave float32's range in exp."""
 
     def __init__(self, bias: np.ndarray, table: np.ndarray):
         self.bias, self.table = bias, table
 
     def sums(self, on: np.ndarray) -> np.ndarray:
-        z = self.table[on[:, 0]]
+        z = np.take(self.table, on[:, 0], axis=0, mode="clip")
+        other = np.empty_like(z)
         for k in range(1, on.shape[1]):
-            z += self.table[on[:, k]]
+            z += np.take(self.table, on[:, k], axis=0, out=other, mode="clip")
         z += self.bias
         return z
 
     def softmax(self, on: np.ndarray) -> np.ndarray:
-        """Classes by tokens."""
-        z = np.ascontiguousarray(self.sums(on).T)
-        z -= z.max(axis=0)
+        """Tokens by classes."""
+        z = self.sums(on)
         np.exp(z, out=z)
-        z /= z.sum(axis=0)
+        z *= (1 / (z @ ONES))[:, None]
         return z
 
-    def log_softmax(self, on: np.ndarray) -> np.ndarray:
+    def log_of(self, on: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """The logarithm of each token's probability of its class."""
         z = self.sums(on)
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return z
+        own = z[np.arange(len(cls)), cls]
+        return own - np.log(np.exp(z, out=z) @ ONES)
 
 
 def met(on: np.ndarray, p: np.ndarray, out: np.ndarray) -> None:
-    """Adds each token's p (classes by tokens) to every bucket it is in; out: classes by buckets."""
-    flat = on.ravel(order="F")
-    for c in range(len(p)):
-        out[c] += np.bincount(flat, np.tile(p[c], on.shape[1]), out.shape[1])
+    """Adds each token's p (tokens by classes) to every bucket it is in. out: pairs of classes, as complex numbers, by buckets: one addition serves two classes."""
+    pairs = np.ascontiguousarray(p.view(np.complex64).T)
+    for k in range(on.shape[1]):
+        flat = np.ascontiguousarray(on[:, k])
+        for c in range(len(pairs)):
+            np.add.at(out[c], flat, pairs[c])
 
 
 def train(docs: DataFrame, shared, buckets: int, rounds: int = 2) -> Weights:
@@ -311,22 +320,27 @@ def train(docs: DataFrame, shared, buckets: int, rounds: int = 2) -> Weights:
         start = docs.sparkSession.sparkContext.broadcast(Weights(bias, table.astype(np.float32)))
 
         def expect(on, cls, out, start=start):
-            for i in range(0, len(on), WIDE):
-                part = on[i : i + WIDE]
-                met(part, np.concatenate([start.value.softmax(part[j : j + BATCH]) for j in range(0, len(part), BATCH)], axis=1), out)
+            sums = np.zeros((CLASSES // 2, buckets), np.complex64)  # of one chunk, so that float32 is enough
+            for i in range(0, len(on), BATCH):
+                part = on[i : i + BATCH]
+                met(part, start.value.softmax(part), sums)
+            out[::2] += sums.real
+            out[1::2] += sums.imag
 
         expected = passed(expect, np.float32)
         table += (seen - expected) / (KINDS / 4 * (seen + expected) + PRIOR)
     return Weights(bias, table.astype(np.float32))
 
 
-def learn_head(training: DataFrame, head: int, core: int):
-    """The classified head words (broadcast), and the counts of all others. training: __x."""
+def learn_head(training: DataFrame, head: int, core: int, classes: bool = True):
+    """The head words (broadcast), classified if the model needs it, and the counts of all others. training: __x."""
     counts = cut(vocabulary(training))
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = [c.to_numpy() for c in counts.orderBy(F.desc("c"), "h").limit(head).select("h", "c", "e").toArrow().columns]  # at most `head` rows
     edge = (F.col("c") < int(top[1][-1])) | ((F.col("c") == int(top[1][-1])) & (F.col("h") > int(top[0][-1]))) if len(top[0]) else F.lit(True)
     rest = counts.where(edge)
+    if not classes:
+        return training.sparkSession.sparkContext.broadcast(Head(*top, total, kinds, core)), rest
     tail = [(r["e"], r["n"], r["v"]) for r in rest.groupBy("e").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()]  # at most SPELLINGS rows
     known = Head(*top, total, kinds, core)
     of_core = np.minimum(np.arange(known.core), ALONE)
@@ -338,34 +352,39 @@ def learn_head(training: DataFrame, head: int, core: int):
     return training.sparkSession.sparkContext.broadcast(known), rest
 
 
-def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", head: int = 1 << 18, core: int = 1 << 15, rounds: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns of `keep` (of one value for an id), n_tokens, n_known, train_tokens, base_score, score of every document."""
+def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", head: int = 1 << 18, core: int = 1 << 15, rounds: int = 2, keep: tuple[str, ...] = (), model: bool = True) -> DataFrame:
+    """doc_id, the columns of `keep` (of one value for an id), n_tokens, n_known, train_tokens, base_score, score of every document.
+
+    Without `model` there is no score, and nothing is trained: the counts and the base score need the vocabulary only.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     own = docs.withColumns({"__k": F.xxhash64(F.lit(1), F.col(id)), "__t": F.xxhash64(F.col(text).cast("string")), "__x": F.col(text).cast("string")})
     own = own.select("__k", "__t", F.col(id).alias("doc_id"), *keep, "__x", learn.alias("__learn"))
     training = own.where("__learn").select("__x")
-    shared, rest = learn_head(training, head, core)
+    shared, rest = learn_head(training, head, core, classes=model)
     total, kinds = shared.value.total, shared.value.kinds
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << int(max(1, kinds) - 1).bit_length()))
-    model = spark.sparkContext.broadcast(train(training, shared, buckets, rounds))
+    trained = spark.sparkContext.broadcast(train(training, shared, buckets, rounds) if model else None)
     extra = [f for f in own.schema.fields if f.name in ("doc_id", *keep)]
     names = ["__k", "__t", *(f.name for f in extra), "rows", "n_tokens", "known", "base", "model", "h", "tf"]
 
     def run(batches):
-        words, w = shared.value, model.value
+        words, w = shared.value, trained.value
         log_head = np.log10(words.counts + 0.5)
-        log_in = np.log10(words.counts) - np.log10(words.size[words.cls])
-        log_size = np.log10(words.size)
+        if w:
+            log_in = np.log10(words.counts) - np.log10(words.size[words.cls])
+            log_size = np.log10(words.size)
         keys = U64(1)
         for rows, buf, offs in chunks(batches, "__x"):
             h, spelling, first = tokens(buf, offs)
             at = words.look(h)
-            cls = words.classes(at, spelling)
-            on = features(words.symbols(at, cls), first, words.start, buckets)
-            p = np.concatenate([w.log_softmax(on[i : i + BATCH])[np.arange(len(cls[i : i + BATCH])), cls[i : i + BATCH]] for i in range(0, max(1, len(cls)), BATCH)]).astype(np.float64) / np.log(10)
-            in_head = at >= 0
-            p += np.where(in_head, log_in[at], -log_size[cls]) if len(words.h) else -log_size[cls]
+            in_head, p = at >= 0, np.zeros(len(h))
+            if w:
+                cls = words.classes(at, spelling)
+                on = features(words.symbols(at, cls), first, words.start, buckets)
+                p = np.concatenate([w.log_of(on[i : i + BATCH], cls[i : i + BATCH]) for i in range(0, max(1, len(cls)), BATCH)]).astype(np.float64) / np.log(10)
+                p += np.where(in_head, log_in[at], -log_size[cls]) if len(words.h) else -log_size[cls]
             base = np.where(in_head, log_head[at], 0) if len(words.h) else np.zeros(len(h))
             per = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else x[:0]  # noqa: E731  every document has its end
             n = rows.num_rows
@@ -390,5 +409,5 @@ def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text"
     m = F.col("rows")
     return both.withColumn("__each", F.explode(F.sequence(F.lit(1).cast("long"), m))).select(
         "doc_id", *keep, (F.col("n_tokens") / m).cast("long").alias("n_tokens"), ((F.col("known") + F.col("rare_known")) / m).cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        ((F.col("base") + F.col("rare") - F.col("n_tokens") * denominator) / m).alias("base_score"), ((F.col("model") + F.col("rare")) / m).alias("score"),
+        ((F.col("base") + F.col("rare") - F.col("n_tokens") * denominator) / m).alias("base_score"), *([((F.col("model") + F.col("rare")) / m).alias("score")] if model else []),
     )

@@ -119,3 +119,15 @@ def test_pipeline(spark):
             assert {r["doc_id"] for r in docs.select("doc_id").collect()} <= {r["doc_id"] for r in before.select("doc_id").collect()}
     final = sorted(map(str, docs.select("doc_id", "start", "length", "ids_crc32").collect()))
     assert final == sorted(map(str, corpus_pipeline.run(spark, str(DATA)).select("doc_id", "start", "length", "ids_crc32").collect()))
+
+
+def test_base_scores_train_nothing(spark, monkeypatch):
+    """The base columns of op2 are the same with and without a model, and without one no class is looked for and nothing is trained."""
+    want = {r["doc_id"]: r for r in rows(spark, "op2_maxent_scores")}
+    monkeypatch.setattr(queries.lm, "company", None)
+    monkeypatch.setattr(queries.lm, "train", None)
+    got = rows(spark, "base_op2_maxent_scores")
+    assert len(got) == len(want) and set(got[0].asDict()) == {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"}
+    for r in got:
+        own = want[r["doc_id"]]
+        assert all(r[c] == own[c] for c in ("held_out", "n_tokens", "n_known", "train_tokens")) and abs(r["base_score"] - own["base_score"]) < 1e-5
