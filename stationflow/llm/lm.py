@@ -8,11 +8,16 @@ words that keep like company: the `core` most frequent words are clustered by th
 after them, summed over the whole corpus; a word outside the core goes where most core words of its spelling (first and last two bytes) went. The class
 softmax is log-linear in hashed features of the words before: the n-grams w1 and w1 w2 and the skips w2 and w3 (outside the core, a word's class stands for
 it), and a bias. There are as many buckets as distinct training tokens, rounded up to a power of two, between LEAST_BUCKETS and MOST_BUCKETS
-(what a task can hold). Within a class, a token's weight is its bias, whose likelihood maximum is its count in closed form (smoothed by 0.5 in the tail, which keeps
-0.5 for unseen words).
+(what a task can hold).
+
+Within a class (`within`): the head words and the tail, as one more word, are the leaves of a binary tree. P(word | class, history) is the product, over the
+splits on the way, of log-linear probabilities of two sides: the counts' log odds and hashed features of the split along with w1 and with the skip w2. Each split
+adds up to one, so the words of a class do. A word of the tail has its share of the tail by its count. Without `within`, a token's weight in its class is its bias,
+whose likelihood maximum is its count in closed form. Counts of the tail are smoothed by 0.5, which keeps 0.5 for unseen words.
 
 Training: one pass over all training documents counts how often each bucket met each class; START of the smoothed logarithm of what that says against the
-class's share is the start. Then `rounds` gradient steps, each one pass from common weights: tasks add up the expected counts, and each weight moves by observed
+class's share is the start. The same pass adds up, for each feature of a split, what the counts alone lack of the side taken, right and left; SPLIT_START of the
+smoothed logarithm of their ratio is its weight, one step of iterative scaling. Then `rounds` gradient steps, each one pass from common weights: tasks add up the expected counts, and each weight moves by observed
 less expected, scaled by the mass of both (which bounds a step) and PRIOR. A step waits for all tasks, so tasks do not work against each other.
 
 Scoring: each task scores chunks of whole texts in sparse numpy batches; every class probability is normalised exactly.
@@ -38,12 +43,15 @@ LEAST_BUCKETS, MOST_BUCKETS = 1 << 12, 1 << 15
 SPELLINGS = 1 << 16
 #: Tokens of a task that adds up a matrix.
 TASK = 1 << 22
-#: Tokens of a batch; rows of a matrix in a row of partial sums; parts in which tasks are first added up.
-BATCH, BLOCK, SALT = 4096, 128, 64
+#: Tokens of a batch, and of one whose splits are gone through; rows of a matrix in a row of partial sums; parts in which tasks are first added up.
+BATCH, WIDE, BLOCK, SALT = 4096, 8192, 128, 64
 #: Share of the counts' logarithm that a weight starts with; pseudo-counts of a bucket's start and of each step; grain of a document's signs, so that their sums are exact.
 START, PRIOR, GRAIN = 0.4, 16.0, 1024
 #: Words whose company is looked at, and numbers by which a word's company is told: of its documents, of the word before, of the word after.
 COMPANY, SIGNS = 256, (16, 8, 8)
+#: Within a class: kinds of features (w1 and the skip w2); buckets for each of the class model's; share of the pulls' logarithm that a weight takes, and its pseudo-pull.
+SEEN, SPLIT_BUCKETS, SPLIT_START, PULL = (0, 2), 16, 0.4, 3.0
+NODE = np.uint32(0x9E3779B1)
 ONES = np.ones(CLASSES, np.float32)
 END = np.int64(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
 _signs = np.random.Generator(np.random.PCG64(13)).choice(np.array([-1, 1], np.float32), (COMPANY + 1, sum(SIGNS)))
@@ -132,6 +140,91 @@ class Head:
         return np.where(at >= 0, self.symbol[at], self.core + cls) if len(self.h) else self.core + cls
 
 
+class Splits:
+    """Every class's words as a binary tree: a split halves the tokens of a run of words, the most frequent first; the tail is a class's last word.
+
+    Leaves are the head words in their places, then each class's tail; nodes follow. up: twice the node above, plus one on its right side; -1 at the top.
+    base: the log odds of the right side, from the counts.
+    """
+
+    def __init__(self, head: Head):
+        count = np.concatenate([head.counts, head.size - np.bincount(head.cls, head.counts, minlength=CLASSES)])
+        cls = np.concatenate([head.cls, np.arange(CLASSES)])
+        tail = np.arange(len(cls)) >= len(head.cls)
+        leaf = np.lexsort((np.append(head.rank, np.arange(CLASSES)), tail, cls))
+        sums = np.concatenate([[0], np.cumsum(count[leaf])])
+        self.leaves, self.tail = len(leaf), count[len(head.cls) :]
+        self.up = np.full(2 * len(leaf), -1, np.int32)
+        base, nodes = [], 0
+        lo = np.searchsorted(cls[leaf], np.arange(CLASSES))
+        hi, above = np.append(lo[1:], len(leaf)), np.full(CLASSES, -1)
+        while True:
+            one = hi - lo == 1
+            self.up[leaf[lo[one]]] = above[one]
+            lo, hi, above = lo[~one], hi[~one], above[~one]
+            if not len(lo):
+                break
+            node = nodes + np.arange(len(lo))
+            self.up[self.leaves + node] = above
+            nodes += len(node)
+            middle = np.clip(np.searchsorted(sums, (sums[lo] + sums[hi]) / 2), lo + 1, hi - 1)
+            base.append(np.log((sums[hi] - sums[middle]) / (sums[middle] - sums[lo])))
+            lo, hi, above = np.concatenate([lo, middle]), np.concatenate([middle, hi]), np.concatenate([2 * node, 2 * node + 1])
+        self.base = np.concatenate([*base, np.zeros(0)]).astype(np.float32)
+
+    def leaf(self, at: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return np.where(at >= 0, at, self.leaves - CLASSES + cls)
+
+    def decisions(self, at: np.ndarray):
+        """(tokens, up) of the splits on the ways from the tokens' leaves up to their classes; each token once at most in each."""
+        up = np.take(self.up, at)
+        who = np.flatnonzero(up >= 0)
+        up = up[who]
+        while len(who):
+            yield who, up
+            up = np.take(self.up, self.leaves + (up >> 1))
+            live = up >= 0
+            who, up = who[live], up[live]
+
+
+class SplitWeights:
+    """table: a weight for the right side, by the hash of node and words before (features of SEEN). A split's probability is logistic in their sum."""
+
+    def __init__(self, splits: Splits, table: np.ndarray):
+        self.splits, self.table = splits, table
+        self.against = np.stack([splits.base, -splits.base], axis=1).ravel()  # by up: the log odds of the other side
+        self.shift = np.uint32(33 - len(table).bit_length())
+
+    def odds(self, leaf: np.ndarray, contexts: np.ndarray):
+        """For the splits on the leaves' ways: tokens, sides, buckets of their features, odds of the other side."""
+        short = [(contexts[k] >> U64(32)).astype(np.uint32) for k in SEEN]
+        for who, up in self.splits.decisions(leaf):
+            node, side = (up >> 1).astype(np.uint32) * NODE, up & 1
+            on = [(np.take(x, who) + node >> self.shift).astype(np.int64) for x in short]
+            z = np.take(self.table, on[0])
+            for x in on[1:]:
+                z += np.take(self.table, x)
+            z *= 1 - 2 * side.astype(np.float32)
+            z += np.take(self.against, up)
+            yield who, side, on, np.exp(z, out=z)
+
+    def log_of(self, leaf: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """The logarithm of each leaf's probability in its class."""
+        out = np.ones(len(leaf))
+        for who, _, _, odds in self.odds(leaf, contexts):
+            out[who] *= odds + 1
+        return -np.log(out)
+
+    def pulls(self, leaf: np.ndarray, contexts: np.ndarray, out: np.ndarray) -> None:
+        """Adds what the model lacks of each side taken to the bucket's sum for that side. out: two sums a bucket, left and right."""
+        for _, side, on, odds in self.odds(leaf, contexts):
+            lack = (odds / (odds + 1)).astype(np.float64)
+            for at in on:
+                at <<= 1
+                at += side
+                np.add.at(out, at, lack)
+
+
 def before(x: np.ndarray, first: np.ndarray, back: int, start) -> np.ndarray:
     """For every token, x of the token `back` places before it in its document, or `start`."""
     out = np.full(len(x), start, x.dtype)
@@ -141,11 +234,15 @@ def before(x: np.ndarray, first: np.ndarray, back: int, start) -> np.ndarray:
     return out
 
 
-def features(symbols: np.ndarray, first: np.ndarray, start: int, buckets: int) -> np.ndarray:
-    """Buckets of every token's features: tokens by KINDS."""
+def histories(symbols: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
+    """Hashes of the words before each token: KINDS by tokens."""
     w1, w2, w3 = (before(symbols, first, back, start).astype(np.uint64) for back in (1, 2, 3))
-    raw = np.stack([w1, w1 << U64(24) ^ w2 ^ U64(1 << 60), w2 ^ U64(2 << 60), w3 ^ U64(3 << 60)], axis=1)
-    return (mix(raw + U64(1)) & U64(buckets - 1)).astype(np.int64)
+    return mix(np.stack([w1, w1 << U64(24) ^ w2 ^ U64(1 << 60), w2 ^ U64(2 << 60), w3 ^ U64(3 << 60)]) + U64(1))
+
+
+def features(contexts: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of every token's features: tokens by KINDS."""
+    return (contexts.T & U64(buckets - 1)).astype(np.int64)
 
 
 def distinct(h: np.ndarray, c: np.ndarray | None, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,8 +356,8 @@ def clusters(x: np.ndarray, counts: np.ndarray, k: int, steps: int = 12, seed: i
 class Weights:
     """bias: classes; table: buckets by classes. A table's numbers are too small for the sum of a token's to leave float32's range in exp."""
 
-    def __init__(self, bias: np.ndarray, table: np.ndarray):
-        self.bias, self.table = bias, table
+    def __init__(self, bias: np.ndarray, table: np.ndarray, within=None):
+        self.bias, self.table, self.within = bias, table, within
 
     def sums(self, on: np.ndarray) -> np.ndarray:
         z = np.take(self.table, on[:, 0], axis=0, mode="clip")
@@ -293,28 +390,56 @@ def met(on: np.ndarray, p: np.ndarray, out: np.ndarray) -> None:
             np.add.at(out[c], flat, pairs[c])
 
 
-def train(docs: DataFrame, shared, buckets: int, rounds: int = 2) -> Weights:
-    def passed(add, kind=np.float64) -> np.ndarray | None:
-        """The sums, over all tokens, of what add(buckets, classes, out) puts into out."""
+def coded(docs: DataFrame, shared) -> DataFrame:
+    """__x: each document's tokens as 32-bit numbers, the place among the head words or -1 less the class, so that words are hashed and looked up once."""
+
+    def run(batches):
+        words = shared.value
+        for rows, buf, offs in chunks(batches, "__x"):
+            h, spelling, first = tokens(buf, offs)
+            at = words.look(h)
+            code = np.where(at >= 0, at, -1 - words.classes(at, spelling)).astype(np.int32)
+            ends = pa.py_buffer((4 * first).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), rows.num_rows, [None, ends, pa.py_buffer(code)])], names=["__x"])
+
+    return cut(docs.select("__x").mapInArrow(run, "__x binary"))
+
+
+def train(docs: DataFrame, shared, buckets: int, rounds: int = 2, splits: Splits | None = None) -> Weights:
+    """splits: the weights within classes are fitted too, from the pulls on them that the first pass adds up."""
+    cells = SPLIT_BUCKETS * buckets
+    docs = coded(docs, shared)
+
+    def passed(add, kind=np.float64, inside=None) -> np.ndarray | None:
+        """The sums, over all tokens, of what add(buckets, classes, out) puts into out; below them, if `inside` is given (broadcast), the pulls on its weights."""
 
         def make(batches):
-            words, out = shared.value, None
+            words, out, pulls = shared.value, None, None
             for _, buf, offs in chunks(batches, "__x"):
-                out = np.zeros((CLASSES, buckets)) if out is None else out
-                h, spelling, first = tokens(buf, offs)
-                at = words.look(h)
-                cls = words.classes(at, spelling)
-                add(features(words.symbols(at, cls), first, words.start, buckets), cls, out)
-            return None if out is None else out.T
+                if out is None:
+                    out, pulls = np.zeros((CLASSES, buckets)), np.zeros(2 * cells if inside else 0)
+                code, first = buf.view(np.int32).astype(np.int64), offs // 4
+                at = np.maximum(code, -1)
+                cls = np.where(code >= 0, words.cls[at], -1 - code) if len(words.h) else -1 - code
+                contexts = histories(words.symbols(at, cls), first, words.start)
+                add(features(contexts, buckets), cls, out)
+                for i in range(0, len(code) if inside else 0, WIDE):
+                    part = slice(i, i + WIDE)
+                    inside.value.pulls(inside.value.splits.leaf(at[part], cls[part]), contexts[:, part], pulls)
+            return None if out is None else np.concatenate([out.T, pulls.reshape(-1, CLASSES)])
 
         got = block_sums(docs, make, shared.value.total, kind)
-        return None if got is None else got.astype(np.float64).reshape(buckets, CLASSES)
+        return None if got is None else got.astype(np.float64).reshape(-1, CLASSES)
 
     mass = shared.value.mass
     bias = np.log(mass).astype(np.float32)
-    seen = passed(lambda on, cls, out: np.add.at(out.reshape(-1), (on + buckets * cls[:, None]).ravel(), 1.0))
+    within = SplitWeights(splits, np.zeros(cells, np.float32)) if splits else None
+    seen = passed(lambda on, cls, out: np.add.at(out.reshape(-1), (on + buckets * cls[:, None]).ravel(), 1.0), inside=docs.sparkSession.sparkContext.broadcast(within) if splits else None)
     if seen is None:
-        return Weights(bias, np.zeros((buckets, CLASSES), np.float32))
+        return Weights(bias, np.zeros((buckets, CLASSES), np.float32), within)
+    seen, pulls = seen[:buckets], seen[buckets:].reshape(-1, 2)
+    if splits:
+        within = SplitWeights(splits, (SPLIT_START * np.log((pulls[:, 1] + PULL) / (pulls[:, 0] + PULL))).astype(np.float32))
     table = START * (np.log((seen + PRIOR * mass) / (seen.sum(axis=1, keepdims=True) + PRIOR)) - np.log(mass))
     for _ in range(rounds):
         start = docs.sparkSession.sparkContext.broadcast(Weights(bias, table.astype(np.float32)))
@@ -329,7 +454,7 @@ def train(docs: DataFrame, shared, buckets: int, rounds: int = 2) -> Weights:
 
         expected = passed(expect, np.float32)
         table += (seen - expected) / (KINDS / 4 * (seen + expected) + PRIOR)
-    return Weights(bias, table.astype(np.float32))
+    return Weights(bias, table.astype(np.float32), within)
 
 
 def learn_head(training: DataFrame, head: int, core: int, classes: bool = True):
@@ -352,9 +477,10 @@ def learn_head(training: DataFrame, head: int, core: int, classes: bool = True):
     return training.sparkSession.sparkContext.broadcast(known), rest
 
 
-def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", head: int = 1 << 18, core: int = 1 << 15, rounds: int = 2, keep: tuple[str, ...] = (), model: bool = True) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", head: int = 1 << 18, core: int = 1 << 15, rounds: int = 2, keep: tuple[str, ...] = (), model: bool = True, within: bool = False) -> DataFrame:
     """doc_id, the columns of `keep` (of one value for an id), n_tokens, n_known, train_tokens, base_score, score of every document.
 
+    within: the words before a token also choose it within its class, by splits; else a class's words are told apart by their counts only.
     Without `model` there is no score, and nothing is trained: the counts and the base score need the vocabulary only.
     """
     spark = docs.sparkSession
@@ -365,7 +491,8 @@ def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text"
     shared, rest = learn_head(training, head, core, classes=model)
     total, kinds = shared.value.total, shared.value.kinds
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << int(max(1, kinds) - 1).bit_length()))
-    trained = spark.sparkContext.broadcast(train(training, shared, buckets, rounds) if model else None)
+    splits = Splits(shared.value) if model and within else None
+    trained = spark.sparkContext.broadcast(train(training, shared, buckets, rounds, splits) if model else None)
     extra = [f for f in own.schema.fields if f.name in ("doc_id", *keep)]
     names = ["__k", "__t", *(f.name for f in extra), "rows", "n_tokens", "known", "base", "model", "h", "tf"]
 
@@ -382,9 +509,15 @@ def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text"
             in_head, p = at >= 0, np.zeros(len(h))
             if w:
                 cls = words.classes(at, spelling)
-                on = features(words.symbols(at, cls), first, words.start, buckets)
+                contexts = histories(words.symbols(at, cls), first, words.start)
+                on = features(contexts, buckets)
                 p = np.concatenate([w.log_of(on[i : i + BATCH], cls[i : i + BATCH]) for i in range(0, max(1, len(cls)), BATCH)]).astype(np.float64) / np.log(10)
-                p += np.where(in_head, log_in[at], -log_size[cls]) if len(words.h) else -log_size[cls]
+                if within:
+                    inside, leaf = w.within, w.within.splits.leaf(at, cls)
+                    p += np.concatenate([inside.log_of(leaf[i : i + WIDE], contexts[:, i : i + WIDE]) for i in range(0, max(1, len(cls)), WIDE)]) / np.log(10)
+                    p -= np.where(in_head, 0.0, np.log10(inside.splits.tail)[cls])
+                else:
+                    p += np.where(in_head, log_in[at], -log_size[cls]) if len(words.h) else -log_size[cls]
             base = np.where(in_head, log_head[at], 0) if len(words.h) else np.zeros(len(h))
             per = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else x[:0]  # noqa: E731  every document has its end
             n = rows.num_rows

@@ -678,3 +678,49 @@ def test_stages_take_clashing_names(spark):
     assert packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).count() >= len(rows)
     cut = {r["doc_id"]: r["text"] for r in substring.remove(docs, window=50).collect()}
     assert cut[1].split() == "1 with its own words".split() and cut[0] == texts[0] and cut[8] is None
+
+
+def test_lm_words_within_classes_by_history(spark):
+    """With `within`, every score follows from the trained numbers by loops, words of a class add up to one after any history, and the history helps to choose them."""
+    rng = random.Random(11)
+    texts = [" ".join(f"{c}{k}z" for k in (rng.randrange(12) for _ in range(25)) for c in "pq") for _ in range(150)] + [None, "Unseen p1z WORDS"]
+    docs = frame(spark, texts).withColumn("held_out", langid.held_out(F.col("doc_id"), 1))
+    training = docs.where("not held_out").select(F.col("text").alias("__x"))
+    shared, rest = lm.learn_head(training, 20, 10)
+    words, tail = shared.value, {r["h"]: r["c"] for r in rest.collect()}
+    splits = lm.Splits(words)
+    w = lm.train(training, shared, lm.LEAST_BUCKETS, splits=splits)
+    table, bits = w.within.table, len(w.within.table).bit_length() - 1
+    assert len(table) == lm.SPLIT_BUCKETS * lm.LEAST_BUCKETS and np.abs(table).max() > 0.5
+
+    def log_inside(leaf, contexts):
+        up, total = int(splits.up[leaf]), 0.0
+        while up >= 0:
+            node, side = up >> 1, up & 1
+            on = [((int(contexts[k]) >> 32) + node * 0x9E3779B1) % 2**32 >> 32 - bits for k in lm.SEEN]
+            z = float(splits.base[node]) + sum(float(table[b]) for b in on)
+            total -= math.log1p(math.exp(-z if side else z))
+            up = int(splits.up[splits.leaves + node])
+        return total
+
+    place = {int(h): i for i, h in enumerate(words.h)}
+    apart = lm.score(docs, ~F.col("held_out"), head=20, core=10, keep=("held_out",)).collect()
+    rows = {r["doc_id"]: r for r in lm.score(docs, ~F.col("held_out"), head=20, core=10, keep=("held_out",), within=True).collect()}
+    for n, r in enumerate(rows.values()):
+        data = ("no id here" if r["doc_id"] is None else texts[r["doc_id"]] or "").encode()
+        h, e, first = lm.tokens(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        at = words.look(h)
+        cls = words.classes(at, e)
+        contexts = lm.histories(words.symbols(at, cls), first, words.start)
+        total = float(w.log_of(lm.features(contexts, lm.LEAST_BUCKETS), cls).sum())
+        for i, x in enumerate(h.tolist()):
+            k = int(cls[i])
+            total += log_inside(place.get(x, len(place) + k), contexts[:, i])
+            if x not in place:
+                total += math.log((tail.get(x, 0) + 0.5) / splits.tail[k])
+            if n < 3:
+                members = [*np.flatnonzero(words.cls == k), len(place) + k]
+                assert abs(sum(math.exp(log_inside(m, contexts[:, i])) for m in members) - 1) < 1e-6
+        assert abs(total / math.log(10) - r["score"]) < 1e-3
+    better = [rows[r["doc_id"]]["score"] - r["score"] for r in apart if r["held_out"]]
+    assert sum(better) > 0
