@@ -7,7 +7,8 @@ First pass: a phrase is hashed to one of P partitions and a cell within it. A ta
 merged by Misra-Gries: over its capacity of counters, all are lowered by the largest counter that has no place. The capacity is over ROOM times the partition's mass (all
 occurrences in it) over `least`, so what is taken from any cell stays under least / ROOM and each cell that holds a frequent phrase is left, together with some that don't.
 What is left becomes a bit filter of FILTER_BITS bits at most, its slices made by the partitions; it is all that comes to the driver.
-Second pass: phrases that pass the filter are counted exactly, by their words. Filters only save work: with a full one, every phrase is counted.
+Second pass: phrases that pass the filter are counted exactly, by their words. A task hands on its phrases sorted and compressed, in one block for each partition and language, and
+the blocks of a partition's language are added up. Filters only save work: with a full one, every phrase is counted.
 
 Number of partitions and cells follow the bytes of text, so a partition's share stays the same at every size. A frequent phrase is one row for each task, never a hot key.
 
@@ -30,7 +31,7 @@ ENDS = np.zeros(256, bool)
 ENDS[list(b".,;:!?\n\v\f\r")] = True
 APART = SPACE | ENDS
 FILTER_BITS = 1 << 27
-#: Occurrences that a partition holds about, cells of which a task keeps the counts, phrases that it keeps in the second pass.
+#: Occurrences that a partition holds about, cells of which a task keeps the counts, phrases that it keeps in the second pass (or more, if as many differ).
 SHARE, HELD_CELLS, HELD_PHRASES = 1 << 21, 1 << 23, 1 << 20
 #: The more room for counters, the fewer cells pass without being frequent.
 ROOM = 4
@@ -94,6 +95,24 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(steps.astype(np.int64))[steps != 65535]
 
 
+def folded(phrase: pa.LargeStringArray, n: np.ndarray) -> tuple[int, bytes]:
+    """Ascending phrases, a line each, and their counts, byte by byte, compressed: neighbours have words in common, and few counts have more than one byte. The length before that."""
+    lines = pc.binary_join_element_wise(phrase, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    ends = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    text = lines.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes()
+    data = text + n.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(data), pa.Codec("zstd", 3).compress(data, asbytes=True)
+
+
+def unfolded(k: int, long: int, data: bytes) -> tuple[pa.LargeStringArray, pa.Array]:
+    """The k phrases and counts again."""
+    got = np.frombuffer(pa.Codec("zstd").decompress(data, long), np.uint8)
+    text, counts = got[: long - 8 * k], got[long - 8 * k :]
+    ends = np.concatenate([[0], np.flatnonzero(text == 10) - np.arange(k)]).astype(np.int64)
+    phrase = pa.LargeStringArray.from_buffers(k, pa.py_buffer(ends), pa.py_buffer(text[text != 10]))
+    return phrase, pa.array(np.ascontiguousarray(counts.reshape(8, k).T).view("<i8").ravel())
+
+
 class Summary:
     """Misra-Gries counters; `taken` is what has been taken from any cell at most."""
 
@@ -144,16 +163,15 @@ def summaries(own: DataFrame, longest: int, parts: int, bits: int) -> DataFrame:
         codes.clear()
         code.sort()
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        n = np.diff(np.concatenate([first, [len(code)]]))
+        n = np.diff(first, append=len(code))
         code = code[first]
-        p = (code >> U64(bits)).astype(np.int64)
-        cell = (code & U64((1 << bits) - 1)).astype(np.int64)
-        cuts = np.searchsorted(p, np.arange((1 << parts) + 1))
+        cuts = np.append(np.searchsorted(code, np.arange(1 << parts, dtype=np.uint64) << U64(bits)), len(code))
         rows = []
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
             if b > a:
                 big = np.flatnonzero(n[a:b] > 255)
-                rows.append((i, packed(cell[a:b]), np.minimum(n[a:b], 255).astype(np.uint8).tobytes(), np.stack([big, n[a:b][big]]).astype(np.int64).tobytes(), int(n[a:b].sum())))
+                cell = (code[a:b] & U64((1 << bits) - 1)).astype(np.int64)
+                rows.append((i, packed(cell), np.minimum(n[a:b], 255).astype(np.uint8).tobytes(), np.stack([big, n[a:b][big]]).astype(np.int64).tobytes(), int(n[a:b].sum())))
         kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
         for at in range(0, len(rows), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 64]), kinds)], names=["p", "cells", "counts", "large", "mass"])
@@ -227,20 +245,24 @@ def counts(own: DataFrame, longest: int, least: int) -> DataFrame:
         return np.flatnonzero(ok)
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
         totals: dict[str, int] = {}
+        names: dict[str, int] = {}
 
         def out():
-            h = np.concatenate([x[0] for x in held])
+            h, n, code = (np.concatenate([x[i] for x in held]) for i in range(3))
             order = np.argsort(h, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-            n = np.add.reduceat(np.concatenate([x[1] for x in held])[order], first)
-            lang, phrase = (pa.chunked_array([x[i] for x in held]).take(pa.array(order[first])).combine_chunks() for i in (2, 3))
-            # Neighbours in order have words in common, which the exchange's compression makes use of.
-            sorted_by = pc.sort_indices(phrase)
-            lang, phrase, n = lang.take(sorted_by), phrase.take(sorted_by), n[sorted_by.to_numpy()]
-            for i in range(0, len(n), 1 << 16):
-                yield pa.RecordBatch.from_arrays([lang.slice(i, 1 << 16).cast(pa.string()), phrase.slice(i, 1 << 16).cast(pa.string()), pa.array(n[i : i + (1 << 16)])], names=["lang", "phrase", "n"])
+            n, own = np.add.reduceat(n[order], first), order[first]
+            phrase = pa.chunked_array([x[3] for x in held]).take(pa.array(own)).combine_chunks()
+            key = (h[own] >> U64(64 - parts)).astype(np.int64) * len(names) + code[own]
+            by = pc.sort_indices(phrase).to_numpy()
+            by = by[np.argsort(key[by], kind="stable")]
+            phrase, key, n, known = phrase.take(pa.array(by)), key[by], n[by], list(names)
+            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])).tolist()
+            rows = [(int(key[a]) // len(known), known[key[a] % len(known)], b - a, *folded(phrase[a:b], n[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+            for i in range(0, len(rows), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 256]), kinds)], names=columns)
 
         for rows, buf, offs in chunks(batches, "x"):
             langs = rows.column(0).to_pylist()
@@ -250,18 +272,47 @@ def counts(own: DataFrame, longest: int, least: int) -> DataFrame:
             own = passing(phrases)
             h, first, n = np.unique(phrases.hashes[own], return_index=True, return_counts=True)
             own = own[first]
-            names = sorted(set(langs))
-            code = np.array([names.index(x) for x in langs], np.int64)[phrases.doc[phrases.starts[own]]]
-            held.append((h, n, pa.array(names, pa.large_string()).take(pa.array(code)), phrases.texts(own)))
+            code = np.array([names.setdefault(x, len(names)) for x in langs], np.int64)[phrases.doc[phrases.starts[own]]]
+            held.append((h, n, code, phrases.texts(own)))
             if sum(len(x[0]) for x in held) >= HELD_PHRASES:
                 yield from out()
                 held.clear()
-        if held:
+        if sum(len(x[0]) for x in held):
             yield from out()
-        yield pa.RecordBatch.from_arrays([pa.array(totals.keys(), pa.string()), pa.nulls(len(totals), pa.string()), pa.array(totals.values(), pa.int64())], names=["lang", "phrase", "n"])
+        m = len(totals)
+        yield pa.RecordBatch.from_arrays([pa.array([-1] * m, pa.int32()), pa.array(totals.keys(), pa.string()), pa.array(totals.values(), pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names=columns)
+
+    def added(batches):
+        now, held, size, most = None, [], 0, HELD_PHRASES
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("phrase", use_threads=False).aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+
+        def done():
+            found = merged()
+            found = found.filter(pc.or_(pc.is_null(found["phrase"]), pc.greater_equal(found["n"], least)))
+            for part in found.to_batches(max_chunksize=1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array([now[1]] * part.num_rows, pa.string()), part.column(0).cast(pa.string()), part.column(1)], names=["lang", "phrase", "f"])
+
+        for batch in batches:
+            for p, lang, k, long, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if (p, lang) != now:
+                    if held:
+                        yield from done()
+                    now, held, size, most = (p, lang), [], 0, HELD_PHRASES
+                phrase, n = (pa.nulls(1, pa.large_string()), pa.array([k])) if p < 0 else unfolded(k, long, data)
+                held.append(pa.table({"phrase": phrase, "n": n}))
+                size += len(phrase)
+                if size > most:
+                    held = [merged()]
+                    size = len(held[0])
+                    most = max(HELD_PHRASES, 2 * size)
+        if held:
+            yield from done()
 
-    got = own.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    return got.where(F.col("phrase").isNull() | (F.col("f") >= least))
+    columns, kinds = ["p", "lang", "k", "long", "data"], (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+    parts_of = own.mapInArrow(run, "p int, lang string, k long, long long, data binary")
+    return parts_of.repartition("p", "lang").sortWithinPartitions("p", "lang").mapInArrow(added, "lang string, phrase string, f long")
 
 
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, absorbed: int = 50, top: int = 2000) -> DataFrame:

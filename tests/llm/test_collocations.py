@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stationflow.llm import collocations
@@ -100,3 +101,15 @@ def test_large_counts_are_exact(spark):
 
 def test_empty_table(spark):
     assert collocations.mine(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_blocks_are_folded_without_loss_and_small():
+    """Sorted phrases of a task take less than half the bytes of their text, whatever their counts."""
+    rng = random.Random(3)
+    phrases = sorted({" ".join(rng.choice(["the", "of", "river", "árbol", "日本", "x1"]) for _ in range(rng.randrange(1, 7))) for _ in range(3000)})
+    n = np.array([rng.choice([1, 1, 2, 255, 256, 10**12]) for _ in phrases])
+    phrase = pa.array(["", *phrases], pa.large_string())[1:]
+    long, data = collocations.folded(phrase, n)
+    got, counts = collocations.unfolded(len(phrases), long, data)
+    assert got.to_pylist() == phrases and counts.to_pylist() == n.tolist()
+    assert len(data) < sum(len(x.encode()) for x in phrases) / 2
