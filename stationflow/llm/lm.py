@@ -49,8 +49,9 @@ BATCH, WIDE, BLOCK, SALT = 4096, 8192, 128, 64
 START, PRIOR, GRAIN = 0.4, 16.0, 1024
 #: Words whose company is looked at, and numbers by which a word's company is told: of its documents, of the word before, of the word after.
 COMPANY, SIGNS = 256, (16, 8, 8)
-#: Within a class: kinds of features (w1 and the skip w2); buckets for each of the class model's; share of the pulls' logarithm that a weight takes, and its pseudo-pull.
-SEEN, SPLIT_BUCKETS, SPLIT_START, PULL = (0, 2), 16, 0.4, 3.0
+#: Within a class: kinds of features (w1 and the skip w2); buckets for each of the class model's; share of the pulls' logarithm that a weight takes, and its pseudo-pull;
+#: tokens whose pairs with a word before are told apart at once.
+SEEN, SPLIT_BUCKETS, SPLIT_START, PULL, PAIRS = (0, 2), 16, 0.4, 3.0, 1 << 20
 NODE = np.uint32(0x9E3779B1)
 ONES = np.ones(CLASSES, np.float32)
 END = np.int64(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
@@ -144,7 +145,8 @@ class Splits:
     """Every class's words as a binary tree: a split halves the tokens of a run of words, the most frequent first; the tail is a class's last word.
 
     Leaves are the head words in their places, then each class's tail; nodes follow. up: twice the node above, plus one on its right side; -1 at the top.
-    base: the log odds of the right side, from the counts.
+    base: the log odds of the right side, from the counts. depth: splits above a leaf.
+    place: each leaf's number from left to right; sorted: the leaves by it. against: by up, the log odds of the other side.
     """
 
     def __init__(self, head: Head):
@@ -154,13 +156,15 @@ class Splits:
         leaf = np.lexsort((np.append(head.rank, np.arange(CLASSES)), tail, cls))
         sums = np.concatenate([[0], np.cumsum(count[leaf])])
         self.leaves, self.tail = len(leaf), count[len(head.cls) :]
-        self.up = np.full(2 * len(leaf), -1, np.int32)
+        self.place = np.argsort(leaf).astype(np.int32)
+        self.sorted = self.against = None  # found when first used, so that less is sent
+        self.up, self.depth, level = np.full(2 * len(leaf), -1, np.int32), np.zeros(len(leaf), np.uint8), 0
         base, nodes = [], 0
         lo = np.searchsorted(cls[leaf], np.arange(CLASSES))
         hi, above = np.append(lo[1:], len(leaf)), np.full(CLASSES, -1)
         while True:
             one = hi - lo == 1
-            self.up[leaf[lo[one]]] = above[one]
+            self.up[leaf[lo[one]]], self.depth[leaf[lo[one]]] = above[one], level
             lo, hi, above = lo[~one], hi[~one], above[~one]
             if not len(lo):
                 break
@@ -170,21 +174,60 @@ class Splits:
             middle = np.clip(np.searchsorted(sums, (sums[lo] + sums[hi]) / 2), lo + 1, hi - 1)
             base.append(np.log((sums[hi] - sums[middle]) / (sums[middle] - sums[lo])))
             lo, hi, above = np.concatenate([lo, middle]), np.concatenate([middle, hi]), np.concatenate([2 * node, 2 * node + 1])
+            level += 1
         self.base = np.concatenate([*base, np.zeros(0)]).astype(np.float32)
 
     def leaf(self, at: np.ndarray, cls: np.ndarray) -> np.ndarray:
         return np.where(at >= 0, at, self.leaves - CLASSES + cls)
 
-    def decisions(self, at: np.ndarray):
-        """(tokens, up) of the splits on the ways from the tokens' leaves up to their classes; each token once at most in each."""
-        up = np.take(self.up, at)
-        who = np.flatnonzero(up >= 0)
-        up = up[who]
-        while len(who):
-            yield who, up
-            up = np.take(self.up, self.leaves + (up >> 1))
-            live = up >= 0
-            who, up = who[live], up[live]
+    def ways(self, leaf: np.ndarray):
+        """The tokens in an order of falling depth, and for each step on the ways from their leaves up to their classes the up of the first tokens in that order, which have as many."""
+        if self.against is None:
+            self.against = np.stack([self.base, -self.base], axis=1).ravel()
+        depth = np.take(self.depth, leaf)
+        order = np.argsort(np.uint8(255) - depth, kind="stable")
+        longer = len(leaf) - np.cumsum(np.bincount(depth, minlength=1))
+
+        def steps():
+            at = np.take(leaf, order)
+            for m in longer[:-1].tolist():
+                up = np.take(self.up, at[:m])
+                yield up
+                at = self.leaves + (up >> 1)
+
+        return order, steps()
+
+    def leaves_in_order(self) -> np.ndarray:
+        if self.sorted is None:
+            self.sorted = np.argsort(self.place)
+        return self.sorted
+
+    def pulls(self, keys: np.ndarray, shift: np.uint32, out: np.ndarray) -> None:
+        """Adds what the counts alone lack of each side taken to the sum for that side of its feature's bucket. keys: place and word before (32 bits each), sorted here: pairs of words recur.
+
+        out: two sums a bucket, left and right.
+        """
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        times, keys = np.diff(first, append=len(keys)).astype(np.float64), keys[first]
+        odds = np.exp(np.stack([self.base, -self.base], axis=1).ravel())
+        lack = (odds / (odds + 1)).astype(np.float64)  # of 24 bits, so that sums are shorter to hand on
+        for i in range(0, len(keys), WIDE):
+            order, steps = self.ways(np.take(self.leaves_in_order(), (keys[i : i + WIDE] >> U64(32)).astype(np.int64)))
+            words, n = np.take(keys[i : i + WIDE].astype(np.uint32), order), np.take(times[i : i + WIDE], order)
+            for up in steps:
+                on = bucket(words[: len(up)], up, shift)
+                on <<= 1
+                on += up & 1
+                np.add.at(out, on, n[: len(up)] * np.take(lack, up))
+
+
+def bucket(words: np.ndarray, up: np.ndarray, shift: np.uint32) -> np.ndarray:
+    """The bucket of a split along with a word before."""
+    h = (up >> 1).view(np.uint32) * NODE
+    h += words
+    h >>= shift
+    return h.astype(np.int64)
 
 
 class SplitWeights:
@@ -192,37 +235,29 @@ class SplitWeights:
 
     def __init__(self, splits: Splits, table: np.ndarray):
         self.splits, self.table = splits, table
-        self.against = np.stack([splits.base, -splits.base], axis=1).ravel()  # by up: the log odds of the other side
         self.shift = np.uint32(33 - len(table).bit_length())
 
-    def odds(self, leaf: np.ndarray, contexts: np.ndarray):
-        """For the splits on the leaves' ways: tokens, sides, buckets of their features, odds of the other side."""
-        short = [(contexts[k] >> U64(32)).astype(np.uint32) for k in SEEN]
-        for who, up in self.splits.decisions(leaf):
-            node, side = (up >> 1).astype(np.uint32) * NODE, up & 1
-            on = [(np.take(x, who) + node >> self.shift).astype(np.int64) for x in short]
-            z = np.take(self.table, on[0])
-            for x in on[1:]:
-                z += np.take(self.table, x)
-            z *= 1 - 2 * side.astype(np.float32)
-            z += np.take(self.against, up)
-            yield who, side, on, np.exp(z, out=z)
-
     def log_of(self, leaf: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """The logarithm of each leaf's probability in its class."""
-        out = np.ones(len(leaf))
-        for who, _, _, odds in self.odds(leaf, contexts):
-            out[who] *= odds + 1
-        return -np.log(out)
-
-    def pulls(self, leaf: np.ndarray, contexts: np.ndarray, out: np.ndarray) -> None:
-        """Adds what the model lacks of each side taken to the bucket's sum for that side. out: two sums a bucket, left and right."""
-        for _, side, on, odds in self.odds(leaf, contexts):
-            lack = (odds / (odds + 1)).astype(np.float64)
-            for at in on:
-                at <<= 1
-                at += side
-                np.add.at(out, at, lack)
+        order, steps = self.splits.ways(leaf)
+        short = [np.take(shortened(contexts[k]), order) for k in SEEN]
+        inverse = np.ones(len(leaf))
+        for up in steps:
+            z = np.take(self.table, bucket(short[0][: len(up)], up, self.shift))
+            for x in short[1:]:
+                z += np.take(self.table, bucket(x[: len(up)], up, self.shift))
+            z.view(np.uint32)[:] ^= up.view(np.uint32) << np.uint32(31)  # the other side's sign
+            z += np.take(self.splits.against, up)
+            np.exp(z, out=z)
+            z += 1
+            inverse[: len(up)] *= z
+        out = np.empty(len(leaf))
+        out[order] = -np.log(inverse)
+        return out
+
+
+def shortened(contexts: np.ndarray) -> np.ndarray:
+    return (contexts >> U64(32)).astype(np.uint32)
 
 
 def before(x: np.ndarray, first: np.ndarray, back: int, start) -> np.ndarray:
@@ -308,16 +343,31 @@ def block_sums(docs: DataFrame, make, total: int, kind=np.float64) -> np.ndarray
     return np.concatenate([np.frombuffer(r["sums"], kind) for r in sorted(rows, key=lambda r: r["block"])]) if rows else None
 
 
+def coded(docs: DataFrame, shared) -> DataFrame:
+    """__x: each document's tokens as 32-bit numbers, the place among the head words or -1 less the spelling, so that words are hashed and looked up once."""
+
+    def run(batches):
+        words = shared.value
+        for rows, buf, offs in chunks(batches, "__x"):
+            h, spelling, first = tokens(buf, offs)
+            at = words.look(h)
+            code = np.where(at >= 0, at, -1 - spelling).astype(np.int32)
+            ends = pa.py_buffer((4 * first).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), rows.num_rows, [None, ends, pa.py_buffer(code)])], names=["__x"])
+
+    return cut(docs.select("__x").mapInArrow(run, "__x binary"))
+
+
 def company(docs: DataFrame, shared) -> np.ndarray | None:
-    """For each core word, by rank: sums over its places of the signs of its document's, previous and next frequent words."""
+    """For each core word, by rank: sums over its places of the signs of its document's, previous and next frequent words. docs: as `coded` gives them."""
     wide, edge, edge2 = sum(SIGNS), SIGNS[0], SIGNS[0] + SIGNS[1]
 
     def make(batches):
         head, out = shared.value, None
         for _, buf, offs in chunks(batches, "__x"):
             out = np.zeros((wide // 2, head.core), np.complex128) if out is None else out
-            h, _, first = tokens(buf, offs)
-            rank = head.core_rank(head.look(h))
+            first = offs // 4
+            rank = head.core_rank(np.maximum(buf.view(np.int32).astype(np.int64), -1))
             seen = np.where((rank >= 0) & (rank < COMPANY), rank, COMPANY)
             per_doc = np.add.reduceat(_signs[seen, :edge], first[:-1], axis=0) if len(first) > 1 else np.zeros((0, edge), np.float32)
             per_doc /= np.maximum(np.add.reduceat((seen < COMPANY).astype(np.int64), first[:-1]), 1)[:, None] if len(first) > 1 else 1
@@ -354,78 +404,82 @@ def clusters(x: np.ndarray, counts: np.ndarray, k: int, steps: int = 12, seed: i
 
 
 class Weights:
-    """bias: classes; table: buckets by classes. A table's numbers are too small for the sum of a token's to leave float32's range in exp."""
+    """bias: classes; table: buckets by classes. A table's numbers are too small for the products of a token's exponentials to leave float32's range."""
 
     def __init__(self, bias: np.ndarray, table: np.ndarray, within=None):
         self.bias, self.table, self.within = bias, table, within
+        self.factors = None  # found by the first product: an exponential for each weight, not for each token
 
-    def sums(self, on: np.ndarray) -> np.ndarray:
-        z = np.take(self.table, on[:, 0], axis=0, mode="clip")
+    def products(self, on: np.ndarray) -> np.ndarray:
+        """The exponentials of the weights' sums: tokens by classes."""
+        if self.factors is None:
+            self.factors = np.exp(self.table + self.bias / np.float32(KINDS))
+        z = np.take(self.factors, on[:, 0], axis=0, mode="clip")
         other = np.empty_like(z)
         for k in range(1, on.shape[1]):
-            z += np.take(self.table, on[:, k], axis=0, out=other, mode="clip")
-        z += self.bias
+            z *= np.take(self.factors, on[:, k], axis=0, out=other, mode="clip")
         return z
 
     def softmax(self, on: np.ndarray) -> np.ndarray:
         """Tokens by classes."""
-        z = self.sums(on)
-        np.exp(z, out=z)
+        z = self.products(on)
         z *= (1 / (z @ ONES))[:, None]
         return z
 
     def log_of(self, on: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """The logarithm of each token's probability of its class."""
-        z = self.sums(on)
-        own = z[np.arange(len(cls)), cls]
-        return own - np.log(np.exp(z, out=z) @ ONES)
+        z = self.products(on)
+        return np.log(z[np.arange(len(cls)), cls] / (z @ ONES))
 
 
-def met(on: np.ndarray, p: np.ndarray, out: np.ndarray) -> None:
-    """Adds each token's p (tokens by classes) to every bucket it is in. out: pairs of classes, as complex numbers, by buckets: one addition serves two classes."""
-    pairs = np.ascontiguousarray(p.view(np.complex64).T)
-    for k in range(on.shape[1]):
-        flat = np.ascontiguousarray(on[:, k])
-        for c in range(len(pairs)):
-            np.add.at(out[c], flat, pairs[c])
+def met(on: np.ndarray, softmax, out: np.ndarray) -> None:
+    """Adds softmax(on) of each token to every bucket it is in. out: pairs of classes, as complex numbers, by buckets: one addition serves two classes.
 
-
-def coded(docs: DataFrame, shared) -> DataFrame:
-    """__x: each document's tokens as 32-bit numbers, the place among the head words or -1 less the class, so that words are hashed and looked up once."""
-
-    def run(batches):
-        words = shared.value
-        for rows, buf, offs in chunks(batches, "__x"):
-            h, spelling, first = tokens(buf, offs)
-            at = words.look(h)
-            code = np.where(at >= 0, at, -1 - words.classes(at, spelling)).astype(np.int32)
-            ends = pa.py_buffer((4 * first).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), rows.num_rows, [None, ends, pa.py_buffer(code)])], names=["__x"])
-
-    return cut(docs.select("__x").mapInArrow(run, "__x binary"))
+    A pair's row is worked on for all kinds in turn, so that it stays in the processor's cache.
+    """
+    pairs = np.empty((len(out), len(on)), np.complex64)
+    for i in range(0, len(on), BATCH):
+        pairs[:, i : i + BATCH] = softmax(on[i : i + BATCH]).view(np.complex64).T
+    kinds = np.ascontiguousarray(on.T)
+    for row, pair in zip(out, pairs):
+        for flat in kinds:
+            np.add.at(row, flat, pair)
 
 
-def train(docs: DataFrame, shared, buckets: int, rounds: int = 2, splits: Splits | None = None) -> Weights:
-    """splits: the weights within classes are fitted too, from the pulls on them that the first pass adds up."""
+def train(docs: DataFrame, shared, buckets: int, rounds: int = 2, splits: Splits | None = None, codes: DataFrame | None = None) -> Weights:
+    """splits: the weights within classes are fitted too, from the pulls on them that the first pass adds up. codes: docs as `coded` gives them, if at hand."""
     cells = SPLIT_BUCKETS * buckets
-    docs = coded(docs, shared)
+    docs = coded(docs, shared) if codes is None else codes
 
     def passed(add, kind=np.float64, inside=None) -> np.ndarray | None:
-        """The sums, over all tokens, of what add(buckets, classes, out) puts into out; below them, if `inside` is given (broadcast), the pulls on its weights."""
+        """The sums, over all tokens, of what add(buckets, classes, out) puts into out; below them, if `inside` (broadcast splits) is given, the pulls on its weights."""
 
         def make(batches):
-            words, out, pulls = shared.value, None, None
+            words, out, pulls, waiting, size = shared.value, None, None, [], 0
+            shift = np.uint32(33 - cells.bit_length())
+
+            def pulled():
+                for keys in zip(*waiting):
+                    inside.value.pulls(np.concatenate(keys), shift, pulls)
+                waiting.clear()
+
             for _, buf, offs in chunks(batches, "__x"):
                 if out is None:
                     out, pulls = np.zeros((CLASSES, buckets)), np.zeros(2 * cells if inside else 0)
                 code, first = buf.view(np.int32).astype(np.int64), offs // 4
                 at = np.maximum(code, -1)
-                cls = np.where(code >= 0, words.cls[at], -1 - code) if len(words.h) else -1 - code
+                cls = words.classes(at, np.maximum(-1 - code, 0))
                 contexts = histories(words.symbols(at, cls), first, words.start)
                 add(features(contexts, buckets), cls, out)
-                for i in range(0, len(code) if inside else 0, WIDE):
-                    part = slice(i, i + WIDE)
-                    inside.value.pulls(inside.value.splits.leaf(at[part], cls[part]), contexts[:, part], pulls)
+                if inside:
+                    place = np.take(inside.value.place, inside.value.leaf(at, cls)).astype(np.uint64) << U64(32)
+                    waiting.append([place | contexts[k] >> U64(32) for k in SEEN])
+                    size += len(code)
+                    if size >= PAIRS:
+                        pulled()
+                        size = 0
+            if waiting:
+                pulled()
             return None if out is None else np.concatenate([out.T, pulls.reshape(-1, CLASSES)])
 
         got = block_sums(docs, make, shared.value.total, kind)
@@ -434,7 +488,10 @@ def train(docs: DataFrame, shared, buckets: int, rounds: int = 2, splits: Splits
     mass = shared.value.mass
     bias = np.log(mass).astype(np.float32)
     within = SplitWeights(splits, np.zeros(cells, np.float32)) if splits else None
-    seen = passed(lambda on, cls, out: np.add.at(out.reshape(-1), (on + buckets * cls[:, None]).ravel(), 1.0), inside=docs.sparkSession.sparkContext.broadcast(within) if splits else None)
+    inside = docs.sparkSession.sparkContext.broadcast(splits) if splits else None
+    seen = passed(lambda on, cls, out: np.add.at(out.reshape(-1), (on + buckets * cls[:, None]).ravel(), 1.0), inside=inside)
+    if inside:
+        inside.destroy()
     if seen is None:
         return Weights(bias, np.zeros((buckets, CLASSES), np.float32), within)
     seen, pulls = seen[:buckets], seen[buckets:].reshape(-1, 2)
@@ -446,35 +503,44 @@ def train(docs: DataFrame, shared, buckets: int, rounds: int = 2, splits: Splits
 
         def expect(on, cls, out, start=start):
             sums = np.zeros((CLASSES // 2, buckets), np.complex64)  # of one chunk, so that float32 is enough
-            for i in range(0, len(on), BATCH):
-                part = on[i : i + BATCH]
-                met(part, start.value.softmax(part), sums)
+            for i in range(0, len(on), 4 * BATCH):
+                met(on[i : i + 4 * BATCH], start.value.softmax, sums)
             out[::2] += sums.real
             out[1::2] += sums.imag
 
         expected = passed(expect, np.float32)
+        start.destroy()
         table += (seen - expected) / (KINDS / 4 * (seen + expected) + PRIOR)
     return Weights(bias, table.astype(np.float32), within)
 
 
-def learn_head(training: DataFrame, head: int, core: int, classes: bool = True):
-    """The head words (broadcast), classified if the model needs it, and the counts of all others. training: __x."""
+def learned(training: DataFrame, head: int, core: int, classes: bool = True):
+    """The head words (broadcast), classified if the model needs it, the counts of all others, and then the training texts coded. training: __x."""
+    sc = training.sparkSession.sparkContext
     counts = cut(vocabulary(training))
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = [c.to_numpy() for c in counts.orderBy(F.desc("c"), "h").limit(head).select("h", "c", "e").toArrow().columns]  # at most `head` rows
     edge = (F.col("c") < int(top[1][-1])) | ((F.col("c") == int(top[1][-1])) & (F.col("h") > int(top[0][-1]))) if len(top[0]) else F.lit(True)
     rest = counts.where(edge)
+    known = Head(*top, total, kinds, core)
+    shared = sc.broadcast(known)
     if not classes:
-        return training.sparkSession.sparkContext.broadcast(Head(*top, total, kinds, core)), rest
+        return shared, rest, None
     tail = [(r["e"], r["n"], r["v"]) for r in rest.groupBy("e").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()]  # at most SPELLINGS rows
-    known = Head(*top, total, kinds, core)
+    codes = coded(training, shared)
     of_core = np.minimum(np.arange(known.core), ALONE)
     if known.core > ALONE:
-        signs = company(training, training.sparkSession.sparkContext.broadcast(known))
+        signs = company(codes, shared)
         by_rank = top[1][: known.core].astype(np.float64)
         of_core[ALONE:] = ALONE + clusters(signs[ALONE:].astype(np.float64), by_rank[ALONE:], CLASSES - ALONE)
+    known = Head(*top, total, kinds, core)
     known.classify(of_core, tail)
-    return training.sparkSession.sparkContext.broadcast(known), rest
+    return sc.broadcast(known), rest, codes
+
+
+def learn_head(training: DataFrame, head: int, core: int, classes: bool = True):
+    """The head words and the counts of all others, as `learned` has them."""
+    return learned(training, head, core, classes)[:2]
 
 
 def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", head: int = 1 << 18, core: int = 1 << 15, rounds: int = 2, keep: tuple[str, ...] = (), model: bool = True, within: bool = False) -> DataFrame:
@@ -488,11 +554,11 @@ def score(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text"
     own = docs.withColumns({"__k": F.xxhash64(F.lit(1), F.col(id)), "__t": F.xxhash64(F.col(text).cast("string")), "__x": F.col(text).cast("string")})
     own = own.select("__k", "__t", F.col(id).alias("doc_id"), *keep, "__x", learn.alias("__learn"))
     training = own.where("__learn").select("__x")
-    shared, rest = learn_head(training, head, core, classes=model)
+    shared, rest, codes = learned(training, head, core, classes=model)
     total, kinds = shared.value.total, shared.value.kinds
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << int(max(1, kinds) - 1).bit_length()))
     splits = Splits(shared.value) if model and within else None
-    trained = spark.sparkContext.broadcast(train(training, shared, buckets, rounds, splits) if model else None)
+    trained = spark.sparkContext.broadcast(train(training, shared, buckets, rounds, splits, codes) if model else None)
     extra = [f for f in own.schema.fields if f.name in ("doc_id", *keep)]
     names = ["__k", "__t", *(f.name for f in extra), "rows", "n_tokens", "known", "base", "model", "h", "tf"]
 

@@ -724,3 +724,39 @@ def test_lm_words_within_classes_by_history(spark):
         assert abs(total / math.log(10) - r["score"]) < 1e-3
     better = [rows[r["doc_id"]]["score"] - r["score"] for r in apart if r["held_out"]]
     assert sum(better) > 0
+
+
+def test_lm_pulls_walk_recurring_pairs_once(monkeypatch):
+    """The pulls of pairs of a word and one before equal plain loops over all tokens, but each distinct pair is walked once; expected counts equal loops over a softmax."""
+    rng = np.random.default_rng(4)
+    n, known = 60, 40
+    head = lm.Head(rng.integers(-(1 << 62), 1 << 62, known), np.sort(rng.integers(1, 500, known))[::-1].copy(), rng.integers(0, lm.SPELLINGS, known), 9000, known, known)
+    head.classify(rng.integers(0, 3, known), [(5, 7, 3)])
+    splits, shift = lm.Splits(head), np.uint32(32 - 8)
+    pairs = np.stack([rng.integers(0, splits.leaves, n), rng.integers(0, 1 << 32, n)])[:, rng.integers(0, n, 5000)]
+    expected, deep = np.zeros(2 << 8), 0
+    for leaf, word in pairs.T.tolist():
+        up = int(splits.up[leaf])
+        while up >= 0:
+            node, side = up >> 1, up & 1
+            z = float(splits.base[node])
+            expected[2 * ((word + node * 0x9E3779B1) % 2**32 >> 24) + side] += 1 / (1 + math.exp(z if side else -z))
+            up = int(splits.up[splits.leaves + node])
+            deep += 1
+    walked, bucket = [], lm.bucket
+    monkeypatch.setattr(lm, "bucket", lambda words, up, shift: walked.append(len(up)) or bucket(words, up, shift))
+    got = np.zeros(2 << 8)
+    splits.pulls(splits.place[pairs[0]].astype(np.uint64) << np.uint64(32) | pairs[1].astype(np.uint64), shift, got)
+    assert np.allclose(got, expected, rtol=1e-6) and expected.sum() > 100
+    assert sum(walked) == int(splits.depth[np.unique(pairs, axis=1)[0]].sum()) < deep / 20
+
+    w = lm.Weights(np.log(head.mass).astype(np.float32), rng.normal(0, 0.5, (64, lm.CLASSES)).astype(np.float32))
+    on, out = rng.integers(0, 64, (lm.BATCH + 7, lm.KINDS)), np.zeros((lm.CLASSES // 2, 64), np.complex64)
+    lm.met(on, w.softmax, out)
+    p = np.exp(w.bias + w.table[on].astype(np.float64).sum(axis=1))
+    p /= p.sum(axis=1, keepdims=True)
+    plain = np.zeros((64, lm.CLASSES))
+    for k in range(lm.KINDS):
+        np.add.at(plain, on[:, k], p)
+    assert np.allclose(np.stack([out.real, out.imag], axis=1).reshape(lm.CLASSES, 64).T, plain, rtol=1e-4, atol=1e-4)
+    assert np.allclose(w.log_of(on, on[:, 0] % lm.CLASSES), np.log(p[np.arange(len(on)), on[:, 0] % lm.CLASSES]), atol=1e-4)
