@@ -499,6 +499,35 @@ def test_neighbours_of_leaves_in_blocks(spark, monkeypatch):
     assert dict(got) == want
 
 
+def test_neighbours_bring_few_rows_to_the_driver(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((6000, 16)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in own}
+    limit = spark.sparkContext._jsc.sc().conf()
+    want = neighbours.nearest(df, every=1000, sample=100).orderBy("query_id", "rank").collect()
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        limit.set("spark.driver.maxResultSize", "400k")  # 100 rows of each of 32 partitions are more
+        found = neighbours.nearest(df, every=1000, sample=100)
+    finally:
+        limit.remove("spark.driver.maxResultSize")
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert found.orderBy("query_id", "rank").collect() == want and len(want) == 60
+
+
+def test_first_points_by_hash_are_those_of_the_whole_order(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i * 2**50 - 2**62, [float(x)]) for i, x in enumerate(rng.standard_normal(2000))]  # no even hashes: none is in the lowest quarter
+    points = spark.createDataFrame(rows, "h long, p array<double>").repartition(7)
+    for sample in (1, 10, 300, 1900, 2000, 3000):
+        assert neighbours.first_by_hash(points, sample)["p"].tolist() == [p for _, p in rows[:sample]]
+    assert len(neighbours.first_by_hash(points.limit(0), 5)) == 0
+
+
 def test_grafted_tree_places_as_its_parts():
     rng = np.random.default_rng(6)
     points = rng.standard_normal((500, 4))
